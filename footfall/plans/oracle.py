@@ -226,7 +226,7 @@ def oracle_queries() -> dict[str, str]:
         "q15b_reference_check": Q15B,
         "q16_quality_profile": Q16,
         "q17_stream_traffic": Q07,
-        "q18_idempotent_sink": Q07,
+        "q18_idempotent_sink": Q09,
         "q19_bus_records": Q02,
         "q20_late_data": Q07,
         "q21_local_time_flags": Q21,
