@@ -62,6 +62,24 @@ def replay_envelopes(spark: SparkSession, sf_dir: str, late_copies: bool = False
     return env
 
 
+# Replay input already written in this process, by (sf_dir, late_copies):
+# the replay files stand for the message bus, which several queries read.
+_REPLAYS: dict[tuple[str, bool], tuple[str, int]] = {}
+
+
+def replay_input(spark: SparkSession, sf_dir: str, late_copies: bool) -> tuple[str, int]:
+    """Folder of replay files for ``sf_dir`` and the files per slice."""
+    key = (os.path.abspath(sf_dir), late_copies)
+    hit = _REPLAYS.get(key)
+    if hit and os.path.isdir(hit[0]):
+        return hit
+    path = os.path.join(scratch_path(spark, "replay"), "input")
+    files = min(_parallelism(spark), MAX_FILES_PER_SLICE)
+    write_replay_files(replay_envelopes(spark, sf_dir, late_copies), path, files_per_slice=files)
+    _REPLAYS[key] = (path, files)
+    return path, files
+
+
 def replay_traffic(
     spark: SparkSession,
     sf_dir: str,
@@ -72,9 +90,8 @@ def replay_traffic(
     """Write the replay files, run the traffic stream over them to the end
     and return the change-log path and the run summary."""
     root = scratch_path(spark, kind)
-    files = min(_parallelism(spark), MAX_FILES_PER_SLICE)
-    write_replay_files(replay_envelopes(spark, sf_dir, late_copies), os.path.join(root, "input"), files_per_slice=files)
-    stream = envelope_file_stream(spark, os.path.join(root, "input"), max_files_per_trigger=files)
+    source, files = replay_input(spark, sf_dir, late_copies)
+    stream = envelope_file_stream(spark, source, max_files_per_trigger=files)
     changelog = os.path.join(root, "changelog")
     result = run_query(
         spark,

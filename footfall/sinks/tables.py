@@ -53,18 +53,23 @@ def append_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str
 
 
 def changelog_batch_writer(
-    path: str, idempotent: bool = True, fmt: str = "parquet"
+    path: str, idempotent: bool = True, fmt: str = "parquet", count_rows: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each micro-batch to the change log.
 
-    The batch is persisted so that counting it for the log and writing it
-    execute the micro-batch plan once (state metrics are not doubled).
-    Errors propagate and fail the query; the batch is then re-run on
-    restart and, with ``idempotent``, overwrites its own partition.
+    Errors propagate and fail the query; the batch is then re-run on restart
+    and, with ``idempotent``, overwrites its own partition. The number of
+    rows written is in each progress report (``numRowsUpdated``); with
+    ``count_rows`` it is also counted and logged here, and the batch is then
+    persisted so the micro-batch plan still runs once (a second execution
+    would double the state-store metrics).
     """
     write = write_changelog_batch if idempotent else append_changelog_batch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if not count_rows:
+            write(batch, batch_id, path, fmt)
+            return
         batch.persist()
         try:
             write(batch, batch_id, path, fmt)

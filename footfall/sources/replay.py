@@ -35,14 +35,20 @@ def write_replay_files(
     """Write ``envelope`` (which carries ``slice_col``) as one folder per slice,
     in slice order, and return the slice numbers written.
 
-    Each slice is its own write job so that file modification times follow
-    slice order; ``files_per_slice`` files per slice are written in parallel.
-    Only the distinct slice numbers (a handful) come back to the driver.
+    The envelope is first staged once, partitioned by slice (one parallel
+    job). Each slice is then copied by its own job, reading only its staged
+    partition, so file modification times follow slice order;
+    ``files_per_slice`` files per slice are written in parallel. Only the
+    distinct slice numbers (a handful) come back to the driver.
     """
-    slices = sorted(r[0] for r in envelope.select(slice_col).distinct().collect())
+    spark = envelope.sparkSession
+    staging = os.path.join(root, "_staging")
     cols = [f.name for f in ENVELOPE.fields]
+    envelope.select(slice_col, *cols).write.mode("overwrite").partitionBy(slice_col).parquet(staging)
+    staged = spark.read.parquet(staging)
+    slices = sorted(r[0] for r in staged.select(slice_col).distinct().collect())
     for n in slices:
-        part = envelope.filter(F.col(slice_col) == n).select(*cols)
+        part = staged.filter(F.col(slice_col) == n).select(*cols)
         part.repartition(files_per_slice).write.mode("overwrite").parquet(
             os.path.join(root, f"{slice_col}={n:012d}")
         )
@@ -53,10 +59,12 @@ def write_replay_files(
 def envelope_file_stream(
     spark: SparkSession, root: str, max_files_per_trigger: int = 1
 ) -> DataFrame:
-    """Stream the replay folder as envelopes, one file per trigger by default."""
+    """Stream the replay folder as envelopes, one file per trigger by default.
+    The staging folder is skipped (names starting with ``_`` are hidden)."""
     return (
         spark.readStream.schema(ENVELOPE)
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
+        .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .parquet(root)
     )
