@@ -69,11 +69,12 @@ def traffic_stream(
 
 def dead_letter_stream(envelopes: DataFrame) -> DataFrame:
     """Rejected records with their reason, raw payload and bus position."""
-    decoded = decode_envelope(envelopes, carry=["topic", "offset", "timestamp"])
+    bus = envelopes.withColumnRenamed("timestamp", "bus_time")
+    decoded = decode_envelope(bus, carry=["topic", "offset", "bus_time"])
     return rejected_events(classify_events(decoded)).select(
         "topic",
         "offset",
-        F.col("timestamp").alias("bus_time"),
+        "bus_time",
         "reject_reason",
         "payload",
         F.col(CORRUPT_COLUMN).isNotNull().alias("unparsed"),
