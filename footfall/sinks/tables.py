@@ -35,9 +35,16 @@ def write_changelog(changelog: DataFrame, path: str, fmt: str = "parquet") -> No
     )
 
 
+def batch_partition_path(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/{BATCH_ID}={int(batch_id)}"
+
+
 def write_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
-    """Idempotent write of one micro-batch of traffic rows."""
-    write_changelog(batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long")), path, fmt)
+    """Idempotent write of one micro-batch of traffic rows: the batch owns
+    the folder ``batch_id=<n>`` of the table and replaces it as a whole."""
+    batch.select(*TRAFFIC_COLUMNS).write.mode("overwrite").format(fmt).save(
+        batch_partition_path(path, batch_id)
+    )
 
 
 def append_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
@@ -81,7 +88,9 @@ def changelog_batch_writer(
 
 
 def read_changelog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """The change log with ``batch_id`` (from the folder names) as bigint."""
+    df = spark.read.format(fmt).load(path)
+    return df.withColumn(BATCH_ID, F.col(BATCH_ID).cast("long"))
 
 
 def compact_changelog(spark: SparkSession, changelog_path: str, out_path: str, fmt: str = "parquet") -> DataFrame:
