@@ -114,11 +114,13 @@ def ensure_traffic_table(
     location: str | None = None,
     provider: str = "parquet",
     partition_cols: tuple[str, ...] = ("store_id", "zone_id"),
+    database_location: str | None = None,
 ) -> str:
     """CREATE DATABASE / TABLE IF NOT EXISTS for the 6-column traffic table.
     Run once at start-up, not per batch. ``provider`` may be a lake format
     (for example iceberg) when its connector is installed."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    db_loc = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{db_loc}")
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRAFFIC_STATS.fields)
     loc = f" LOCATION '{location}'" if location else ""
     parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""

@@ -1,5 +1,6 @@
 """Structured Streaming: the traffic query, dead letters and the run API."""
 
+from footfall.streaming.job import TrafficJobConfig, await_job, start_traffic_job
 from footfall.streaming.traffic import (
     StreamResult,
     accepted_event_stream,
@@ -10,6 +11,9 @@ from footfall.streaming.traffic import (
 
 __all__ = [
     "StreamResult",
+    "TrafficJobConfig",
+    "await_job",
+    "start_traffic_job",
     "accepted_event_stream",
     "dead_letter_stream",
     "run_query",

@@ -166,3 +166,39 @@ def test_same_operators_on_bounded_input(spark):
     out = traffic_stream(env).collect()
     assert [(r.visitor_count, r.total_dwell_time) for r in out] == [(2, 10.0)]
     assert SENSOR_EVENT.fieldNames()[0] == "event_id"
+
+
+def test_traffic_job_replay_with_dead_letters(spark):
+    from footfall.streaming.job import TrafficJobConfig, start_traffic_job
+
+    batches = [[payload("a", 1), b"\xff"], [payload("b", 20), payload("c", 2, dwell=-1.0)]]
+    root, stream = replay(spark, batches, "t_job")
+    cfg = TrafficJobConfig(
+        changelog_path=os.path.join(root, "cl"), checkpoint_root=os.path.join(root, "ck"),
+        dead_letter_path=os.path.join(root, "dlq"), available_now=True, state_partitions=2)
+    traffic, dlq = start_traffic_job(spark, stream, cfg)
+    assert traffic.batches >= 2 and dlq.batches >= 2
+    latest = latest_per_key(read_changelog(spark, cfg.changelog_path))
+    assert sorted(r.visitor_count for r in latest.collect()) == [1, 1]
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(cfg.dead_letter_path).collect())
+    assert reasons == ["dwell_not_positive", "invalid_utf8"]
+
+
+def test_compaction_and_table_ddl(spark):
+    from footfall.sinks.tables import compact_changelog, ensure_traffic_table, write_changelog
+
+    root = scratch_path(spark, "t_compact")
+    rows = [(0, T0, T0, "S", "Z", 1, 1.0), (1, T0, T0, "S", "Z", 3, 4.0), (1, T0, T0, "S", "Y", 1, 2.0)]
+    log = spark.createDataFrame(rows, "batch_id long, window_start timestamp, window_end timestamp, "
+                                      "store_id string, zone_id string, visitor_count long, "
+                                      "total_dwell_time double")
+    write_changelog(log, os.path.join(root, "cl"))
+    current = compact_changelog(spark, os.path.join(root, "cl"), os.path.join(root, "current"))
+    assert sorted((r.zone_id, r.visitor_count) for r in current.collect()) == [("Y", 1), ("Z", 3)]
+    assert "window_date" in current.columns
+    name = ensure_traffic_table(spark, "footfall_test", "traffic_stats", location=os.path.join(root, "tbl"),
+                                database_location=os.path.join(root, "db"))
+    assert ensure_traffic_table(spark, "footfall_test", "traffic_stats",
+                                location=os.path.join(root, "tbl")) == name
+    assert spark.table(name).columns == ["window_start", "window_end", "visitor_count",
+                                         "total_dwell_time", "store_id", "zone_id"]
