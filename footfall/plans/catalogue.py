@@ -36,7 +36,7 @@ from footfall.session import ensure_utc
 from footfall.sources.bus import bus_envelope
 from footfall.sources.dimensions import stores_dimension, zones_dimension
 from footfall.sources.events import sensor_events
-from footfall.sources.replay import DEFAULT_SLICE_MS, replay_slice
+from footfall.sources.replay import replay_slice
 
 TRAFFIC_ROUND = ("total_dwell_time",)
 
@@ -46,9 +46,15 @@ def clean_timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(clean_sensor_events(sensor_events(spark, sf_dir)))
 
 
-def traffic_changelog(spark: SparkSession, sf_dir: str, slice_ms: int = DEFAULT_SLICE_MS) -> DataFrame:
-    """Update-mode change log with one batch per replay slice."""
-    ev = clean_timed_events(spark, sf_dir).withColumn("batch_id", replay_slice("timestamp", slice_ms))
+# Fixed value: the processing-time trigger of the original job, 5 seconds.
+TRIGGER_MS = 5_000
+
+
+def traffic_changelog(spark: SparkSession, sf_dir: str, batch_ms: int = TRIGGER_MS) -> DataFrame:
+    """The update-mode change log the streaming job writes when events arrive
+    in real time and a micro-batch fires every ``batch_ms`` (one batch per
+    epoch-aligned interval that has data)."""
+    ev = clean_timed_events(spark, sf_dir).withColumn("batch_id", replay_slice("timestamp", batch_ms))
     return changelog_by_batch(ev)
 
 

@@ -77,17 +77,19 @@ def _with(*ctes: str) -> str:
 
 Q07 = _with(S, C) + traffic()
 
-# Slices of 5 days in epoch milliseconds (footfall.sources.replay).
-CHANGELOG = f"""
+def changelog(batch_ms: int) -> str:
+    """Update-mode change log with one batch per ``batch_ms`` of event time."""
+    return f"""
 per AS (
-  SELECT "timestamp" // 432000000 AS batch_id,
+  SELECT "timestamp" // {batch_ms} AS batch_id,
          time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
          store_id, zone_id,
          count(*) AS n, sum(dwell_time_seconds) AS dwell
   FROM c GROUP BY ALL
 )"""
 
-Q09 = _with(S, C, CHANGELOG) + """
+
+RUNNING = """
 SELECT batch_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, store_id, zone_id,
        cast(sum(n) OVER w AS BIGINT) AS visitor_count,
        round(sum(dwell) OVER w, 4) AS total_dwell_time
@@ -95,6 +97,10 @@ FROM per
 WINDOW w AS (PARTITION BY window_start, store_id, zone_id ORDER BY batch_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
+# 5-second trigger batches (q09) and 5-day replay slices (q18).
+Q09 = _with(S, C, changelog(5000)) + RUNNING
+Q18 = _with(S, C, changelog(432000000)) + RUNNING
+
 CURRENT = "t AS (" + traffic(rounded=False) + ")"
 
 Q11 = _with(S, C, CURRENT) + """
@@ -226,7 +232,7 @@ def oracle_queries() -> dict[str, str]:
         "q15b_reference_check": Q15B,
         "q16_quality_profile": Q16,
         "q17_stream_traffic": Q07,
-        "q18_idempotent_sink": Q09,
+        "q18_idempotent_sink": Q18,
         "q19_bus_records": Q02,
         "q20_late_data": Q07,
         "q21_local_time_flags": Q21,

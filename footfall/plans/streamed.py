@@ -25,7 +25,12 @@ from footfall.sinks.tables import (
 )
 from footfall.sources.bus import bus_envelope, topic_for_store
 from footfall.sources.events import sensor_events
-from footfall.sources.replay import envelope_file_stream, replay_slice, write_replay_files
+from footfall.sources.replay import (
+    DEFAULT_SLICE_MS,
+    envelope_file_stream,
+    replay_slice,
+    write_replay_files,
+)
 from footfall.streaming.traffic import StreamResult, run_query, traffic_stream
 
 TRAFFIC_ROUND = ("total_dwell_time",)
@@ -117,7 +122,7 @@ def q18_idempotent_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from footfall.plans.catalogue import traffic_changelog
 
     path = os.path.join(scratch_path(spark, "q18_idempotent_sink"), "changelog")
-    log = traffic_changelog(spark, sf_dir)
+    log = traffic_changelog(spark, sf_dir, batch_ms=DEFAULT_SLICE_MS)
     write_changelog(log, path)
     first = log.filter(F.col(BATCH_ID) == log.select(F.min(BATCH_ID)).scalar())
     # The retried batch, written by the same sink the stream uses.

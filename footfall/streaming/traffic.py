@@ -31,6 +31,16 @@ log = logging.getLogger(__name__)
 DEFAULT_WATERMARK = "10 minutes"
 DEFAULT_TRIGGER = "5 seconds"
 
+# State kept off-heap in RocksDB; each batch commits a change log of the
+# state instead of a full snapshot. Applied to queries started here (new
+# checkpoints keep the provider they were created with).
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def _observed_intake(decoded: DataFrame) -> DataFrame:
     """Attach per-batch intake counters (records, invalid UTF-8) to the
@@ -117,6 +127,7 @@ def run_query(
     trigger_interval: str = DEFAULT_TRIGGER,
     state_partitions: int | None = None,
     query_name: str | None = None,
+    rocksdb_state: bool = True,
 ) -> StreamResult | StreamingQuery:
     """Start ``stream`` into a ``foreachBatch`` sink.
 
@@ -137,14 +148,20 @@ def run_query(
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=trigger_interval
     )
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
+    overrides = dict(ROCKSDB_STATE) if rocksdb_state else {}
     if state_partitions:
-        spark.conf.set(key, str(state_partitions))
+        overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+    previous = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
     try:
-        query = writer.start()
+        query = writer.start()  # the query keeps a copy of the session settings
     finally:
-        spark.conf.set(key, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     if not available_now:
         return query
     query.awaitTermination()
