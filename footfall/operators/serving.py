@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.aggregate import aggregate_traffic
+
 
 def live_visitors(latest: DataFrame) -> DataFrame:
     """Visitors over all stores in the most recent window."""
@@ -23,6 +25,20 @@ def live_visitors(latest: DataFrame) -> DataFrame:
     )
 
 
+def live_visitors_from_events(
+    events: DataFrame, window_minutes: int = 5, time_col: str = "event_time"
+) -> DataFrame:
+    """``live_visitors`` straight from timed events, without aggregating every
+    window: the newest window is the one holding the latest event time (a
+    global max, partial per task), so only events from its start on are
+    aggregated and shuffled."""
+    width_ms = window_minutes * 60_000
+    newest = events.select(F.max(time_col)).scalar()
+    start = F.timestamp_millis(F.floor(F.unix_millis(newest) / width_ms) * width_ms)
+    recent = events.filter(F.col(time_col) >= start)
+    return live_visitors(aggregate_traffic(recent, f"{window_minutes} minutes", time_col))
+
+
 def store_performance(latest: DataFrame) -> DataFrame:
     """Visitor volume and dwell per store, largest first."""
     return (

@@ -29,7 +29,7 @@ from footfall.operators.quality import (
     rejected_events,
     unknown_store_zones,
 )
-from footfall.operators.serving import live_visitors, store_performance, zone_share
+from footfall.operators.serving import live_visitors_from_events, store_performance, zone_share
 from footfall.plans.output import present
 from footfall.schemas import SENSOR_EVENT_FIELDS
 from footfall.session import ensure_utc
@@ -120,7 +120,8 @@ def q10_latest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q11_live_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(live_visitors(traffic_current(spark, sf_dir)))
+    """Visitors over all stores in the newest 5-minute window."""
+    return present(live_visitors_from_events(clean_timed_events(spark, sf_dir)))
 
 
 def q12_store_performance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,11 +63,15 @@ def kafka_envelope_stream(
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Subscribe to one topic (all partitions) as a stream of envelopes.
 
-    ``starting_offsets`` applies only to a new checkpoint. Needs the
-    spark-sql-kafka connector on the classpath.
+    ``starting_offsets`` applies only to a new checkpoint. A forwarder that
+    keys every record by its source topic puts the whole feed into one Kafka
+    partition; ``min_partitions`` splits each batch's offset ranges into at
+    least that many Spark tasks, so the JSON parse (the CPU cost) runs in
+    parallel without a shuffle. Needs the spark-sql-kafka connector.
     """
     starting = starting_offsets.lower()
     if starting not in ("earliest", "latest"):
@@ -81,6 +85,8 @@ def kafka_envelope_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load().select(
         F.col("topic"),
         F.col("key"),

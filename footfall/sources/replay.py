@@ -57,14 +57,22 @@ def write_replay_files(
 
 
 def envelope_file_stream(
-    spark: SparkSession, root: str, max_files_per_trigger: int = 1
+    spark: SparkSession,
+    root: str,
+    max_files_per_trigger: int = 1,
+    ignore_missing_files: bool = True,
 ) -> DataFrame:
     """Stream the replay folder as envelopes, one file per trigger by default.
-    The staging folder is skipped (names starting with ``_`` are hidden)."""
+
+    The staging folder is skipped (names starting with ``_`` are hidden).
+    ``ignore_missing_files`` is the file analogue of not failing on data
+    loss: a file removed after it was listed is skipped, not fatal.
+    """
     return (
         spark.readStream.schema(ENVELOPE)
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
+        .option("ignoreMissingFiles", str(bool(ignore_missing_files)).lower())
         .parquet(root)
     )

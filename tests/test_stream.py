@@ -214,3 +214,10 @@ def test_counting_sink_does_not_double_state_metrics(spark):
                     changelog_batch_writer(os.path.join(root, "cl"), count_rows=True),
                     os.path.join(root, "ck"), state_partitions=2)
     assert res.dropped_by_watermark == 1
+
+
+def test_kafka_source_validates_starting_offsets(spark):
+    from footfall.sources.bus import kafka_envelope_stream
+
+    with pytest.raises(ValueError):
+        kafka_envelope_stream(spark, "broker:9092", "sensor-traffic", starting_offsets="middle")
