@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from footfall.fixed import PEAK_END_HOUR, PEAK_START_HOUR, WEEKEND_DAYS
+
 # The calendar range Spark timestamps can hold,
 # 0001-01-01T00:00:00Z .. 9999-12-31T23:59:59.999Z, in epoch milliseconds.
 MIN_EPOCH_MS = -62135596800000
@@ -35,7 +37,9 @@ def event_time_from_millis(ms: Column | str) -> Column:
     return F.when(valid_epoch_millis(c), F.timestamp_millis(c))
 
 
-def in_hour_range(ts: Column | str, start_hour: int = 9, end_hour: int = 18) -> Column:
+def in_hour_range(
+    ts: Column | str, start_hour: int = PEAK_START_HOUR, end_hour: int = PEAK_END_HOUR
+) -> Column:
     """Half-open hour range [start_hour, end_hour) of ``ts``; NULL -> False."""
     h = F.hour(_col(ts))
     return F.coalesce((h >= start_hour) & (h < end_hour), F.lit(False))
@@ -43,7 +47,7 @@ def in_hour_range(ts: Column | str, start_hour: int = 9, end_hour: int = 18) ->
 
 def is_weekend(ts: Column | str) -> Column:
     """Saturday or Sunday (dayofweek 1=Sunday .. 7=Saturday); NULL -> False."""
-    return F.coalesce(F.dayofweek(_col(ts)).isin(1, 7), F.lit(False))
+    return F.coalesce(F.dayofweek(_col(ts)).isin(*WEEKEND_DAYS), F.lit(False))
 
 
 def local_time(ts: Column | str, tz: Column | str) -> Column:

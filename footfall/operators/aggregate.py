@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_WINDOW = "5 minutes"
+from footfall.fixed import WINDOW_DURATION as DEFAULT_WINDOW
 
 
 def aggregate_traffic(

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.fixed import PEAK_END_HOUR, PEAK_START_HOUR
 from footfall.functions.time import event_time_from_millis, in_hour_range, is_weekend, local_time
 from footfall.operators.joins import broadcast_if_small
 from footfall.sources.dimensions import DEFAULT_TZ
 
-# Peak hours, half-open [9, 18).
-PEAK_START_HOUR = 9
-PEAK_END_HOUR = 18
 
 
 def with_event_time(df: DataFrame, ms_col: str = "timestamp", out_col: str = "event_time") -> DataFrame:

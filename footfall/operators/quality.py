@@ -9,13 +9,7 @@ from footfall.functions.time import valid_epoch_millis
 from footfall.operators.joins import broadcast_if_small
 from footfall.schemas import CORRUPT_COLUMN
 
-# Dwell-time bounds of a usable event (exclusive, inclusive).
-MIN_DWELL_SECONDS = 0.0
-MAX_DWELL_SECONDS = 3600.0
-
-# The sensor domains.
-AGE_RANGE_DOMAIN = ["under_18", "18-25", "26-35", "36-50", "over_50"]
-GENDER_DOMAIN = ["male", "female", "unknown"]
+from footfall.fixed import AGE_RANGES, GENDERS, MAX_DWELL_SECONDS, MIN_DWELL_SECONDS
 
 REJECT_REASON = "reject_reason"
 
@@ -112,10 +106,10 @@ def quality_profile(events: DataFrame) -> DataFrame:
         F.count_if(F.col("event_id").isNull()).alias("n_missing_event_id"),
         F.count_if(F.col("store_id").isNull()).alias("n_missing_store_id"),
         F.count_if(F.col("zone_id").isNull()).alias("n_missing_zone_id"),
-        F.count_if(~F.coalesce(F.col("age_range").isin(*AGE_RANGE_DOMAIN), F.lit(False))).alias(
+        F.count_if(~F.coalesce(F.col("age_range").isin(*AGE_RANGES), F.lit(False))).alias(
             "n_bad_age_range"
         ),
-        F.count_if(~F.coalesce(F.col("gender").isin(*GENDER_DOMAIN), F.lit(False))).alias(
+        F.count_if(~F.coalesce(F.col("gender").isin(*GENDERS), F.lit(False))).alias(
             "n_bad_gender"
         ),
         F.count_if(~F.coalesce(in_domain, F.lit(False))).alias("n_dwell_out_of_domain"),

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.fixed import TRIGGER_MS
 from footfall.functions.payload import is_utf8
 from footfall.operators.aggregate import aggregate_traffic
 from footfall.operators.changelog import changelog_by_batch, latest_per_key
@@ -46,8 +47,6 @@ def clean_timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(clean_sensor_events(sensor_events(spark, sf_dir)))
 
 
-# Fixed value: the processing-time trigger of the original job, 5 seconds.
-TRIGGER_MS = 5_000
 
 
 def traffic_changelog(spark: SparkSession, sf_dir: str, batch_ms: int = TRIGGER_MS) -> DataFrame:

@@ -13,12 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.fixed import AGE_RANGES, GENDERS
 from footfall.session import ensure_utc
 from footfall.sources.tables import read_table
 
-# Fixed values of the mapping (shared with the DuckDB oracle view).
-AGE_RANGES = ["under_18", "18-25", "26-35", "36-50", "over_50"]
-GENDERS = ["male", "female", "unknown"]
+# Values of this mapping (restated in the DuckDB oracle view).
 STORE_COUNT = 3
 ZONE_LETTERS = "ABCD"
 MISSING_STORE_EVERY = 97  # event ids divisible by this carry no store id

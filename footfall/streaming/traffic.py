@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from footfall.fixed import TRIGGER_INTERVAL, WATERMARK_DELAY
 from footfall.operators.aggregate import DEFAULT_WINDOW, aggregate_traffic
 from footfall.operators.enrich import with_event_time
 from footfall.operators.parse import decode_envelope
@@ -28,8 +29,8 @@ from footfall.schemas import CORRUPT_COLUMN, SENSOR_EVENT_FIELDS
 
 log = logging.getLogger(__name__)
 
-DEFAULT_WATERMARK = "10 minutes"
-DEFAULT_TRIGGER = "5 seconds"
+DEFAULT_WATERMARK = WATERMARK_DELAY
+DEFAULT_TRIGGER = TRIGGER_INTERVAL
 
 # State kept off-heap in RocksDB; each batch commits a change log of the
 # state instead of a full snapshot. Applied to queries started here (new
