@@ -10,6 +10,7 @@ from footfall.schemas import CORRUPT_COLUMN, SENSOR_EVENT_FIELDS
 
 PAYLOAD = "payload"
 UTF8_VALID = "utf8_valid"
+BUS_TIME = "bus_time"
 
 
 def utf8_gate(envelope: DataFrame, value_col: str = "value") -> DataFrame:
@@ -51,8 +52,14 @@ def parse_sensor_events(
 
 def decode_envelope(envelope: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """UTF-8 gate + parse in one projection; keeps ``utf8_valid``, the payload
-    and the corrupt-record column for reject classification."""
+    and the corrupt-record column for reject classification.
+
+    The envelope's arrival time (``timestamp``) is renamed ``bus_time`` so it
+    cannot clash with the event's own ``timestamp`` field; list ``bus_time``
+    in ``carry`` to keep it."""
     carry = list(carry if carry is not None else ["topic", "offset"])
+    if "timestamp" in envelope.columns:
+        envelope = envelope.withColumnRenamed("timestamp", BUS_TIME)
     gated = utf8_gate(envelope)
     return parse_sensor_events(
         gated, PAYLOAD, carry=carry + [UTF8_VALID, PAYLOAD], keep_corrupt=True

@@ -49,12 +49,16 @@ def reject_reason(
     min_dwell: float = MIN_DWELL_SECONDS,
     max_dwell: float = MAX_DWELL_SECONDS,
     has_gate: bool = True,
+    max_future_skew_ms: int | None = None,
 ) -> Column:
     """First failing check of a decoded event, NULL when the event is accepted.
 
     Order: invalid_utf8, empty_payload, malformed_json, missing_event_id,
     missing_store_id, missing_zone_id, invalid_dwell_time (NULL/NaN),
-    dwell_not_positive, dwell_too_long, bad_timestamp.
+    dwell_not_positive, dwell_too_long, bad_timestamp, and with
+    ``max_future_skew_ms`` future_timestamp: event time more than that after
+    the record's arrival on the bus (``bus_time``). Such an event would push
+    the watermark ahead and make every later on-time event late.
     """
     d = F.col("dwell_time_seconds")
     branches: list[tuple[Column, str]] = []
@@ -74,6 +78,9 @@ def reject_reason(
         (d > max_dwell, "dwell_too_long"),
         (~valid_epoch_millis("timestamp"), "bad_timestamp"),
     ]
+    if max_future_skew_ms is not None:
+        ahead = F.col("timestamp") > F.unix_millis(F.col("bus_time")) + F.lit(int(max_future_skew_ms))
+        branches.append((ahead, "future_timestamp"))
     expr = None
     for cond, reason in branches:
         expr = F.when(cond, F.lit(reason)) if expr is None else expr.when(cond, F.lit(reason))

@@ -40,6 +40,7 @@ class TrafficJobConfig:
     output_mode: str = "update"  # or "append": closed windows only
     idempotent: bool = True
     dedup: bool = False
+    max_future_skew_ms: int | None = None
     state_partitions: int | None = None
     available_now: bool = False  # back-fill / replay: stop when caught up
 
@@ -68,7 +69,9 @@ def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJob
     started = [
         run_query(
             spark,
-            traffic_stream(envelopes, cfg.watermark_delay, cfg.window_duration, cfg.dedup),
+            traffic_stream(
+                envelopes, cfg.watermark_delay, cfg.window_duration, cfg.dedup, cfg.max_future_skew_ms
+            ),
             changelog_batch_writer(cfg.changelog_path, idempotent=cfg.idempotent),
             os.path.join(cfg.checkpoint_root, "traffic"),
             output_mode=cfg.output_mode,

@@ -57,10 +57,17 @@ def accepted_event_stream(
     envelopes: DataFrame,
     watermark_delay: str | None = DEFAULT_WATERMARK,
     dedup: bool = False,
+    max_future_skew_ms: int | None = None,
 ) -> DataFrame:
-    """Accepted sensor events with ``event_time`` and a watermark."""
-    decoded = _observed_intake(decode_envelope(envelopes, carry=[]))
-    ev = with_event_time(accepted_events(classify_events(decoded)).select(*SENSOR_EVENT_FIELDS))
+    """Accepted sensor events with ``event_time`` and a watermark.
+
+    ``max_future_skew_ms`` rejects events stamped further than that ahead of
+    their arrival time, so one bad sensor clock cannot advance the watermark.
+    """
+    carry = ["bus_time"] if max_future_skew_ms is not None else []
+    decoded = _observed_intake(decode_envelope(envelopes, carry=carry))
+    classified = classify_events(decoded, max_future_skew_ms=max_future_skew_ms)
+    ev = with_event_time(accepted_events(classified).select(*SENSOR_EVENT_FIELDS))
     if watermark_delay:
         ev = ev.withWatermark("event_time", watermark_delay)
         if dedup:
@@ -73,15 +80,16 @@ def traffic_stream(
     watermark_delay: str = DEFAULT_WATERMARK,
     window_duration: str = DEFAULT_WINDOW,
     dedup: bool = False,
+    max_future_skew_ms: int | None = None,
 ) -> DataFrame:
     """Windowed traffic over an envelope stream (or a bounded envelope table)."""
-    return aggregate_traffic(accepted_event_stream(envelopes, watermark_delay, dedup), window_duration)
+    events = accepted_event_stream(envelopes, watermark_delay, dedup, max_future_skew_ms)
+    return aggregate_traffic(events, window_duration)
 
 
 def dead_letter_stream(envelopes: DataFrame) -> DataFrame:
     """Rejected records with their reason, raw payload and bus position."""
-    bus = envelopes.withColumnRenamed("timestamp", "bus_time")
-    decoded = decode_envelope(bus, carry=["topic", "offset", "bus_time"])
+    decoded = decode_envelope(envelopes, carry=["topic", "offset", "bus_time"])
     return rejected_events(classify_events(decoded)).select(
         "topic",
         "offset",

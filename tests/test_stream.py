@@ -221,3 +221,32 @@ def test_kafka_source_validates_starting_offsets(spark):
 
     with pytest.raises(ValueError):
         kafka_envelope_stream(spark, "broker:9092", "sensor-traffic", starting_offsets="middle")
+
+
+def _replay_with_bus_time(spark, batches, kind):
+    """Like ``replay`` but each payload comes with its arrival minute."""
+    rows = []
+    for b, values in enumerate(batches):
+        for i, (v, arrival) in enumerate(values):
+            rows.append(("t", b"t", v, b * 1000 + i, T0 + dt.timedelta(minutes=arrival), b))
+    schema = StructType(ENVELOPE.fields + [StructField("slice", LongType())])
+    root = scratch_path(spark, kind)
+    write_replay_files(spark.createDataFrame(rows, schema), os.path.join(root, "in"))
+    return root, envelope_file_stream(spark, os.path.join(root, "in"), 1)
+
+
+@pytest.mark.parametrize("guard", [False, True])
+def test_future_timestamp_guard_protects_watermark(spark, guard):
+    # A sensor with a clock 10 hours ahead: without the guard it moves the
+    # watermark to 19:50; one batch later (the late filter lags a batch)
+    # on-time events are dropped as late and their window is evicted.
+    batches = [[(payload("a", 1), 1)], [(payload("clock", 600), 2)], [(payload("c", 2), 2)],
+               [(payload("b", 3), 3)]]
+    root, stream = _replay_with_bus_time(spark, batches, f"t_future_{guard}")
+    out = []
+    res = run_query(spark, traffic_stream(stream, max_future_skew_ms=60_000 if guard else None),
+                    collect_sink(out), os.path.join(root, "ck"), state_partitions=2)
+    ten = max((n for _, w, n in out if w == "10:00"), default=0)
+    assert ten == (3 if guard else 2)
+    assert res.dropped_by_watermark == (0 if guard else 1)
+    assert any(w == "20:00" for _, w, _ in out) is (not guard)
