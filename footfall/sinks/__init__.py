@@ -6,6 +6,7 @@ from footfall.sinks.tables import (
     compact_changelog,
     ensure_traffic_table,
     read_changelog,
+    register_traffic_view,
     write_bus_records,
     write_changelog,
     write_changelog_batch,
@@ -18,6 +19,7 @@ __all__ = [
     "compact_changelog",
     "ensure_traffic_table",
     "read_changelog",
+    "register_traffic_view",
     "write_bus_records",
     "write_changelog",
     "write_changelog_batch",

@@ -93,6 +93,17 @@ def read_changelog(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return df.withColumn(BATCH_ID, F.col(BATCH_ID).cast("long"))
 
 
+def register_traffic_view(
+    spark: SparkSession, changelog_path: str, name: str = "traffic_stats", fmt: str = "parquet"
+) -> DataFrame:
+    """Expose the current table over a stored change log as a temporary view
+    with exactly the six traffic_stats columns (latest batch per key), for
+    dashboards written in SQL."""
+    current = latest_per_key(read_changelog(spark, changelog_path, fmt)).select(*TRAFFIC_COLUMNS)
+    current.createOrReplaceTempView(name)
+    return current
+
+
 def compact_changelog(spark: SparkSession, changelog_path: str, out_path: str, fmt: str = "parquet") -> DataFrame:
     """Rewrite the change log as the current table (one row per key),
     partitioned by window date so dashboard reads prune by time."""

@@ -56,3 +56,19 @@ def test_serving_queries(spark):
     assert sp == [("S1", 5), ("S2", 2)]
     zs = {(r.store_id, r.zone_id): r.share for r in zone_share(latest).collect()}
     assert zs == {("S1", "A"): 4 / 7, ("S2", "B"): 2 / 7, ("S1", "B"): 1 / 7}
+
+
+def test_traffic_view_over_stored_changelog(spark):
+    import os
+
+    from footfall.session import scratch_path
+    from footfall.sinks.tables import register_traffic_view, write_changelog
+
+    path = os.path.join(scratch_path(spark, "t_view"), "cl")
+    write_changelog(changelog_by_batch(fixture(spark)), path)
+    view = register_traffic_view(spark, path, "traffic_stats_test")
+    assert view.columns == ["window_start", "window_end", "store_id", "zone_id",
+                            "visitor_count", "total_dwell_time"]
+    top = spark.sql("SELECT store_id, sum(visitor_count) AS v FROM traffic_stats_test "
+                    "GROUP BY store_id ORDER BY v DESC").collect()
+    assert [(r.store_id, r.v) for r in top] == [("S1", 5), ("S2", 2)]
