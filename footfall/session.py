@@ -57,23 +57,28 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at storage all
-    executors see. Only when it is unset (a unit test, a laptop) is a
-    local folder created and registered as the checkpoint folder.
+    executors see; it is required there. Only a local-mode session (a unit
+    test, a laptop) without it gets a local folder, created and registered
+    as the checkpoint folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext, nothing to fall back on
+    except Exception:  # Spark Connect: no SparkContext
         sc = None
     if sc is not None:
         current = sc.getCheckpointDir()
         if current:
             return current
+    if sc is None or not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at shared storage (HDFS, S3, ...) "
+            "for stream checkpoints, replay files and change logs"
+        )
     path = tempfile.mkdtemp(prefix="footfall-")
-    if sc is not None:
-        sc.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
