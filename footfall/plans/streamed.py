@@ -36,11 +36,10 @@ from footfall.streaming.traffic import StreamResult, run_query, traffic_stream
 TRAFFIC_ROUND = ("total_dwell_time",)
 TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
 
-# Fixed values of the late-data scenario: every LATE_COPY_EVERY-th bus record
-# is delivered a second time LATE_BY_SLICES slices (15 days) after it was due.
-# Three slices, not two: the late-row filter of a micro-batch uses the
+# Late-data scenario: every bus record is delivered a second time
+# LATE_BY_SLICES slices (15 days) after it was due, while the replay still
+# runs. Three slices, not two: the late-row filter of a micro-batch uses the
 # watermark of the batch before it, which trails the data by a whole slice.
-LATE_COPY_EVERY = 7
 LATE_BY_SLICES = 3
 
 MAX_FILES_PER_SLICE = 64
@@ -54,15 +53,15 @@ def _parallelism(spark: SparkSession) -> int:
 
 
 def replay_envelopes(spark: SparkSession, sf_dir: str, late_copies: bool = False) -> DataFrame:
-    """Bus envelopes of all events with their replay slice; optionally plus
-    designed late duplicates re-delivered ``LATE_BY_SLICES`` slices later
-    (only where that slice still lies inside the replay)."""
+    """Bus envelopes of all events with their replay slice; optionally plus a
+    late duplicate of every record, re-delivered ``LATE_BY_SLICES`` slices
+    later (records of the last slices have no later slice inside the replay)."""
     env = bus_envelope(spark, sf_dir).withColumn("slice", replay_slice(F.unix_millis("timestamp")))
     if late_copies:
         last = env.select(F.max("slice")).scalar()
-        late = env.filter(
-            (F.col("offset") % LATE_COPY_EVERY == 0) & (F.col("slice") + LATE_BY_SLICES <= last)
-        ).withColumn("slice", F.col("slice") + LATE_BY_SLICES)
+        late = env.filter(F.col("slice") + LATE_BY_SLICES <= last).withColumn(
+            "slice", F.col("slice") + LATE_BY_SLICES
+        )
         env = env.unionByName(late)
     return env
 

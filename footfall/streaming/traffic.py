@@ -102,7 +102,11 @@ def dead_letter_stream(envelopes: DataFrame) -> DataFrame:
 
 @dataclass
 class StreamResult:
-    """Outcome of a finished run: batches and summed progress metrics."""
+    """Outcome of a finished run: batches and summed progress metrics.
+
+    ``dropped_by_watermark`` is Spark's count of rows the state operator
+    rejected as late; it sees rows after the map-side partial aggregate, so
+    late events of one key within one task count once."""
 
     batches: int = 0
     input_rows: int = 0
