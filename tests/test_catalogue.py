@@ -57,9 +57,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(ocols, res.fetchall())
 
 
-def test_late_data_query_matches(spark, duck):
-    df = queries()["q20_late_data"](spark, SF_SMALL)
-    res = duck.execute(oracle_sql()["q20_late_data"])
+@pytest.mark.parametrize("name", sorted(STREAMED))
+def test_streamed_query_matches(spark, duck, name):
+    df = queries()[name](spark, SF_SMALL)
+    res = duck.execute(oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(ocols, res.fetchall())
 
