@@ -63,14 +63,17 @@ def with_local_time_flags(
     peak_end: int = PEAK_END_HOUR,
 ) -> DataFrame:
     """Peak-hour and weekend flags in each store's own time zone (``tz`` of
-    the store dimension; stores without a row fall back to UTC)."""
+    the store dimension; stores without a row fall back to UTC). Adds
+    ``tz``, ``local_time`` (store wall clock), ``is_peak_hour_local`` and
+    ``is_weekend_local``."""
     s = broadcast_if_small(stores.select("store_id", F.col("tz").alias("_store_tz")))
     joined = df.join(s, on=["store_id"], how="left")
     tz = F.coalesce(F.col("_store_tz"), F.lit(DEFAULT_TZ))
     lt = local_time(F.col(time_col), tz)
     return (
         joined.withColumn("tz", tz)
-        .withColumn("is_peak_hour_local", in_hour_range(lt, peak_start, peak_end))
-        .withColumn("is_weekend_local", is_weekend(lt))
+        .withColumn("local_time", lt)
+        .withColumn("is_peak_hour_local", in_hour_range("local_time", peak_start, peak_end))
+        .withColumn("is_weekend_local", is_weekend("local_time"))
         .drop("_store_tz")
     )

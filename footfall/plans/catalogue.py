@@ -47,8 +47,6 @@ def clean_timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(clean_sensor_events(sensor_events(spark, sf_dir)))
 
 
-
-
 def traffic_changelog(spark: SparkSession, sf_dir: str, batch_ms: int = TRIGGER_MS) -> DataFrame:
     """The update-mode change log the streaming job writes when events arrive
     in real time and a micro-batch fires every ``batch_ms`` (one batch per
@@ -82,6 +80,7 @@ def q02_parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q03_clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor events that pass the noise filter."""
     return clean_sensor_events(sensor_events(spark, sf_dir))
 
 
@@ -92,11 +91,13 @@ def q04_reject_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q05_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event time from epoch milliseconds for every event."""
     s = with_event_time(sensor_events(spark, sf_dir))
     return present(s.select("event_id", "timestamp", "event_time"))
 
 
 def q06_enrich_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events with UTC peak-hour and weekend flags."""
     return enrich_with_time_flags(clean_sensor_events(sensor_events(spark, sf_dir)))
 
 
@@ -106,10 +107,12 @@ def q07_traffic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q08_traffic_window_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship aggregate with a 15-minute window."""
     return present(aggregate_traffic(clean_timed_events(spark, sf_dir), "15 minutes"), TRAFFIC_ROUND)
 
 
 def q09_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update-mode change log with the 5-second trigger (running totals)."""
     return present(traffic_changelog(spark, sf_dir), TRAFFIC_ROUND)
 
 
@@ -124,10 +127,12 @@ def q11_live_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q12_store_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors and dwell per store over the current table."""
     return present(store_performance(traffic_current(spark, sf_dir)), TRAFFIC_ROUND)
 
 
 def q13_zone_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each zone's share of all visitors over the current table."""
     return zone_share(traffic_current(spark, sf_dir))
 
 
@@ -144,26 +149,26 @@ def q14_dim_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q15a_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and their share per (age range, gender)."""
     return demographics(sensor_events(spark, sf_dir))
 
 
 def q15b_reference_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(store, zone) pairs of events that have no zone-dimension row."""
     return unknown_store_zones(sensor_events(spark, sf_dir), zones_dimension(spark, sf_dir))
 
 
 def q16_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-row data-quality profile of the sensor events."""
     return quality_profile(sensor_events(spark, sf_dir))
 
 
 def q21_local_time_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peak-hour and weekend flags in each store's own time zone."""
     ev = clean_timed_events(spark, sf_dir).select("event_id", "store_id", "event_time")
     out = with_local_time_flags(ev, stores_dimension(spark, sf_dir))
     return present(
-        out.select(
-            "event_id", "store_id", "tz",
-            F.from_utc_timestamp("event_time", F.col("tz")).alias("local_time"),
-            "is_peak_hour_local", "is_weekend_local",
-        )
+        out.select("event_id", "store_id", "tz", "local_time", "is_peak_hour_local", "is_weekend_local")
     )
 
 

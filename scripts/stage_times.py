@@ -27,10 +27,16 @@ def main():
         elif ev == "SparkListenerStageCompleted":
             s = e["Stage Info"]
             stages.append((s.get("Completion Time", 0) - s.get("Submission Time", 0),
-                           s["Stage ID"], s["Number of Tasks"], s["Stage Name"][:60]))
+                           s["Stage ID"], s["Number of Tasks"], s["Stage Name"][:60],
+                           s.get("Submission Time", 0)))
     total = sum(end - start for start, end in jobs.values() if end)
     print(f"{len(jobs)} jobs, {total} ms in jobs, {len(stages)} stages")
-    for ms, sid, tasks, name in sorted(stages, reverse=True)[:15]:
+    if "--all" in sys.argv:
+        t0 = min(st[4] for st in stages)
+        for ms, sid, tasks, name, sub in sorted(stages, key=lambda st: st[1]):
+            print(f"stage {sid:5d} +{(sub - t0) / 1000:7.2f}s {ms:7d} ms {tasks:5d} tasks  {name}")
+        return
+    for ms, sid, tasks, name, _ in sorted(stages, reverse=True)[:15]:
         print(f"stage {sid:5d} {ms:7d} ms {tasks:5d} tasks  {name}")
 
 
