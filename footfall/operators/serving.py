@@ -53,11 +53,11 @@ def store_performance(latest: DataFrame) -> DataFrame:
 
 
 def zone_share(latest: DataFrame) -> DataFrame:
-    """Each (store, zone)'s share of all visitors."""
-    total = latest.select(F.sum("visitor_count")).scalar()
-    return (
-        latest.groupBy("store_id", "zone_id")
-        .agg(F.sum("visitor_count").alias("visitor_count"))
-        .withColumn("share", F.col("visitor_count") / total)
-        .orderBy(F.desc("share"), "store_id", "zone_id")
+    """Each (store, zone)'s share of all visitors. The total is summed from
+    the per-zone rows, so its subquery shares the aggregation's shuffle
+    stages (reused, not recomputed)."""
+    per_zone = latest.groupBy("store_id", "zone_id").agg(F.sum("visitor_count").alias("visitor_count"))
+    total = per_zone.select(F.sum("visitor_count")).scalar()
+    return per_zone.withColumn("share", F.col("visitor_count") / total).orderBy(
+        F.desc("share"), "store_id", "zone_id"
     )
