@@ -2,6 +2,8 @@
 
 from footfall.sinks.tables import (
     append_changelog_batch,
+    bus_records,
+    publish_to_kafka,
     changelog_batch_writer,
     compact_changelog,
     ensure_traffic_table,
@@ -15,6 +17,8 @@ from footfall.sinks.tables import (
 
 __all__ = [
     "append_changelog_batch",
+    "bus_records",
+    "publish_to_kafka",
     "changelog_batch_writer",
     "compact_changelog",
     "ensure_traffic_table",

@@ -145,16 +145,30 @@ def write_dead_letters(rejected: DataFrame, path: str, fmt: str = "parquet") ->
     rejected.write.mode("append").partitionBy("reject_reason").format(fmt).save(path)
 
 
-def write_bus_records(events: DataFrame, path: str, topic_col: str = "topic", fmt: str = "parquet") -> None:
-    """Publish sensor events as bus records: key = topic bytes, value = JSON
-    bytes. Offline analogue of ``writeStream.format("kafka")``."""
+def bus_records(events: DataFrame, topic_col: str = "topic") -> DataFrame:
+    """Sensor events as bus records: key = topic bytes, value = JSON bytes."""
+    return events.select(
+        F.col(topic_col).alias("topic"),
+        F.encode(F.col(topic_col), "UTF-8").alias("key"),
+        F.encode(sensor_event_json(), "UTF-8").alias("value"),
+    )
+
+
+def publish_to_kafka(events: DataFrame, bootstrap_servers: str, topic: str) -> None:
+    """Publish sensor events to one Kafka topic, keyed by their source topic
+    (needs the spark-sql-kafka connector). Kafka's producer settings such as
+    ``acks`` pass through as ``kafka.*`` options in a deployment."""
     (
-        events.select(
-            F.col(topic_col).alias("topic"),
-            F.encode(F.col(topic_col), "UTF-8").alias("key"),
-            F.encode(sensor_event_json(), "UTF-8").alias("value"),
-        )
-        .write.mode("append")
-        .format(fmt)
-        .save(path)
+        bus_records(events)
+        .select("key", "value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .save()
     )
+
+
+def write_bus_records(events: DataFrame, path: str, topic_col: str = "topic", fmt: str = "parquet") -> None:
+    """Publish sensor events as bus records to files: the offline analogue
+    of ``publish_to_kafka``."""
+    bus_records(events, topic_col).write.mode("append").format(fmt).save(path)

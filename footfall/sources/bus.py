@@ -64,6 +64,7 @@ def kafka_envelope_stream(
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    group_id_prefix: str | None = None,
 ) -> DataFrame:
     """Subscribe to one topic (all partitions) as a stream of envelopes.
 
@@ -87,6 +88,8 @@ def kafka_envelope_stream(
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     if min_partitions:
         reader = reader.option("minPartitions", str(min_partitions))
+    if group_id_prefix:
+        reader = reader.option("groupIdPrefix", group_id_prefix)
     return reader.load().select(
         F.col("topic"),
         F.col("key"),
