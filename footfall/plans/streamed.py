@@ -123,10 +123,10 @@ def q18_idempotent_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(scratch_path(spark, "q18_idempotent_sink"), "changelog")
     log = traffic_changelog(spark, sf_dir, batch_ms=DEFAULT_SLICE_MS)
     write_changelog(log, path)
-    first = log.filter(F.col(BATCH_ID) == log.select(F.min(BATCH_ID)).scalar())
-    # The retried batch, written by the same sink the stream uses.
-    b0 = first.select(F.min(BATCH_ID)).first()[0]
-    changelog_batch_writer(path)(first.drop(BATCH_ID), b0)
+    # A retry recomputes the batch from its source; only its id comes from the table.
+    b0 = read_changelog(spark, path).agg(F.min(BATCH_ID)).first()[0]
+    retried = log.filter(F.col(BATCH_ID) == F.lit(b0)).drop(BATCH_ID)
+    changelog_batch_writer(path)(retried, b0)
     return present(read_changelog(spark, path).select(BATCH_ID, *TRAFFIC_COLUMNS), TRAFFIC_ROUND)
 
 
