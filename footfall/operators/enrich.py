@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from footfall.fixed import PEAK_END_HOUR, PEAK_START_HOUR
 from footfall.functions.time import event_time_from_millis, in_hour_range, is_weekend, local_time
-from footfall.operators.joins import broadcast_if_small
+from footfall.operators.joins import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    DEFAULT_SALT_BUCKETS,
+    is_small,
+    salted_left_join,
+)
 from footfall.sources.dimensions import DEFAULT_TZ
 
 
@@ -33,25 +38,34 @@ def enrich_with_time_flags(
     )
 
 
+def _lookup(events: DataFrame, dim: DataFrame, keys: list[str], max_rows: int, buckets: int) -> DataFrame:
+    if is_small(dim, max_rows):
+        return events.join(F.broadcast(dim), on=keys, how="left")
+    return salted_left_join(events, dim, keys, buckets)
+
+
 def join_dimensions(
     events: DataFrame,
     stores: DataFrame | None = None,
     zones: DataFrame | None = None,
     store_cols: list[str] | None = None,
     zone_cols: list[str] | None = None,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Left-join store and zone attributes onto events. Unmatched events are
     kept with NULL attributes. Each dimension is broadcast only after a
-    bounded row count proves it small; a larger one is shuffle-joined."""
+    bounded row count proves it small; a larger one is shuffle-joined with
+    salted keys so a busy store does not land in a single task."""
     out = events
     if zones is not None:
         cols = zone_cols or ["zone_name", "product_category"]
         z = zones.select("store_id", "zone_id", *cols)
-        out = out.join(broadcast_if_small(z), on=["store_id", "zone_id"], how="left")
+        out = _lookup(out, z, ["store_id", "zone_id"], max_broadcast_rows, salt_buckets)
     if stores is not None:
         cols = store_cols or ["store_name", "tz"]
         s = stores.select("store_id", *cols)
-        out = out.join(broadcast_if_small(s), on=["store_id"], how="left")
+        out = _lookup(out, s, ["store_id"], max_broadcast_rows, salt_buckets)
     return out
 
 
@@ -61,13 +75,15 @@ def with_local_time_flags(
     time_col: str = "event_time",
     peak_start: int = PEAK_START_HOUR,
     peak_end: int = PEAK_END_HOUR,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Peak-hour and weekend flags in each store's own time zone (``tz`` of
     the store dimension; stores without a row fall back to UTC). Adds
     ``tz``, ``local_time`` (store wall clock), ``is_peak_hour_local`` and
     ``is_weekend_local``."""
-    s = broadcast_if_small(stores.select("store_id", F.col("tz").alias("_store_tz")))
-    joined = df.join(s, on=["store_id"], how="left")
+    s = stores.select("store_id", F.col("tz").alias("_store_tz"))
+    joined = _lookup(df, s, ["store_id"], max_broadcast_rows, salt_buckets)
     tz = F.coalesce(F.col("_store_tz"), F.lit(DEFAULT_TZ))
     lt = local_time(F.col(time_col), tz)
     return (

@@ -9,12 +9,44 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
+# Salt buckets for a shuffle join against a dimension too large to broadcast.
+DEFAULT_SALT_BUCKETS = 32
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """Bounded count: True when ``df`` has at most ``max_rows`` rows. Stops
+    after ``max_rows + 1`` rows, so it is cheap on a large table too."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only when it is proven to hold at most
     ``max_rows`` rows; otherwise return it unchanged so the planner uses a
-    shuffle join (and AQE may still convert it at run time).
+    shuffle join (and AQE may still convert it at run time)."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def salted_left_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_col: str | None = "event_id",
+) -> DataFrame:
+    """Left join on ``keys`` that spreads each key over ``buckets`` tasks.
 
-    The check is a bounded count: it stops after ``max_rows + 1`` rows.
+    For a dimension too large to broadcast when one key (a busy store) may
+    carry a third of the facts and adaptive skew handling is not available
+    (streaming micro-batches run without AQE). Each fact gets a salt from a
+    hash of ``salt_col`` (deterministic, so a retried task sees the same
+    salt); each dimension row is repeated once per salt value. The result
+    equals a plain left join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    salt = "_salt"
+    if salt_col and salt_col in facts.columns:
+        s = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(buckets))
+    else:
+        s = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(buckets))
+    f = facts.withColumn(salt, s.cast("int"))
+    d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return f.join(d, on=[*keys, salt], how="left").drop(salt)

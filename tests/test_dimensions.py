@@ -75,3 +75,37 @@ def test_derived_dimensions_have_unique_keys(spark):
     assert z.count() == z.select("store_id", "zone_id").distinct().count() == 25
     assert s.count() == s.select("store_id").distinct().count() == 5
     assert s.filter(F.col("tz").isNull()).count() == 0
+
+
+def test_large_dimension_uses_salted_shuffle_join(spark, events):
+    stores, zones = seeded_dims(spark)
+    rows = [event(event_id=str(i), store_id="ZRH_01", zone_id="ZONE_A") for i in range(50)]
+    rows += [event(event_id="x", store_id="MAD_01", zone_id="ZONE_1")]
+    ev = events(rows)
+    plain = {(r.event_id, r.store_name, r.zone_name) for r in join_dimensions(ev, stores, zones).collect()}
+    salted_df = join_dimensions(ev, stores, zones, max_broadcast_rows=0, salt_buckets=8)
+    salted = {(r.event_id, r.store_name, r.zone_name) for r in salted_df.collect()}
+    assert salted == plain and len(salted) == 51
+    assert salted_df.columns == join_dimensions(ev, stores, zones).columns
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = join_dimensions(ev, stores, zones, max_broadcast_rows=0, salt_buckets=8)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_salt" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_salt_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from footfall.operators.joins import salted_left_join
+
+    facts = spark.range(4000).select(F.col("id").cast("string").alias("event_id"), F.lit("HOT").alias("k"))
+    dim = spark.createDataFrame([("HOT", "v")], "k string, attr string")
+    out = salted_left_join(facts, dim, ["k"], buckets=16)
+    assert out.filter("attr = 'v'").count() == 4000
+    per_salt = facts.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(16))).count().collect()
+    assert len(per_salt) == 16 and max(r["count"] for r in per_salt) < 4000 / 8
