@@ -38,3 +38,20 @@ def test_unknown_store_zones(spark, events):
             event(store_id=None, zone_id="ZONE_A")]
     out = {(r.store_id, r.zone_id): r.n_events for r in unknown_store_zones(events(rows), zones).collect()}
     assert out == {("ZRH_01", "ZONE_Z"): 1, ("MAD_01", "ZONE_A"): 1, (None, "ZONE_A"): 2}
+
+
+def test_profile_approximate_distinct(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20000).select((F.col("id") % 5000).cast("string").alias("event_id"),
+                                   F.lit(None).cast("long").alias("timestamp"),
+                                   F.lit("S").alias("store_id"), F.lit("Z").alias("zone_id"),
+                                   F.lit(None).cast("string").alias("sensor_id"),
+                                   F.lit("18-25").alias("age_range"), F.lit("male").alias("gender"),
+                                   F.lit(5.0).alias("dwell_time_seconds"))
+    exact = quality_profile(df).first()
+    approx = quality_profile(df, exact_distinct=False, rsd=0.02).first()
+    assert exact.n_distinct_event_ids == 5000
+    assert abs(approx.n_distinct_event_ids - 5000) <= 5000 * 0.06
+    plan = quality_profile(df, exact_distinct=False)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(event_id" not in plan
