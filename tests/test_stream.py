@@ -271,3 +271,15 @@ def test_every_late_duplicate_is_dropped(spark):
     # The metric counts rows reaching the state operator, i.e. after the
     # map-side partial aggregate: copies of one key in one task count once.
     assert keys <= res.dropped_by_watermark <= copies
+
+
+def test_command_line_stream_replay(spark):
+    from footfall.__main__ import main
+
+    root, _ = replay(spark, [[payload("a", 1)], [payload("b", 2), b"\xff"]], "t_cli")
+    cl, dlq = os.path.join(root, "cl"), os.path.join(root, "dlq")
+    assert main(["stream", "--replay-dir", os.path.join(root, "in"), "--changelog", cl,
+                 "--checkpoint", os.path.join(root, "ck"), "--dead-letters", dlq,
+                 "--available-now", "--state-partitions", "2"]) == 0
+    assert [r.visitor_count for r in latest_per_key(read_changelog(spark, cl)).collect()] == [2]
+    assert [r.reject_reason for r in spark.read.parquet(dlq).collect()] == ["invalid_utf8"]
