@@ -101,3 +101,24 @@ def test_non_utc_session_is_pinned(spark):
             "FROM events e", f"FROM read_parquet('{SF_SMALL}/events.parquet') e")
     ).fetchall()
     assert sorted(r.is_peak_hour for r in rows) == sorted(r[8] for r in duck_rows)
+
+
+def test_results_independent_of_input_layout(spark):
+    """The events table re-written as 7 files (parallel scans, as on a
+    cluster) and 3 shuffle partitions gives the same results."""
+    from footfall.session import scratch_path
+
+    split_dir = scratch_path(spark, "t_layout")
+    spark.read.parquet(os.path.join(SF_SMALL, "events.parquet")).repartition(7).write.parquet(
+        os.path.join(split_dir, "events.parquet"))
+    names = ["q04_reject_events", "q07_traffic_stats", "q10_latest_stats", "q16_quality_profile"]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        split = {n: canon(queries()[n](spark, split_dir).columns,
+                          [tuple(r) for r in queries()[n](spark, split_dir).collect()]) for n in names}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for n in names:
+        df = queries()[n](spark, SF_SMALL)
+        assert split[n] == canon(df.columns, [tuple(r) for r in df.collect()]), n

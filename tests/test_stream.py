@@ -283,3 +283,37 @@ def test_command_line_stream_replay(spark):
                  "--available-now", "--state-partitions", "2"]) == 0
     assert [r.visitor_count for r in latest_per_key(read_changelog(spark, cl)).collect()] == [2]
     assert [r.reject_reason for r in spark.read.parquet(dlq).collect()] == ["invalid_utf8"]
+
+
+def _crash_once_after_write(inner, crash_batch):
+    state = {"crashed": False}
+
+    def sink(df, batch_id):
+        inner(df, batch_id)
+        if batch_id == crash_batch and not state["crashed"]:
+            state["crashed"] = True
+            raise RuntimeError("driver lost after the write, before the commit")
+
+    return sink
+
+
+@pytest.mark.parametrize("idempotent", [True, False])
+def test_restart_after_failure_is_exactly_once(spark, idempotent):
+    batches = [[payload("a", 1)], [payload("b", 2)], [payload("c", 3)], [payload("d", 7)]]
+    root, stream = replay(spark, batches, f"t_restart_{idempotent}")
+    path, ck = os.path.join(root, "cl"), os.path.join(root, "ck")
+    sink = _crash_once_after_write(changelog_batch_writer(path, idempotent=idempotent), 2)
+    with pytest.raises(Exception):
+        run_query(spark, traffic_stream(stream), sink, ck, state_partitions=2)
+    # Restart from the checkpoint: batch 2 runs again, then the rest.
+    stream2 = envelope_file_stream(spark, os.path.join(root, "in"), 1)
+    run_query(spark, traffic_stream(stream2), sink, ck, state_partitions=2)
+    log = read_changelog(spark, path)
+    per_batch = sorted((r.batch_id, r.visitor_count) for r in log.filter("window_start is not null").collect())
+    clean = [(0, 1), (1, 2), (2, 3), (3, 1)]
+    if idempotent:
+        assert per_batch == clean
+    else:
+        assert per_batch == sorted(clean + [(2, 3)])  # batch 2 stored twice
+    latest = {r.visitor_count for r in latest_per_key(log).collect()}
+    assert latest == {3, 1}
