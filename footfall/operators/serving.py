@@ -35,8 +35,15 @@ def live_visitors_from_events(
     width_ms = window_minutes * 60_000
     newest = events.select(F.max(time_col)).scalar()
     start = F.timestamp_millis(F.floor(F.unix_millis(newest) / width_ms) * width_ms)
-    recent = events.filter(F.col(time_col) >= start)
-    return live_visitors(aggregate_traffic(recent, f"{window_minutes} minutes", time_col))
+    recent = events.filter(F.col(time_col) >= start)  # all of it lies in the newest window
+    return (
+        aggregate_traffic(recent, f"{window_minutes} minutes", time_col)
+        .groupBy("window_start", "window_end")
+        .agg(
+            F.sum("visitor_count").alias("visitor_count"),
+            F.count(F.lit(1)).alias("active_zones"),
+        )
+    )
 
 
 def store_performance(latest: DataFrame) -> DataFrame:
