@@ -12,6 +12,7 @@ restarted queries resume from their checkpoints.
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,9 @@ from footfall.streaming.traffic import (
 )
 
 
+_INTERVAL = re.compile(r"^\s*\d+\s+(millisecond|second|minute|hour|day)s?\s*$", re.IGNORECASE)
+
+
 @dataclass
 class TrafficJobConfig:
     changelog_path: str
@@ -44,6 +48,20 @@ class TrafficJobConfig:
     state_partitions: int | None = None
     available_now: bool = False  # back-fill / replay: stop when caught up
 
+    def __post_init__(self) -> None:
+        if self.output_mode not in ("update", "append"):
+            raise ValueError(f"output_mode must be 'update' or 'append', not {self.output_mode!r}")
+        for name in ("watermark_delay", "window_duration", "trigger_interval"):
+            value = getattr(self, name)
+            if not isinstance(value, str) or not _INTERVAL.match(value):
+                raise ValueError(f"{name} must look like '10 minutes', not {value!r}")
+        for name in ("state_partitions", "max_future_skew_ms"):
+            value = getattr(self, name)
+            if value is not None and value <= 0:
+                raise ValueError(f"{name} must be positive")
+        if not self.changelog_path or not self.checkpoint_root:
+            raise ValueError("changelog_path and checkpoint_root are required")
+
 
 def dead_letter_writer(path: str):
     """``foreachBatch`` sink for rejects; each batch owns its folder."""

@@ -317,3 +317,19 @@ def test_restart_after_failure_is_exactly_once(spark, idempotent):
         assert per_batch == sorted(clean + [(2, 3)])  # batch 2 stored twice
     latest = {r.visitor_count for r in latest_per_key(log).collect()}
     assert latest == {3, 1}
+
+
+@pytest.mark.parametrize("bad", [
+    {"output_mode": "complete"}, {"watermark_delay": "ten minutes"}, {"window_duration": "5"},
+    {"trigger_interval": ""}, {"state_partitions": 0}, {"max_future_skew_ms": -1},
+    {"changelog_path": ""},
+])
+def test_job_config_validation(bad):
+    from footfall.streaming.job import TrafficJobConfig
+
+    args = dict(changelog_path="/x/cl", checkpoint_root="/x/ck")
+    args.update(bad)
+    with pytest.raises(ValueError):
+        TrafficJobConfig(**args)
+    assert TrafficJobConfig(changelog_path="/x/cl", checkpoint_root="/x/ck",
+                            watermark_delay="1 hour", trigger_interval="500 milliseconds")
