@@ -68,3 +68,33 @@ def zone_share(latest: DataFrame) -> DataFrame:
     return per_zone.withColumn("share", F.col("visitor_count") / total).orderBy(
         F.desc("share"), "store_id", "zone_id"
     )
+
+
+# The same dashboard questions as Spark SQL over a ``traffic_stats`` view
+# (see ``footfall.sinks.register_traffic_view``), for SQL dashboards.
+DASHBOARD_SQL = {
+    "live_visitors": """
+        SELECT window_start, window_end,
+               sum(visitor_count) AS visitor_count, count(*) AS active_zones
+        FROM {view}
+        WHERE window_start = (SELECT max(window_start) FROM {view})
+        GROUP BY window_start, window_end""",
+    "store_performance": """
+        SELECT store_id, sum(visitor_count) AS visitor_count,
+               sum(total_dwell_time) AS total_dwell_time, count(*) AS active_windows
+        FROM {view}
+        GROUP BY store_id
+        ORDER BY visitor_count DESC, store_id""",
+    "zone_share": """
+        WITH per_zone AS (
+          SELECT store_id, zone_id, sum(visitor_count) AS visitor_count
+          FROM {view} GROUP BY store_id, zone_id)
+        SELECT store_id, zone_id, visitor_count,
+               visitor_count / (SELECT sum(visitor_count) FROM per_zone) AS share
+        FROM per_zone
+        ORDER BY share DESC, store_id, zone_id""",
+}
+
+
+def dashboard_sql(name: str, view: str = "traffic_stats") -> str:
+    return DASHBOARD_SQL[name].format(view=view)

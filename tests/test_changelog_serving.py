@@ -72,3 +72,15 @@ def test_traffic_view_over_stored_changelog(spark):
     top = spark.sql("SELECT store_id, sum(visitor_count) AS v FROM traffic_stats_test "
                     "GROUP BY store_id ORDER BY v DESC").collect()
     assert [(r.store_id, r.v) for r in top] == [("S1", 5), ("S2", 2)]
+
+
+def test_dashboard_sql_matches_dataframe_versions(spark):
+    from footfall.operators.serving import dashboard_sql
+
+    latest = aggregate_traffic(fixture(spark))
+    latest.createOrReplaceTempView("traffic_stats_sql_test")
+    for name, fn in [("live_visitors", live_visitors), ("store_performance", store_performance),
+                     ("zone_share", zone_share)]:
+        via_sql = [tuple(r) for r in spark.sql(dashboard_sql(name, "traffic_stats_sql_test")).collect()]
+        via_df = [tuple(r) for r in fn(latest).collect()]
+        assert via_sql == via_df, name
