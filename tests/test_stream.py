@@ -333,3 +333,24 @@ def test_job_config_validation(bad):
         TrafficJobConfig(**args)
     assert TrafficJobConfig(changelog_path="/x/cl", checkpoint_root="/x/ck",
                             watermark_delay="1 hour", trigger_interval="500 milliseconds")
+
+
+@pytest.mark.parametrize("max_rows", [200_000, 0])  # broadcast, then the salted fallback
+def test_dimension_join_on_a_stream(spark, max_rows):
+    from footfall.operators.enrich import join_dimensions
+    from footfall.schemas import STORES, ZONES
+    from footfall.streaming.traffic import accepted_event_stream
+
+    stores = spark.createDataFrame([("S", "Main", None, None, "UTC", None)], STORES)
+    zones = spark.createDataFrame([("Z", "S", "Dairy", "Dairy", None, None)], ZONES)
+    batches = [[payload("a", 1)], [payload("b", 2, zone="Q"), payload("c", 3, store="X")]]
+    root, stream = replay(spark, batches, f"t_dimstream_{max_rows}")
+    enriched = join_dimensions(accepted_event_stream(stream, watermark_delay=None), stores, zones,
+                               max_broadcast_rows=max_rows, salt_buckets=4)
+    out = []
+
+    def sink(df, batch_id):
+        out.extend((r.event_id, r.store_name, r.zone_name) for r in df.collect())
+
+    run_query(spark, enriched, sink, os.path.join(root, "ck"), output_mode="append")
+    assert sorted(out, key=lambda t: t[0]) == [("a", "Main", "Dairy"), ("b", "Main", None), ("c", None, None)]
