@@ -164,6 +164,11 @@ def run_query(
     overrides = dict(ROCKSDB_STATE) if rocksdb_state else {}
     if state_partitions:
         overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if available_now and output_mode == "update":
+        # The closing no-data batch would only evict state (update mode emits
+        # nothing for it) just before the run ends. Append mode needs it: it
+        # emits the windows the final watermark closes.
+        overrides["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     previous = {k: spark.conf.get(k, None) for k in overrides}
     for k, v in overrides.items():
         spark.conf.set(k, v)
