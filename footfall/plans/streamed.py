@@ -8,6 +8,7 @@ the shared checkpoint folder, then returns a DataFrame over what was written.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,17 +72,21 @@ def replay_envelopes(spark: SparkSession, sf_dir: str, late_copies: bool = False
 _REPLAYS: dict[tuple[str, bool], tuple[str, int]] = {}
 
 
+_REPLAY_LOCK = threading.Lock()
+
+
 def replay_input(spark: SparkSession, sf_dir: str, late_copies: bool) -> tuple[str, int]:
     """Folder of replay files for ``sf_dir`` and the files per slice."""
     key = (os.path.abspath(sf_dir), late_copies)
-    hit = _REPLAYS.get(key)
-    if hit and os.path.isdir(hit[0]):
-        return hit
-    path = os.path.join(scratch_path(spark, "replay"), "input")
-    files = min(_parallelism(spark), MAX_FILES_PER_SLICE)
-    write_replay_files(replay_envelopes(spark, sf_dir, late_copies), path, files_per_slice=files)
-    _REPLAYS[key] = (path, files)
-    return path, files
+    with _REPLAY_LOCK:
+        hit = _REPLAYS.get(key)
+        if hit and os.path.isdir(hit[0]):
+            return hit
+        path = os.path.join(scratch_path(spark, "replay"), "input")
+        files = min(_parallelism(spark), MAX_FILES_PER_SLICE)
+        write_replay_files(replay_envelopes(spark, sf_dir, late_copies), path, files_per_slice=files)
+        _REPLAYS[key] = (path, files)
+        return path, files
 
 
 def replay_traffic(

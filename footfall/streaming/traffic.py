@@ -13,6 +13,7 @@ is at or before the watermark of the previous batch.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -29,6 +30,8 @@ from footfall.schemas import CORRUPT_COLUMN, SENSOR_EVENT_FIELDS
 
 log = logging.getLogger(__name__)
 
+_START_LOCK = threading.Lock()
+
 DEFAULT_WATERMARK = WATERMARK_DELAY
 DEFAULT_TRIGGER = TRIGGER_INTERVAL
 
@@ -169,17 +172,18 @@ def run_query(
         # nothing for it) just before the run ends. Append mode needs it: it
         # emits the windows the final watermark closes.
         overrides["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
-    previous = {k: spark.conf.get(k, None) for k in overrides}
-    for k, v in overrides.items():
-        spark.conf.set(k, v)
-    try:
-        query = writer.start()  # the query keeps a copy of the session settings
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _START_LOCK:  # settings are swapped on the shared session around start()
+        previous = {k: spark.conf.get(k, None) for k in overrides}
+        for k, v in overrides.items():
+            spark.conf.set(k, v)
+        try:
+            query = writer.start()  # the query keeps a copy of the session settings
+        finally:
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
     if not available_now:
         return query
     query.awaitTermination()
