@@ -77,6 +77,7 @@ def _query(args: argparse.Namespace) -> int:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Parse the command line and run the chosen sub-command."""
     p = argparse.ArgumentParser(prog="footfall")
     sub = p.add_subparsers(dest="cmd", required=True)
 

@@ -93,10 +93,12 @@ def classify_events(decoded: DataFrame, has_gate: bool = True, **bounds) -> Data
 
 
 def accepted_events(classified: DataFrame) -> DataFrame:
+    """Rows without a reject reason."""
     return classified.filter(F.col(REJECT_REASON).isNull())
 
 
 def rejected_events(classified: DataFrame) -> DataFrame:
+    """Rows with a reject reason."""
     return classified.filter(F.col(REJECT_REASON).isNotNull())
 
 

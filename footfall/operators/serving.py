@@ -97,4 +97,5 @@ DASHBOARD_SQL = {
 
 
 def dashboard_sql(name: str, view: str = "traffic_stats") -> str:
+    """SQL text of one dashboard question over ``view``."""
     return DASHBOARD_SQL[name].format(view=view)

@@ -183,6 +183,7 @@ def _with_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query by name, each pinning the session to UTC first."""
     from footfall.plans import streamed
 
     fns = [

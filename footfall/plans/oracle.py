@@ -60,6 +60,7 @@ zones AS (
 
 
 def traffic(window: str = "5 MINUTE", rounded: bool = True) -> str:
+    """Window aggregate over ``c`` (clean events) in DuckDB SQL."""
     dwell = "round(sum(dwell_time_seconds), 4)" if rounded else "sum(dwell_time_seconds)"
     return f"""
 SELECT time_bucket(INTERVAL {window}, event_time) AS window_start,
@@ -213,6 +214,7 @@ WHERE window_end <= (SELECT max(event_time) FROM c) - INTERVAL 10 MINUTE"""
 
 
 def oracle_queries() -> dict[str, str]:
+    """DuckDB SQL for every catalogue query, by name."""
     return {
         "q01_utf8_gate": Q01,
         "q02_parse_json": Q02,

@@ -15,6 +15,7 @@ SUM_DECIMALS = 4
 
 
 def present(df: DataFrame, round_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Timestamps as TIMESTAMP_NTZ; ``round_cols`` rounded to 4 decimals."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)

@@ -36,6 +36,7 @@ def write_changelog(changelog: DataFrame, path: str, fmt: str = "parquet") -> No
 
 
 def batch_partition_path(path: str, batch_id: int) -> str:
+    """Folder of one micro-batch inside a change-log table."""
     return f"{path.rstrip('/')}/{BATCH_ID}={int(batch_id)}"
 
 

@@ -28,6 +28,7 @@ INVALID_UTF8_PREFIX_HEX = "FFFE"
 
 
 def topic_for_store(store_id) -> F.Column:
+    """Bus topic of a store; events without a store go to ``sensors/unassigned``."""
     return F.concat(F.lit(TOPIC_PREFIX), F.coalesce(store_id, F.lit(UNASSIGNED_TOPIC)))
 
 

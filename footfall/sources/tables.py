@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def table_path(sf_dir: str, name: str) -> str:
+    """Parquet path of one driver table."""
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
