@@ -354,3 +354,21 @@ def test_dimension_join_on_a_stream(spark, max_rows):
 
     run_query(spark, enriched, sink, os.path.join(root, "ck"), output_mode="append")
     assert sorted(out, key=lambda t: t[0]) == [("a", "Main", "Dairy"), ("b", "Main", None), ("c", None, None)]
+
+
+def test_stream_plan_aggregates_before_the_shuffle(spark):
+    import contextlib
+    import io
+
+    root, stream = replay(spark, [[payload("a", 1), payload("b", 2)]], "t_splan")
+    q = (traffic_stream(stream).writeStream.outputMode("update")
+         .option("checkpointLocation", os.path.join(root, "ck")).format("noop")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    # partial aggregate -> one exchange on the key -> state restore/save
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("StateStoreSave") < plan.index("Exchange") < plan.index("partial_count")
