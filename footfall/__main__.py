@@ -55,12 +55,21 @@ def _stream(args: argparse.Namespace) -> int:
         state_partitions=args.state_partitions,
         available_now=args.available_now,
     )
-    started = start_traffic_job(spark, envelopes, cfg)
-    if not args.available_now:
-        await_job(spark, started)
-    else:
-        for res in started:
-            logging.getLogger("footfall").info("finished: %s", res)
+    log = logging.getLogger("footfall")
+    try:
+        started = start_traffic_job(spark, envelopes, cfg)
+        if not args.available_now:
+            await_job(spark, started)
+        else:
+            for res in started:
+                log.info("finished: %s", res)
+    except Exception:
+        # Any failure: log it, stop the session, exit non-zero so the
+        # supervisor restarts the job (queries resume from their checkpoints).
+        log.exception("traffic job failed")
+        if not args.keep_session:
+            spark.stop()
+        return 1
     return 0
 
 
@@ -103,6 +112,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-future-skew-ms", type=int)
     s.add_argument("--state-partitions", type=int)
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    s.add_argument("--keep-session", action="store_true", help=argparse.SUPPRESS)  # embedding / tests
     s.set_defaults(func=_stream)
 
     q = sub.add_parser("query", help="run one catalogue query")

@@ -372,3 +372,17 @@ def test_stream_plan_aggregates_before_the_shuffle(spark):
     # partial aggregate -> one exchange on the key -> state restore/save
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.index("StateStoreSave") < plan.index("Exchange") < plan.index("partial_count")
+
+
+def test_command_line_failure_returns_non_zero(spark):
+    from footfall.__main__ import main
+
+    root, _ = replay(spark, [[payload("a", 1)]], "t_cli_fail")
+    # The change-log path is an existing regular file, so the first batch's write fails.
+    blocker = os.path.join(root, "blocker")
+    with open(blocker, "w") as fh:
+        fh.write("not a folder")
+    code = main(["stream", "--replay-dir", os.path.join(root, "in"),
+                 "--changelog", blocker, "--checkpoint", os.path.join(root, "ck"),
+                 "--available-now", "--keep-session"])
+    assert code == 1
