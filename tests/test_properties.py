@@ -102,3 +102,38 @@ def test_window_aggregate_matches_python(spark, rows, window_min):
         assert r.e - r.s == width
         got[(r.s - base_ms, r.store_id, r.zone_id)] = (r.visitor_count, round(r.total_dwell_time, 6))
     assert got == {k: (n, round(v, 6)) for k, (n, v) in want.items()}
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(min_value=0, max_value=4),            # batch
+                               st.integers(min_value=0, max_value=30 * 60_000),  # ms
+                               st.sampled_from(["S1", "S2"]),
+                               st.integers(min_value=1, max_value=100)), min_size=1, max_size=50))
+def test_changelog_matches_python(spark, rows):
+    from footfall.operators.changelog import changelog_by_batch, latest_per_key
+
+    base = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    data = [(b, base + dt.timedelta(milliseconds=ms), s, "Z", float(d)) for b, ms, s, d in rows]
+    df = spark.createDataFrame(data, "batch_id long, event_time timestamp, store_id string, "
+                                     "zone_id string, dwell_time_seconds double")
+    width = 300_000
+    per = defaultdict(lambda: [0, 0.0])
+    for b, ms, s, d in rows:
+        per[(b, ms // width * width, s)][0] += 1
+        per[(b, ms // width * width, s)][1] += d
+    want, running = {}, defaultdict(lambda: [0, 0.0])
+    for (b, w, s) in sorted(per):
+        running[(w, s)][0] += per[(b, w, s)][0]
+        running[(w, s)][1] += per[(b, w, s)][1]
+        want[(b, w, s)] = (running[(w, s)][0], running[(w, s)][1])
+    base_ms = int(base.timestamp() * 1000)
+    log = changelog_by_batch(df).select(
+        "batch_id", (F.unix_millis("window_start") - base_ms).alias("w"), "store_id",
+        "visitor_count", "total_dwell_time")
+    got = {(r.batch_id, r.w, r.store_id): (r.visitor_count, r.total_dwell_time) for r in log.collect()}
+    assert got == want
+    latest = {(r.store_id, r.visitor_count) for r in latest_per_key(changelog_by_batch(df)).collect()}
+    final = {}
+    for (b, w, s), v in sorted(want.items()):
+        final[(w, s)] = v[0]
+    assert latest == {(s, n) for (w, s), n in final.items()}
