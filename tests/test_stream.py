@@ -386,3 +386,14 @@ def test_command_line_failure_returns_non_zero(spark):
                  "--changelog", blocker, "--checkpoint", os.path.join(root, "ck"),
                  "--available-now", "--keep-session"])
     assert code == 1
+
+
+def test_lateness_is_judged_on_window_end(spark):
+    # After the filler the watermark is 10:07. An event at 10:06 is older than
+    # the watermark, but its window (10:05-10:10) ends after it: still counted.
+    batches = [[payload("a", 1)], [payload("b", 17)], [payload("filler", 18)], [payload("old", 6)]]
+    root, stream = replay(spark, batches, "t_window_end")
+    out = []
+    res = run_query(spark, traffic_stream(stream), collect_sink(out), os.path.join(root, "ck"),
+                    state_partitions=2)
+    assert (3, "10:05", 1) in out and res.dropped_by_watermark == 0
