@@ -1,5 +1,6 @@
-"""Command line: ``python -m footfall stream ...`` runs the traffic job;
-``python -m footfall query <name> <sf_dir>`` runs one catalogue query.
+"""Command line: ``python -m footfall stream ...`` runs the traffic job,
+``python -m footfall compact ...`` rewrites its change log as the current
+table, ``python -m footfall query <name> <sf_dir>`` runs one catalogue query.
 
 Cluster settings (master, memory, shuffle partitions, spark.checkpoint.dir)
 come from spark-submit / spark-defaults; only the time zone is pinned.
@@ -73,6 +74,17 @@ def _stream(args: argparse.Namespace) -> int:
     return 0
 
 
+def _compact(args: argparse.Namespace) -> int:
+    from footfall.sinks.tables import compact_changelog
+
+    spark = _session("footfall-compact")
+    current = compact_changelog(spark, args.changelog, args.out)
+    logging.getLogger("footfall").info("current table written to %s", args.out)
+    if args.show:
+        current.orderBy("window_start", "store_id", "zone_id").show(args.show, truncate=False)
+    return 0
+
+
 def _query(args: argparse.Namespace) -> int:
     from footfall.plans import catalogue
 
@@ -115,6 +127,12 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--keep-session", action="store_true", help=argparse.SUPPRESS)  # embedding / tests
     s.set_defaults(func=_stream)
 
+    c = sub.add_parser("compact", help="rewrite a change log as the current table (by window_date)")
+    c.add_argument("--changelog", required=True)
+    c.add_argument("--out", required=True)
+    c.add_argument("--show", type=int, default=0)
+    c.set_defaults(func=_compact)
+
     q = sub.add_parser("query", help="run one catalogue query")
     q.add_argument("name")
     q.add_argument("sf_dir")

@@ -397,3 +397,17 @@ def test_lateness_is_judged_on_window_end(spark):
     res = run_query(spark, traffic_stream(stream), collect_sink(out), os.path.join(root, "ck"),
                     state_partitions=2)
     assert (3, "10:05", 1) in out and res.dropped_by_watermark == 0
+
+
+def test_command_line_compact(spark):
+    from footfall.__main__ import main
+
+    root, _ = replay(spark, [[payload("a", 1)], [payload("b", 2)]], "t_cli_compact")
+    cl = os.path.join(root, "cl")
+    assert main(["stream", "--replay-dir", os.path.join(root, "in"), "--changelog", cl,
+                 "--checkpoint", os.path.join(root, "ck"), "--available-now",
+                 "--state-partitions", "2"]) == 0
+    out = os.path.join(root, "current")
+    assert main(["compact", "--changelog", cl, "--out", out]) == 0
+    rows = spark.read.parquet(out).collect()
+    assert [(r.visitor_count, str(r.window_date)) for r in rows] == [(2, "2024-01-01")]
