@@ -116,6 +116,7 @@ class StreamResult:
     dropped_by_watermark: int = 0
     state_rows: int = 0
     observed: dict = field(default_factory=dict)
+    watermarks: list = field(default_factory=list)  # reported per batch (ISO, UTC)
 
 
 def _summarise(query: StreamingQuery) -> StreamResult:
@@ -123,6 +124,7 @@ def _summarise(query: StreamingQuery) -> StreamResult:
     for p in query.recentProgress:
         res.batches += 1
         res.input_rows += int(p.numInputRows or 0)
+        res.watermarks.append((p.eventTime or {}).get("watermark"))
         for op in p.stateOperators or []:
             res.dropped_by_watermark += int(op.numRowsDroppedByWatermark or 0)
             res.state_rows = int(op.numRowsTotal or 0)

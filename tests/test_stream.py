@@ -67,6 +67,8 @@ def test_update_mode_late_data_with_filler(spark):
     assert sorted(out) == [(0, "10:00", 1), (1, "10:15", 1), (2, "10:15", 2), (3, "10:05", 1),
                            (4, "10:15", 3)]
     assert res.dropped_by_watermark == 1
+    assert [w[11:16] for w in res.watermarks] == ["00:00", "09:51", "10:07", "10:08", "10:08"]
+    assert res.watermarks[0].startswith("1970")
     assert res.input_rows == 6
     assert res.observed["intake"]["records"] == 6
 
