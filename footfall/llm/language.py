@@ -109,9 +109,9 @@ class Model:
         return out
 
 
-def build(rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]) -> Model:
-    """Model from (language, length, entry, count) and the counts of all entries per language and length."""
-    langs = sorted({lang for lang, _ in totals})
+def build(rows: list[tuple[str, int, str, int]]) -> Model:
+    """Model from (language, length, entry, count)."""
+    langs = sorted({r[0] for r in rows})
     at = {lang: i for i, lang in enumerate(langs)}
     logs, names = {}, {}
     for n in range(LONGEST + 1):
@@ -120,8 +120,7 @@ def build(rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], i
         counts = np.zeros((len(names[n]), len(langs)))
         for lang, _, entry, count in of:
             counts[names[n][entry], at[lang]] = count
-        everything = np.array([totals.get((lang, n), 0) for lang in langs]) + EASE * (len(counts) + 1)
-        logs[n] = np.log((counts + EASE) / everything)
+        logs[n] = np.log((counts + EASE) / (counts.sum(0) + EASE * (len(counts) + 1)))
     grams = {}
     for n in range(1, LONGEST + 1):
         if names[n]:
@@ -150,12 +149,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = MODEL_EN
     keep = max(100, entries // (len(per) * (LONGEST + 1)))
     order = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry")
     top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep)
-    totals = top.groupBy("lang", "size").agg(F.sum("n").alias("n"))
-    table = top.select("lang", "size", "entry", "n").toArrow().to_pydict()
-    return build(
-        list(zip(table["lang"], table["size"], table["entry"], table["n"])),
-        {(r.lang, r["size"]): r.n for r in totals.collect()},
-    )
+    table = top.select("lang", "size", "entry", "n").toArrow().to_pydict()  # ``entries`` rows at most
+    return build(list(zip(table["lang"], table["size"], table["entry"], table["n"])))
 
 
 class Identifier:
