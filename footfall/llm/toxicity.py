@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.common import WORD_CACHE, extended, held_out, mix, runs, strings, unit_hash, without
 
-SAMPLE_ROWS = 3000  # expected labelled rows of each class that are learnt from
+SAMPLE_ROWS = 1500  # expected labelled rows of each class that are learnt from
 BUCKETS = 1 << 17
 DIM = 8
 WINDOW = 8
@@ -33,6 +33,7 @@ SHRINK = 0.001  # taken off the length of every embedding after each step
 EASE = 3.0  # rows of either class added to a subword's count
 MARGIN = 1.0  # log-odds of evidence a subword needs to be learnt
 REJECT = 0.7
+WORDS_AT_ONCE = 20_000
 SEED = 7
 SPLIT = re.compile(r"\S+").findall
 EDGES = ".,;:!?\"'()[]{}<>«»„“”…-"
@@ -100,35 +101,48 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     share of label 1."""
     rng = np.random.default_rng(SEED)
     model = Model(rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32), rng.normal(0, 0.5, (2, DIM)).astype(np.float32), np.zeros(2, np.float32))
-    docs = [words_of(t) for t in texts]
-    use = [i for i, d in enumerate(docs) if d]
-    y = np.asarray(labels)[use].astype(np.float32)
+    vocab: dict[str, int] = {}
+    each, y_all = [], np.asarray(labels)
+    for text in texts:  # one text's words at a time
+        words = words_of(text)
+        each.append(np.fromiter((vocab.setdefault(w, len(vocab)) for w in words), np.int32, len(words)))
+    use = [i for i, d in enumerate(each) if len(d)]
+    y = y_all[use].astype(np.float32)
     if not len(y) or y.min() == y.max():
-        share = (float(np.sum(labels)) + 0.5) / (len(labels) + 1) if len(labels) else 0.0
+        share = (float(y_all.sum()) + 0.5) / (len(labels) + 1) if len(labels) else 0.0
         model.table[:] = 0
         model.bias[1] = np.log(max(share, 1e-3) / max(1 - share, 1e-3))
         return model
-    vocab: dict[str, int] = {}
-    ids = np.array([vocab.setdefault(w, len(vocab)) for i in use for w in docs[i]], np.int64)
-    counts = np.array([len(docs[i]) for i in use], np.int64)
-    doc = np.repeat(np.arange(len(use)), counts)
-    flat, owner = subwords(list(vocab))
-    sizes = np.bincount(owner, minlength=len(vocab))
-    pairs = np.unique(doc * len(vocab) + ids)  # (document, word), once each
+    ids = np.concatenate([each[i] for i in use])
+    counts = np.array([len(each[i]) for i in use], np.int64)
     # Subwords start at how much more documents of label 1 hold them than
     # others do; those without such evidence keep a zero vector.
-    of = y[pairs // len(vocab)] == 1
-    held = [np.bincount(flat, np.bincount((pairs % len(vocab))[m], minlength=len(vocab))[owner], BUCKETS) for m in (of, ~of)]
+    word_docs = np.zeros((2, len(vocab)))
+    for i in use:
+        word_docs[int(y_all[i]), np.unique(each[i])] += 1
+    names = list(vocab)
+    held, pieces = np.zeros((2, BUCKETS)), range(0, len(names), WORDS_AT_ONCE)
+    for lo in pieces:
+        rows, of = subwords(names[lo : lo + WORDS_AT_ONCE])
+        for label in (0, 1):
+            held[label] += np.bincount(rows, word_docs[label, lo : lo + WORDS_AT_ONCE][of], BUCKETS)
     n1, n0 = max(1.0, float(y.sum())), max(1.0, float(len(y) - y.sum()))
     ease = EASE / n1
-    evidence = np.log((np.minimum(held[0] / n1, 1) + ease) / (np.minimum(held[1] / n0, 1) + ease)) - MARGIN
+    evidence = np.log((np.minimum(held[1] / n1, 1) + ease) / (np.minimum(held[0] / n0, 1) + ease)) - MARGIN
+    flat_known, owner_known, sizes = [], [], []
+    for lo in pieces:
+        rows, of = subwords(names[lo : lo + WORDS_AT_ONCE])
+        known = evidence[rows] > 0
+        flat_known.append(rows[known])
+        owner_known.append(of[known] + lo)
+        sizes.append(np.bincount(of))
     toward = model.weight[1] - model.weight[0]
     toward /= np.sqrt((toward * toward).sum())
     model.weight = np.stack([-toward, toward]).astype(np.float32) / 2
     model.table = (np.maximum(evidence, 0)[:, None] * (toward + model.table)).astype(np.float32)
-    known = (evidence > 0)[flat]
-    used, slot = np.unique(flat[known], return_inverse=True)
-    owner, scale = owner[known], (1.0 / sizes)[owner[known]].astype(np.float32)
+    used, slot = np.unique(np.concatenate(flat_known), return_inverse=True)
+    owner = np.concatenate(owner_known)
+    scale = (1.0 / np.concatenate(sizes))[owner].astype(np.float32)
     model.bias[0] = 2.0
     start, per = _windows(counts)
     window_doc = np.repeat(np.arange(len(use)), per)
@@ -206,11 +220,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     rows = (
         docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(chosen), "doc_id")  # about sample_rows of each class
-        .select("doc_id", "text", "toxic")
-        .collect()
+        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+        .toArrow()
+        .sort_by([("doc_id", "ascending"), ("text", "ascending")])
     )
-    rows.sort(key=lambda r: (r.doc_id, r.text or ""))
-    return train([r.text or "" for r in rows], np.array([r.toxic for r in rows]))
+    return train(strings(rows["text"]), rows["toxic"].to_numpy())
 
 
 def toxicity(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
