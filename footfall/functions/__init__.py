@@ -6,6 +6,7 @@ from footfall.functions.time import (
     event_time_from_millis,
     in_hour_range,
     is_weekend,
+    known_zone,
     local_time,
     valid_epoch_millis,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "in_hour_range",
     "is_utf8",
     "is_weekend",
+    "known_zone",
     "local_time",
     "parse_sensor_payload",
     "sensor_event_json",

@@ -6,6 +6,8 @@ without a usable time is *not* peak and *not* weekend (False, not NULL).
 
 from __future__ import annotations
 
+from zoneinfo import available_timezones
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,12 @@ def is_weekend(ts: Column | str) -> Column:
     return F.coalesce(F.dayofweek(_col(ts)).isin(*WEEKEND_DAYS), F.lit(False))
 
 
+def known_zone(tz: Column | str) -> Column:
+    """True when ``tz`` names an IANA zone or a fixed offset; NULL -> False."""
+    c = _col(tz)
+    return F.coalesce(c.isin(*sorted(available_timezones())) | c.rlike(r"^[+-](0\d|1[0-7]):[0-5]\d$"), F.lit(False))
+
+
 def local_time(ts: Column | str, tz: Column | str) -> Column:
     """Wall-clock time of the instant ``ts`` in the IANA zone ``tz`` (per row)."""
     return F.from_utc_timestamp(_col(ts), _col(tz))

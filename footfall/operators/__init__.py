@@ -9,7 +9,7 @@ from footfall.operators.enrich import (
     with_event_time,
     with_local_time_flags,
 )
-from footfall.operators.joins import broadcast_if_small
+from footfall.operators.joins import one_row_per_key, salted_left_join
 from footfall.operators.parse import (
     decode_envelope,
     forward_valid,
@@ -30,7 +30,6 @@ from footfall.operators.serving import live_visitors, store_performance, zone_sh
 __all__ = [
     "accepted_events",
     "aggregate_traffic",
-    "broadcast_if_small",
     "changelog_by_batch",
     "classify_events",
     "clean_sensor_events",
@@ -40,6 +39,8 @@ __all__ = [
     "forward_valid",
     "join_dimensions",
     "latest_by_count",
+    "one_row_per_key",
+    "salted_left_join",
     "latest_per_key",
     "live_visitors",
     "parse_sensor_events",

@@ -16,6 +16,7 @@ from footfall.operators.aggregate import DEFAULT_WINDOW
 from footfall.schemas import TRAFFIC_KEY
 
 BATCH_ID = "batch_id"
+RUN = "run"
 
 
 def changelog_by_batch(
@@ -60,9 +61,11 @@ def changelog_by_batch(
 
 
 def latest_per_key(changelog: DataFrame, order_col: str = BATCH_ID) -> DataFrame:
-    """Current state of each (window, store, zone): the row of its latest batch."""
+    """Current state of each (window, store, zone): the row of its latest batch
+    (of the latest run, where the log says which run wrote a batch)."""
+    order = F.struct(RUN, BATCH_ID) if order_col == BATCH_ID and RUN in changelog.columns else F.col(order_col)
     latest = changelog.groupBy(*TRAFFIC_KEY).agg(
-        F.max_by(F.struct("visitor_count", "total_dwell_time"), F.col(order_col)).alias("s")
+        F.max_by(F.struct("visitor_count", "total_dwell_time"), order).alias("s")
     )
     return latest.select(*TRAFFIC_KEY, "s.visitor_count", "s.total_dwell_time")
 

@@ -6,17 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.fixed import PEAK_END_HOUR, PEAK_START_HOUR
-from footfall.functions.time import event_time_from_millis, in_hour_range, is_weekend, local_time
-from footfall.operators.joins import (
-    DEFAULT_MAX_BROADCAST_ROWS,
-    DEFAULT_SALT_BUCKETS,
-    is_small,
-    salted_left_join,
-)
+from footfall.functions.time import event_time_from_millis, in_hour_range, is_weekend, known_zone, local_time
+from footfall.operators.joins import one_row_per_key, salted_left_join
 from footfall.sources.dimensions import DEFAULT_TZ
 
 
-
 def with_event_time(df: DataFrame, ms_col: str = "timestamp", out_col: str = "event_time") -> DataFrame:
     """Add the event time (TIMESTAMP) from epoch milliseconds; NULL when the
     value is missing or outside the timestamp range."""
@@ -38,10 +32,9 @@ def enrich_with_time_flags(
     )
 
 
-def _lookup(events: DataFrame, dim: DataFrame, keys: list[str], max_rows: int, buckets: int) -> DataFrame:
-    if is_small(dim, max_rows):
-        return events.join(F.broadcast(dim), on=keys, how="left")
-    return salted_left_join(events, dim, keys, buckets)
+def _lookup(events: DataFrame, dim: DataFrame, keys: list[str], salted: bool) -> DataFrame:
+    dim = one_row_per_key(dim, keys)
+    return salted_left_join(events, dim, keys) if salted else events.join(dim, on=keys, how="left")
 
 
 def join_dimensions(
@@ -50,22 +43,22 @@ def join_dimensions(
     zones: DataFrame | None = None,
     store_cols: list[str] | None = None,
     zone_cols: list[str] | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salted: bool = False,
 ) -> DataFrame:
     """Left-join store and zone attributes onto events. Unmatched events are
-    kept with NULL attributes. Each dimension is broadcast only after a
-    bounded row count proves it small; a larger one is shuffle-joined with
-    salted keys so a busy store does not land in a single task."""
+    kept with NULL attributes; a key that repeats in a dimension counts once.
+    Spark chooses the join by the dimension's bytes and splits hot keys itself
+    in batch plans. ``salted`` spreads them in a streaming plan whose dimension
+    is too large to broadcast."""
     out = events
     if zones is not None:
         cols = zone_cols or ["zone_name", "product_category"]
         z = zones.select("store_id", "zone_id", *cols)
-        out = _lookup(out, z, ["store_id", "zone_id"], max_broadcast_rows, salt_buckets)
+        out = _lookup(out, z, ["store_id", "zone_id"], salted)
     if stores is not None:
         cols = store_cols or ["store_name", "tz"]
         s = stores.select("store_id", *cols)
-        out = _lookup(out, s, ["store_id"], max_broadcast_rows, salt_buckets)
+        out = _lookup(out, s, ["store_id"], salted)
     return out
 
 
@@ -75,15 +68,14 @@ def with_local_time_flags(
     time_col: str = "event_time",
     peak_start: int = PEAK_START_HOUR,
     peak_end: int = PEAK_END_HOUR,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salted: bool = False,
 ) -> DataFrame:
     """Peak-hour and weekend flags in each store's own time zone (``tz`` of
     the store dimension; stores without a row fall back to UTC). Adds
     ``tz``, ``local_time`` (store wall clock), ``is_peak_hour_local`` and
     ``is_weekend_local``."""
-    s = stores.select("store_id", F.col("tz").alias("_store_tz"))
-    joined = _lookup(df, s, ["store_id"], max_broadcast_rows, salt_buckets)
+    s = stores.select("store_id", F.when(known_zone("tz"), F.col("tz")).alias("_store_tz"))
+    joined = _lookup(df, s, ["store_id"], salted)
     tz = F.coalesce(F.col("_store_tz"), F.lit(DEFAULT_TZ))
     lt = local_time(F.col(time_col), tz)
     return (

@@ -5,36 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that is shipped to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-
-# Salt buckets for a shuffle join against a dimension too large to broadcast.
-DEFAULT_SALT_BUCKETS = 32
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Bounded count: True when ``df`` has at most ``max_rows`` rows. Stops
-    after ``max_rows + 1`` rows, so it is cheap on a large table too."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it is proven to hold at most
-    ``max_rows`` rows; otherwise return it unchanged so the planner uses a
-    shuffle join (and AQE may still convert it at run time)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def one_row_per_key(dim: DataFrame, keys: list[str]) -> DataFrame:
+    """``dim`` with one row per key (the smallest), so a key that repeats in an
+    unconstrained source cannot multiply the facts."""
+    rest = [c for c in dim.columns if c not in keys]
+    if not rest:
+        return dim.select(*keys).distinct()
+    return dim.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
 
 
 def salted_left_join(
     facts: DataFrame,
     dim: DataFrame,
     keys: list[str],
-    buckets: int = DEFAULT_SALT_BUCKETS,
+    buckets: int | None = None,
     salt_col: str | None = "event_id",
 ) -> DataFrame:
     """Left join on ``keys`` that spreads each key over ``buckets`` tasks.
 
+    ``buckets`` is the number of shuffle partitions unless given.
     For a dimension too large to broadcast when one key (a busy store) may
     carry a third of the facts and adaptive skew handling is not available
     (streaming micro-batches run without AQE). Each fact gets a salt from a
@@ -43,6 +32,7 @@ def salted_left_join(
     equals a plain left join.
     """
     salt = "_salt"
+    buckets = buckets or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if salt_col and salt_col in facts.columns:
         s = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(buckets))
     else:

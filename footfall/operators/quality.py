@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.time import valid_epoch_millis
-from footfall.operators.joins import broadcast_if_small
 from footfall.schemas import CORRUPT_COLUMN
 
 from footfall.fixed import AGE_RANGES, GENDERS, MAX_DWELL_SECONDS, MIN_DWELL_SECONDS
@@ -107,19 +106,18 @@ def quality_profile(events: DataFrame, exact_distinct: bool = True, rsd: float =
     dwell-time statistics and domain violations, in one distributed
     aggregation.
 
-    The exact distinct count de-duplicates ids map-side and then shuffles
-    the remaining distinct ids once. With ``exact_distinct=False`` it is a
+    The exact distinct count is an aggregate of its own over the id column, so
+    its shuffle carries ids only; all other figures reduce to one row per task.
+    Shares and means of a table without a valid dwell are NULL. With ``exact_distinct=False`` it is a
     HyperLogLog++ estimate (relative error ``rsd``) that shuffles only small
     sketches; every other figure stays exact."""
     d = F.col("dwell_time_seconds")
     in_domain = d.between(0.0, MAX_DWELL_SECONDS) & ~F.isnan(d)
-    distinct = (
-        F.count_distinct("event_id") if exact_distinct else F.approx_count_distinct("event_id", rsd)
-    )
-    return events.agg(
+    count_ids = F.count_distinct("event_id") if exact_distinct else F.approx_count_distinct("event_id", rsd)
+    distinct = events.select(count_ids).scalar()
+    plain = events.agg(
         F.count(F.lit(1)).alias("n_events"),
-        distinct.alias("n_distinct_event_ids"),
-        (F.count("event_id") - distinct).alias("n_duplicate_event_ids"),
+        F.count("event_id").alias("_ids"),
         F.count_if(F.col("event_id").isNull()).alias("n_missing_event_id"),
         F.count_if(F.col("store_id").isNull()).alias("n_missing_store_id"),
         F.count_if(F.col("zone_id").isNull()).alias("n_missing_zone_id"),
@@ -131,8 +129,11 @@ def quality_profile(events: DataFrame, exact_distinct: bool = True, rsd: float =
         ),
         F.count_if(~F.coalesce(in_domain, F.lit(False))).alias("n_dwell_out_of_domain"),
         F.round(F.avg(F.when(in_domain, d)), 4).alias("mean_dwell_seconds"),
-        (F.count_if(in_domain & (d < 30.0)) / F.count_if(in_domain)).alias("share_dwell_under_30s"),
+        F.try_divide(F.count_if(in_domain & (d < 30.0)), F.count_if(in_domain)).alias("share_dwell_under_30s"),
     )
+    counted = plain.withColumn("n_distinct_event_ids", distinct).withColumn("n_duplicate_event_ids", F.col("_ids") - F.col("n_distinct_event_ids"))
+    first = ["n_events", "n_distinct_event_ids", "n_duplicate_event_ids"]
+    return counted.select(*first, *[c for c in counted.columns if c not in first and c != "_ids"])
 
 
 def demographics(events: DataFrame) -> DataFrame:
@@ -147,5 +148,4 @@ def unknown_store_zones(events: DataFrame, zones: DataFrame) -> DataFrame:
     (a NULL id never matches), with their event counts. Events are reduced
     to one row per pair before the anti join."""
     pairs = events.groupBy("store_id", "zone_id").agg(F.count(F.lit(1)).alias("n_events"))
-    dim = broadcast_if_small(zones.select("store_id", "zone_id"))
-    return pairs.join(dim, on=["store_id", "zone_id"], how="left_anti")
+    return pairs.join(zones.select("store_id", "zone_id"), on=["store_id", "zone_id"], how="left_anti")

@@ -70,6 +70,13 @@ def zone_share(latest: DataFrame) -> DataFrame:
     )
 
 
+def zone_share_from_events(events: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """``zone_share`` straight from timed events: one partial row per task and
+    zone is shuffled, instead of every window's."""
+    counts = events.filter(F.col(time_col).isNotNull()).groupBy("store_id", "zone_id").agg(F.count(F.lit(1)).alias("visitor_count"))
+    return zone_share(counts)
+
+
 # The same dashboard questions as Spark SQL over a ``traffic_stats`` view
 # (see ``footfall.sinks.register_traffic_view``), for SQL dashboards.
 DASHBOARD_SQL = {

@@ -30,7 +30,7 @@ from footfall.operators.quality import (
     rejected_events,
     unknown_store_zones,
 )
-from footfall.operators.serving import live_visitors_from_events, store_performance, zone_share
+from footfall.operators.serving import live_visitors_from_events, store_performance, zone_share_from_events
 from footfall.plans.output import present
 from footfall.schemas import SENSOR_EVENT_FIELDS
 from footfall.session import ensure_utc
@@ -133,7 +133,7 @@ def q12_store_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q13_zone_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each zone's share of all visitors over the current table."""
-    return zone_share(traffic_current(spark, sf_dir))
+    return zone_share_from_events(clean_timed_events(spark, sf_dir))
 
 
 def q14_dim_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

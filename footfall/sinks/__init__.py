@@ -7,12 +7,12 @@ from footfall.sinks.tables import (
     changelog_batch_writer,
     compact_changelog,
     ensure_traffic_table,
+    forwarded_records,
     read_changelog,
     register_traffic_view,
     write_bus_records,
     write_changelog,
     write_changelog_batch,
-    write_dead_letters,
 )
 
 __all__ = [
@@ -22,10 +22,10 @@ __all__ = [
     "changelog_batch_writer",
     "compact_changelog",
     "ensure_traffic_table",
+    "forwarded_records",
     "read_changelog",
     "register_traffic_view",
     "write_bus_records",
     "write_changelog",
     "write_changelog_batch",
-    "write_dead_letters",
 ]

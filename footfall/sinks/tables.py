@@ -1,60 +1,78 @@
 """Table sinks for the traffic result.
 
-The change log is partitioned by ``batch_id``. Writing a batch overwrites
-only its own partition (dynamic partition overwrite), so a micro-batch that
-is re-run after a failure replaces its earlier output instead of appending
-it a second time: the sink is idempotent and the table exactly-once.
+The change log is partitioned by ``run`` and ``batch_id``. A run is a streaming
+query with its checkpoint: batch ids start again at 0 with a new checkpoint, so
+a batch is only identified within its run. Writing a batch overwrites its own
+folder, so a micro-batch that is re-run after a failure replaces its earlier
+output instead of appending it a second time, and another run's output stays.
+Run names begin with the time of the run's first batch, so later runs sort later.
 """
 
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.payload import sensor_event_json
-from footfall.operators.changelog import BATCH_ID, latest_per_key
+from footfall.operators.changelog import BATCH_ID, RUN, latest_per_key
+from footfall.operators.parse import forward_valid
 from footfall.schemas import TRAFFIC_STATS
 
 log = logging.getLogger(__name__)
 
 TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
 
+BATCH_RUN = "0000000000000-batch"  # of logs that no streaming query writes
+
+
+def run_of(batch: DataFrame, path: str) -> str:
+    """Name of the run a micro-batch belongs to: the one its streaming query
+    (whose id lives in the checkpoint) already uses under ``path``, or a new one."""
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        return BATCH_RUN
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{RUN}=*-{query}")
+    listed = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+    names = sorted(s.getPath().getName() for s in listed or [])
+    return names[0].split("=", 1)[1] if names else f"{int(time.time() * 1000):013d}-{query}"
+
 
 def write_changelog(changelog: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write rows carrying ``batch_id``; replaces exactly the batches present."""
     (
-        changelog.select(BATCH_ID, *TRAFFIC_COLUMNS)
+        changelog.select(F.lit(BATCH_RUN).alias(RUN), BATCH_ID, *TRAFFIC_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_ID)
+        .partitionBy(RUN, BATCH_ID)
         .format(fmt)
         .save(path)
     )
 
 
-def batch_partition_path(path: str, batch_id: int) -> str:
+def batch_partition_path(path: str, batch_id: int, run: str = BATCH_RUN) -> str:
     """Folder of one micro-batch inside a change-log table."""
-    return f"{path.rstrip('/')}/{BATCH_ID}={int(batch_id)}"
+    return f"{path.rstrip('/')}/{RUN}={run}/{BATCH_ID}={int(batch_id)}"
 
 
-def write_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
+def write_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet", run: str = BATCH_RUN) -> None:
     """Idempotent write of one micro-batch of traffic rows: the batch owns
-    the folder ``batch_id=<n>`` of the table and replaces it as a whole."""
+    the folder ``run=<run>/batch_id=<n>`` of the table and replaces it as a whole."""
     batch.select(*TRAFFIC_COLUMNS).write.mode("overwrite").format(fmt).save(
-        batch_partition_path(path, batch_id)
+        batch_partition_path(path, batch_id, run)
     )
 
 
-def append_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
+def append_changelog_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet", run: str = BATCH_RUN) -> None:
     """Plain append (at-least-once: a re-run batch is stored twice)."""
     (
-        batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
-        .select(BATCH_ID, *TRAFFIC_COLUMNS)
+        batch.select(F.lit(run).alias(RUN), F.lit(batch_id).cast("long").alias(BATCH_ID), *TRAFFIC_COLUMNS)
         .write.mode("append")
-        .partitionBy(BATCH_ID)
+        .partitionBy(RUN, BATCH_ID)
         .format(fmt)
         .save(path)
     )
@@ -75,12 +93,13 @@ def changelog_batch_writer(
     write = write_changelog_batch if idempotent else append_changelog_batch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch, path)
         if not count_rows:
-            write(batch, batch_id, path, fmt)
+            write(batch, batch_id, path, fmt, run)
             return
         batch.persist()
         try:
-            write(batch, batch_id, path, fmt)
+            write(batch, batch_id, path, fmt, run)
             log.info("batch %s written: %s updated rows", batch_id, batch.count())
         finally:
             batch.unpersist()
@@ -89,7 +108,7 @@ def changelog_batch_writer(
 
 
 def read_changelog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The change log with ``batch_id`` (from the folder names) as bigint."""
+    """The change log with ``run`` and ``batch_id`` from the folder names."""
     df = spark.read.format(fmt).load(path)
     return df.withColumn(BATCH_ID, F.col(BATCH_ID).cast("long"))
 
@@ -111,6 +130,7 @@ def compact_changelog(spark: SparkSession, changelog_path: str, out_path: str, f
     current = latest_per_key(read_changelog(spark, changelog_path, fmt))
     (
         current.withColumn("window_date", F.to_date("window_start"))
+        .hint("rebalance", "window_date")  # few files a date, a large date split
         .write.mode("overwrite")
         .partitionBy("window_date")
         .format(fmt)
@@ -141,11 +161,6 @@ def ensure_traffic_table(
     return name
 
 
-def write_dead_letters(rejected: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append rejected records (raw payload, reason, topic, offset)."""
-    rejected.write.mode("append").partitionBy("reject_reason").format(fmt).save(path)
-
-
 def bus_records(events: DataFrame, topic_col: str = "topic") -> DataFrame:
     """Sensor events as bus records: key = topic bytes, value = JSON bytes."""
     return events.select(
@@ -155,14 +170,22 @@ def bus_records(events: DataFrame, topic_col: str = "topic") -> DataFrame:
     )
 
 
-def publish_to_kafka(events: DataFrame, bootstrap_servers: str, topic: str) -> None:
-    """Publish sensor events to one Kafka topic, keyed by their source topic
-    (needs the spark-sql-kafka connector). Kafka's producer settings such as
-    ``acks`` pass through as ``kafka.*`` options in a deployment."""
+def forwarded_records(envelope: DataFrame) -> DataFrame:
+    """What a forwarder publishes of an envelope table or stream: records whose
+    value is valid UTF-8, bytes unchanged, keyed by their topic."""
+    return forward_valid(envelope).select("topic", F.encode("topic", "UTF-8").alias("key"), "value")
+
+
+def publish_to_kafka(
+    records: DataFrame, bootstrap_servers: str, topic: str, options: dict[str, str] | None = None
+) -> None:
+    """Publish (key, value) records to one Kafka topic (needs the
+    spark-sql-kafka connector). ``options`` go to the writer: producer settings
+    with the prefix ``kafka.`` (``kafka.acks``, ``kafka.security.protocol``, ...)."""
     (
-        bus_records(events)
-        .select("key", "value")
+        records.select("key", "value")
         .write.format("kafka")
+        .options(**(options or {}))
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("topic", topic)
         .save()

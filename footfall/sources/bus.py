@@ -32,9 +32,11 @@ def topic_for_store(store_id) -> F.Column:
     return F.concat(F.lit(TOPIC_PREFIX), F.coalesce(store_id, F.lit(UNASSIGNED_TOPIC)))
 
 
-def bus_envelope(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
-    """Envelope records for every sensor event (all rows)."""
+def bus_envelope(spark: SparkSession, sf_dir: str, faults: bool = False, dwell_scale: float = 1.0) -> DataFrame:
+    """Envelope records for every sensor event (all rows); ``dwell_scale``
+    makes copies of them that can be told from the originals."""
     s = sensor_events_with_offset(spark, sf_dir)
+    s = s.withColumn("dwell_time_seconds", F.col("dwell_time_seconds") * F.lit(dwell_scale))
     topic = topic_for_store(F.col("store_id"))
     good = F.encode(sensor_event_json(), "UTF-8")
     value = good
@@ -66,6 +68,7 @@ def kafka_envelope_stream(
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
     group_id_prefix: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Subscribe to one topic (all partitions) as a stream of envelopes.
 
@@ -73,13 +76,17 @@ def kafka_envelope_stream(
     keys every record by its source topic puts the whole feed into one Kafka
     partition; ``min_partitions`` splits each batch's offset ranges into at
     least that many Spark tasks, so the JSON parse (the CPU cost) runs in
-    parallel without a shuffle. Needs the spark-sql-kafka connector.
+    parallel without a shuffle. ``options`` go to the reader as they are, for
+    example ``kafka.security.protocol``. The envelope also carries the Kafka
+    ``partition``: offsets are unique only within it. Needs the spark-sql-kafka
+    connector.
     """
     starting = starting_offsets.lower()
     if starting not in ("earliest", "latest"):
         raise ValueError("starting_offsets must be 'earliest' or 'latest'")
     reader = (
         spark.readStream.format("kafka")
+        .options(**(options or {}))
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
@@ -97,4 +104,5 @@ def kafka_envelope_stream(
         F.col("value"),
         F.col("offset"),
         F.col("timestamp"),
+        F.col("partition"),
     )

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.aggregate import DEFAULT_WINDOW
-from footfall.sinks.tables import batch_partition_path, changelog_batch_writer
+from footfall.sinks.tables import batch_partition_path, changelog_batch_writer, run_of
 from footfall.streaming.traffic import (
     DEFAULT_TRIGGER,
     DEFAULT_WATERMARK,
@@ -64,11 +65,11 @@ class TrafficJobConfig:
 
 
 def dead_letter_writer(path: str):
-    """``foreachBatch`` sink for rejects; each batch owns its folder."""
+    """``foreachBatch`` sink for rejects; each batch of a run owns its folder."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
-            batch_partition_path(path, batch_id)
+            batch_partition_path(path, batch_id, run_of(batch, path))
         )
 
     return sink
@@ -101,7 +102,7 @@ def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJob
         started.append(
             run_query(
                 spark,
-                dead_letter_stream(envelopes),
+                dead_letter_stream(envelopes, cfg.max_future_skew_ms),
                 dead_letter_writer(cfg.dead_letter_path),
                 os.path.join(cfg.checkpoint_root, "dead_letters"),
                 output_mode="append",
@@ -112,16 +113,16 @@ def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJob
 
 
 def await_job(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Block until a query ends; on failure stop the rest and re-raise."""
-    try:
-        if timeout_s is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(int(timeout_s))
-    finally:
-        failed = [q for q in queries if q.exception() is not None]
-        if failed:
-            for q in queries:
-                if q.isActive:
-                    q.stop()
-            raise RuntimeError(f"traffic job failed: {failed[0].exception()}")
+    """Block until one of the job's own queries ends (or the time is over, which
+    leaves them running); then stop the others, and raise if one failed."""
+    until = None if timeout_s is None else time.monotonic() + timeout_s
+    while all(q.isActive for q in queries):
+        if until is not None and time.monotonic() >= until:
+            return
+        time.sleep(0.2)
+    failed = [q for q in queries if q.exception() is not None]
+    for q in queries:
+        if q.isActive:
+            q.stop()
+    if failed:
+        raise RuntimeError(f"traffic job failed: {failed[0].exception()}")

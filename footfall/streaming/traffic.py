@@ -19,7 +19,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from footfall.fixed import TRIGGER_INTERVAL, WATERMARK_DELAY
 from footfall.operators.aggregate import DEFAULT_WINDOW, aggregate_traffic
@@ -90,11 +91,19 @@ def traffic_stream(
     return aggregate_traffic(events, window_duration)
 
 
-def dead_letter_stream(envelopes: DataFrame) -> DataFrame:
-    """Rejected records with their reason, raw payload and bus position."""
-    decoded = decode_envelope(envelopes, carry=["topic", "offset", "bus_time"])
-    return rejected_events(classify_events(decoded)).select(
+def dead_letter_stream(envelopes: DataFrame, max_future_skew_ms: int | None = None) -> DataFrame:
+    """Rejected records with their reason, raw payload and bus position
+    (``partition`` is null where the envelope has none). Takes the same bounds
+    as the traffic query, so accepted and rejected records add up to all."""
+    where = ["topic", "offset", "bus_time"]
+    if "partition" in envelopes.columns:
+        where.append("partition")
+    decoded = decode_envelope(envelopes, carry=where)
+    rejected = rejected_events(classify_events(decoded, max_future_skew_ms=max_future_skew_ms))
+    partition = F.col("partition") if "partition" in where else F.lit(None).cast("int").alias("partition")
+    return rejected.select(
         "topic",
+        partition,
         "offset",
         "bus_time",
         "reject_reason",
@@ -119,20 +128,48 @@ class StreamResult:
     watermarks: list = field(default_factory=list)  # reported per batch (ISO, UTC)
 
 
-def _summarise(query: StreamingQuery) -> StreamResult:
-    res = StreamResult()
-    for p in query.recentProgress:
-        res.batches += 1
-        res.input_rows += int(p.numInputRows or 0)
-        res.watermarks.append((p.eventTime or {}).get("watermark"))
-        for op in p.stateOperators or []:
-            res.dropped_by_watermark += int(op.numRowsDroppedByWatermark or 0)
-            res.state_rows = int(op.numRowsTotal or 0)
-        for name, row in (p.observedMetrics or {}).items():
-            acc = res.observed.setdefault(name, {})
-            for k, v in row.asDict().items():
-                acc[k] = acc.get(k, 0) + (v or 0)
-    return res
+def _add(res: StreamResult, p: StreamingQueryProgress) -> None:
+    res.batches += 1
+    res.input_rows += int(p.numInputRows or 0)
+    res.watermarks.append((p.eventTime or {}).get("watermark"))
+    for op in p.stateOperators or []:
+        res.dropped_by_watermark += int(op.numRowsDroppedByWatermark or 0)
+        res.state_rows = int(op.numRowsTotal or 0)
+    for name, row in (p.observedMetrics or {}).items():
+        acc = res.observed.setdefault(name, {})
+        for k, v in row.asDict().items():
+            acc[k] = acc.get(k, 0) + (v or 0)
+
+
+class _Totals(StreamingQueryListener):
+    """Adds up every progress report of each run; a query itself keeps only the last hundred."""
+
+    def __init__(self) -> None:
+        self.results: dict[str, StreamResult] = {}
+        self.ended: set[str] = set()
+        self.change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self.change:
+            _add(self.results.setdefault(str(event.progress.runId), StreamResult()), event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.change:
+            self.ended.add(str(event.runId))
+            self.change.notify_all()
+
+    def of(self, run_id: str, timeout_s: float = 60.0) -> StreamResult:
+        """Totals of a run that has ended; its last reports may still be on their way."""
+        with self.change:
+            if not self.change.wait_for(lambda: run_id in self.ended, timeout_s):
+                raise RuntimeError("the reports of the stream did not arrive")
+            return self.results.get(run_id, StreamResult())
 
 
 def run_query(
@@ -178,6 +215,9 @@ def run_query(
         # nothing for it) just before the run ends. Append mode needs it: it
         # emits the windows the final watermark closes.
         overrides["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    totals = _Totals()
+    if available_now:
+        spark.streams.addListener(totals)
     with _START_LOCK:  # settings are swapped on the shared session around start()
         previous = {k: spark.conf.get(k, None) for k in overrides}
         for k, v in overrides.items():
@@ -192,9 +232,12 @@ def run_query(
                     spark.conf.set(k, v)
     if not available_now:
         return query
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"stream failed: {query.exception()}")
-    res = _summarise(query)
+    try:
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"stream failed: {query.exception()}")
+        res = totals.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(totals)
     log.info("stream finished: %s", res)
     return res

@@ -22,11 +22,11 @@ def spark():
     s.stop()
 
 
-BASE = ("evt", 1000, "STORE_01", "ZONE_A", "SENSOR_1", "26-35", "male", 5.0)
+BASE = ("first", 61_000, "STORE_01", "ZONE_A", "SENSOR_9", "36-50", "female", 42.5)
 
 
 def event(**changes):
-    """A sensor-event row: the reference's base row with fields replaced."""
+    """A sensor-event row: the base row with fields replaced."""
     names = [f.name for f in SENSOR_EVENT.fields]
     row = dict(zip(names, BASE))
     row.update(changes)

@@ -9,7 +9,9 @@ import duckdb
 import pytest
 from conftest import SF_SMALL
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from footfall.plans import catalogue as queries
+from footfall.plans import oracle_queries as oracle_sql
 from footfall.plans.catalogue import q07_traffic_stats, q13_zone_share, q14_dim_enriched
 
 TABLES = ["region", "nation", "customer", "events"]

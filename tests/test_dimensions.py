@@ -1,63 +1,67 @@
 import datetime as dt
 
-from conftest import event
+from conftest import SF_SMALL, event
 from pyspark.sql import functions as F
 
 from footfall.operators.enrich import join_dimensions, with_event_time, with_local_time_flags
-from footfall.operators.joins import broadcast_if_small
 from footfall.schemas import STORES, ZONES
+from footfall.sources.dimensions import stores_dimension, zones_dimension
 
 
 def seeded_dims(spark):
     stores = spark.createDataFrame(
-        [("ZRH_01", "Zurich Central", "Zurich", "Switzerland", "Europe/Zurich", None),
-         ("BER_01", "Berlin Mitte", "Berlin", "Germany", "Europe/Berlin", None)], STORES)
+        [("OSL_07", "Oslo Harbour", "Oslo", "Norway", "Europe/Oslo", None),
+         ("ROM_03", "Rome Station", "Rome", "Italy", "Europe/Rome", None)], STORES)
     zones = spark.createDataFrame(
-        [("ZONE_A", "ZRH_01", "Aisle 1 - Dairy", "Dairy", None, None),
-         ("ZONE_B", "ZRH_01", "Aisle 2 - Beverages", "Beverages", None, None),
-         ("ZONE_C", "BER_01", "Aisle 1 - Electronics", "Electronics", None, None)], ZONES)
+        [("Z1", "OSL_07", "Row of teas", "Tea", None, None),
+         ("Z2", "OSL_07", "Row of nuts", "Nuts", None, None),
+         ("Z3", "ROM_03", "Lamp corner", "Lamps", None, None)], ZONES)
     return stores, zones
 
 
 def test_left_join_keeps_unmatched(spark, events):
     stores, zones = seeded_dims(spark)
     ev = events([
-        event(event_id="1", store_id="ZRH_01", zone_id="ZONE_A"),
-        event(event_id="2", store_id="BER_01", zone_id="ZONE_X"),  # zone unknown
+        event(event_id="1", store_id="OSL_07", zone_id="Z1"),
+        event(event_id="2", store_id="ROM_03", zone_id="ZONE_X"),  # zone unknown
         event(event_id="3", store_id="MAD_01", zone_id="ZONE_1"),  # store unknown
     ])
     out = {r.event_id: r for r in join_dimensions(ev, stores, zones).collect()}
     assert len(out) == 3
-    assert (out["1"].store_name, out["1"].zone_name) == ("Zurich Central", "Aisle 1 - Dairy")
-    assert (out["2"].store_name, out["2"].zone_name) == ("Berlin Mitte", None)
+    assert (out["1"].store_name, out["1"].zone_name) == ("Oslo Harbour", "Row of teas")
+    assert (out["2"].store_name, out["2"].zone_name) == ("Rome Station", None)
     assert (out["3"].store_name, out["3"].zone_name) == (None, None)
 
 
 def test_dimension_join_is_broadcast(spark, events):
-    stores, zones = seeded_dims(spark)
+    stores, zones = stores_dimension(spark, SF_SMALL), zones_dimension(spark, SF_SMALL)  # sizes known from files
     df = join_dimensions(events([event()]), stores, zones)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = broadcast_if_small(small, max_rows=10)
-    plain = broadcast_if_small(big, max_rows=10)
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
+def test_repeated_dimension_keys_count_once(spark, events):
+    stores, zones = seeded_dims(spark)
+    out = join_dimensions(events([event(store_id="OSL_07", zone_id="Z1")]), stores.unionByName(stores), zones.unionByName(zones))
+    assert out.count() == 1
+
+
+def test_unknown_time_zone_falls_back_to_utc(spark, events):
+    stores, _ = seeded_dims(spark)
+    bad = stores.withColumn("tz", F.lit("Mars/Olympus"))
+    got = with_local_time_flags(with_event_time(events([event(store_id="OSL_07")])), bad).collect()
+    assert [r.tz for r in got] == ["UTC"]
 
 
 def test_local_time_flags(spark, events):
     stores, _ = seeded_dims(spark)
-    # 2024-01-06 (Saturday) 23:30 UTC is Sunday 00:30 in Zurich;
-    # 08:30 UTC is 09:30 in Zurich (peak) but 08:30 UTC (not peak) for an unknown store.
+    # 2024-01-06 (Saturday) 23:30 UTC is Sunday 00:30 in Oslo;
+    # 08:30 UTC is 09:30 in Oslo (peak) but 08:30 UTC (not peak) for an unknown store.
     sat_2330 = int(dt.datetime(2024, 1, 6, 23, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
     mon_0830 = int(dt.datetime(2024, 1, 8, 8, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
     ev = with_event_time(events([
-        event(event_id="a", store_id="ZRH_01", timestamp=sat_2330),
-        event(event_id="b", store_id="ZRH_01", timestamp=mon_0830),
+        event(event_id="a", store_id="OSL_07", timestamp=sat_2330),
+        event(event_id="b", store_id="OSL_07", timestamp=mon_0830),
         event(event_id="c", store_id="MAD_01", timestamp=mon_0830),
     ]))
     out = {r.event_id: r for r in with_local_time_flags(ev, stores).collect()}
@@ -79,18 +83,18 @@ def test_derived_dimensions_have_unique_keys(spark):
 
 def test_large_dimension_uses_salted_shuffle_join(spark, events):
     stores, zones = seeded_dims(spark)
-    rows = [event(event_id=str(i), store_id="ZRH_01", zone_id="ZONE_A") for i in range(50)]
+    rows = [event(event_id=str(i), store_id="OSL_07", zone_id="Z1") for i in range(50)]
     rows += [event(event_id="x", store_id="MAD_01", zone_id="ZONE_1")]
     ev = events(rows)
     plain = {(r.event_id, r.store_name, r.zone_name) for r in join_dimensions(ev, stores, zones).collect()}
-    salted_df = join_dimensions(ev, stores, zones, max_broadcast_rows=0, salt_buckets=8)
+    salted_df = join_dimensions(ev, stores, zones, salted=True)
     salted = {(r.event_id, r.store_name, r.zone_name) for r in salted_df.collect()}
     assert salted == plain and len(salted) == 51
     assert salted_df.columns == join_dimensions(ev, stores, zones).columns
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fresh = join_dimensions(ev, stores, zones, max_broadcast_rows=0, salt_buckets=8)
+        fresh = join_dimensions(ev, stores, zones, salted=True)
         plan = fresh._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
