@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import extended, runs, strings
+from footfall.operators.joins import salted_left_join
 
 IMPORTANCE = 0.3  # of a node below which it counts as boilerplate
 MIN_PAGES = 3  # of a host before entropy says anything
@@ -241,14 +242,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.sum("times").alias("c"), F.sum(F.col("times") * F.log("times")).alias("s"), F.count(F.lit(1)).alias("pages")
     )
     size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).filter(F.col("host_pages") >= MIN_PAGES)
-    entropy = (F.log("c") - F.col("s") / F.col("c")) / F.log("host_pages")
-    return (
-        spread.join(size, "host")
-        .groupBy("host", "path")
-        .agg(
-            (F.lit(1.0) - F.sum(entropy * F.col("c")) / F.sum("c")).alias("importance"),
-            F.max("pages").alias("pages"),
-        )
+    # Summed by node before the pages of the host come in: one row a node, however large the host.
+    nodes = spread.groupBy("host", "path").agg(
+        F.sum(F.col("c") * F.log("c") - F.col("s")).alias("spread"), F.sum("c").alias("c"), F.max("pages").alias("pages")
+    )
+    return nodes.join(size, "host").select(
+        "host", "path", "pages", (F.lit(1.0) - F.col("spread") / F.col("c") / F.log("host_pages")).alias("importance")
     )
 
 
@@ -279,4 +278,6 @@ def page_texts(pages: DataFrame) -> DataFrame:
             )
 
     schema = extended(given.select("page_id", "url"), text="string", n_chars="long")
-    return given.join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(run_all, schema)
+    # A host may hold a third of all pages: its pages are spread over as many tasks as there are partitions.
+    known = salted_left_join(given, low, ["host"], salt_col=None)
+    return known.select("page_id", "url", "html", "low").mapInArrow(run_all, schema)
