@@ -127,9 +127,9 @@ def mixture(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
         text.select(
             "doc_id", domain_of("source").alias("domain"), "lang", "source",
             tokens_of("text").alias("n_tokens"), F.xxhash64("text").alias("text_hash"),
-        ).filter("n_tokens > 0"),
+        ),
         "mix_rows",
-    )
+    ).filter("n_tokens > 0")  # fmt: skip  # on the table: before it, the words would be counted again for the filter
     leaf = stored(budgets(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), plan), "mix_budgets")
     place = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(plan.seed), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.col("text_hash"))))), 1, 15), 16, 10).cast("long")
     epochs = F.explode(F.sequence(F.lit(1), F.ceil(F.col("budget") / F.col("tokens")).cast("int")))
