@@ -255,4 +255,10 @@ def oracle_queries() -> dict[str, str]:
         "q20_late_data": Q20,
         "q21_local_time_flags": Q21,
         "q22_closed_windows": Q22,
+        "q23_table_append": Q07,
+        "q24_folded_table": Q07,
+        "q25_live_visitors_stored": Q11,
+        "q26_store_performance_stored": Q12,
+        "q27_zone_share_stored": Q13,
+        "q28_dead_letters": Q04,
     }

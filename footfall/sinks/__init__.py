@@ -1,7 +1,9 @@
 """Sinks: change-log and snapshot tables, dead letters, bus records."""
 
+from footfall.sinks.current import fold_changelog, read_current, read_newest_date
 from footfall.sinks.tables import (
     append_changelog_batch,
+    append_to_table,
     bus_records,
     publish_to_kafka,
     changelog_batch_writer,
@@ -17,13 +19,17 @@ from footfall.sinks.tables import (
 
 __all__ = [
     "append_changelog_batch",
+    "append_to_table",
     "bus_records",
     "publish_to_kafka",
     "changelog_batch_writer",
     "compact_changelog",
     "ensure_traffic_table",
+    "fold_changelog",
     "forwarded_records",
     "read_changelog",
+    "read_current",
+    "read_newest_date",
     "register_traffic_view",
     "write_bus_records",
     "write_changelog",

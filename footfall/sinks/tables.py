@@ -29,6 +29,13 @@ TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
 BATCH_RUN = "0000000000000-batch"  # of logs that no streaming query writes
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, on whatever file system it names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    listed = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+    return [s.getPath().toString() for s in listed or []]
+
+
 def run_of(batch: DataFrame, path: str) -> str:
     """Name of the run a micro-batch belongs to: the one its streaming query
     (whose id lives in the checkpoint) already uses under ``path``, or a new one."""
@@ -36,9 +43,7 @@ def run_of(batch: DataFrame, path: str) -> str:
     query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     if not query:
         return BATCH_RUN
-    found = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{RUN}=*-{query}")
-    listed = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
-    names = sorted(s.getPath().getName() for s in listed or [])
+    names = sorted(p.rsplit("/", 1)[-1] for p in folders(spark, f"{path.rstrip('/')}/{RUN}=*-{query}"))
     return names[0].split("=", 1)[1] if names else f"{int(time.time() * 1000):013d}-{query}"
 
 
@@ -161,6 +166,15 @@ def ensure_traffic_table(
     return name
 
 
+def append_to_table(rows: DataFrame, name: str) -> None:
+    """Append traffic rows to a catalog table made by ``ensure_traffic_table``,
+    few files per table partition. At least once: a batch that is written again
+    is stored again (the change log is the idempotent sink)."""
+    table = rows.sparkSession.table(name)
+    spread = rows.hint("rebalance", *(c.name for c in rows.sparkSession.catalog.listColumns(name) if c.isPartition))
+    spread.select(*table.columns).write.insertInto(name)
+
+
 def bus_records(events: DataFrame, topic_col: str = "topic") -> DataFrame:
     """Sensor events as bus records: key = topic bytes, value = JSON bytes."""
     return events.select(
