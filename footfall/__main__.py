@@ -1,6 +1,6 @@
 """Command line: ``python -m footfall stream ...`` runs the traffic job,
-``python -m footfall compact ...`` rewrites its change log as the current
-table, ``python -m footfall query <name> <sf_dir>`` runs one catalogue query.
+``python -m footfall fold ...`` folds what its change log gained into the
+current table, ``python -m footfall compact ...`` rewrites the whole log as one, ``python -m footfall query <name> <sf_dir>`` runs one catalogue query.
 
 Cluster settings (master, memory, shuffle partitions, spark.checkpoint.dir)
 come from spark-submit / spark-defaults; only the time zone is pinned.
@@ -39,6 +39,8 @@ def _stream(args: argparse.Namespace) -> int:
             fail_on_data_loss=args.fail_on_data_loss,
             max_offsets_per_trigger=args.max_offsets_per_trigger,
             min_partitions=args.min_partitions,
+            group_id_prefix=args.group_id_prefix,
+            options=dict(o.split("=", 1) for o in args.kafka_option),
         )
     else:
         envelopes = envelope_file_stream(spark, args.replay_dir, args.max_files_per_trigger)
@@ -46,6 +48,7 @@ def _stream(args: argparse.Namespace) -> int:
         changelog_path=args.changelog,
         checkpoint_root=args.checkpoint,
         dead_letter_path=args.dead_letters,
+        intake_path=args.intake,
         watermark_delay=args.watermark,
         window_duration=args.window,
         trigger_interval=args.trigger,
@@ -85,6 +88,17 @@ def _compact(args: argparse.Namespace) -> int:
     return 0
 
 
+def _fold(args: argparse.Namespace) -> int:
+    from footfall.sinks.current import expire_folded, fold_changelog
+
+    spark = _session("footfall-fold")
+    log = logging.getLogger("footfall")
+    log.info("dates written: %s", fold_changelog(spark, args.changelog, args.table))
+    if args.expire:
+        log.info("folders deleted: %s", len(expire_folded(spark, args.changelog, args.table, args.keep)))
+    return 0
+
+
 def _query(args: argparse.Namespace) -> int:
     from footfall.plans import catalogue
 
@@ -111,10 +125,13 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--fail-on-data-loss", action="store_true")
     s.add_argument("--max-offsets-per-trigger", type=int)
     s.add_argument("--min-partitions", type=int)
+    s.add_argument("--group-id-prefix")
+    s.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE", help="reader option, such as kafka.security.protocol=SSL")
     s.add_argument("--max-files-per-trigger", type=int, default=1)
     s.add_argument("--changelog", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--dead-letters")
+    s.add_argument("--intake", help="instead of --dead-letters: table of accepted and rejected records, parsed once")
     s.add_argument("--watermark", default=WATERMARK_DELAY)
     s.add_argument("--window", default=WINDOW_DURATION)
     s.add_argument("--trigger", default=TRIGGER_INTERVAL)
@@ -133,6 +150,13 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--show", type=int, default=0)
     c.set_defaults(func=_compact)
 
+    f = sub.add_parser("fold", help="fold new batches of a change log into the current table")
+    f.add_argument("--changelog", required=True)
+    f.add_argument("--table", required=True)
+    f.add_argument("--expire", action="store_true", help="then delete folded batches and replaced dates")
+    f.add_argument("--keep", type=int, default=2, help="folds whose replaced dates stay for their readers")
+    f.set_defaults(func=_fold)
+
     q = sub.add_parser("query", help="run one catalogue query")
     q.add_argument("name")
     q.add_argument("sf_dir")

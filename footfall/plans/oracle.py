@@ -78,20 +78,22 @@ def _with(*ctes: str) -> str:
 
 Q07 = _with(S, C) + traffic()
 
-def changelog(batch_ms: int) -> str:
-    """Update-mode change log with one batch per ``batch_ms`` of event time."""
+def changelog(batch: str, window: str = "5 MINUTE") -> str:
+    """Update-mode change log of events that arrive in the batch an expression names."""
     return f"""
 per AS (
-  SELECT "timestamp" // {batch_ms} AS batch_id,
-         time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
+  SELECT {batch} AS batch_id,
+         time_bucket(INTERVAL {window}, event_time) AS window_start,
          store_id, zone_id,
          count(*) AS n, sum(dwell_time_seconds) AS dwell
   FROM c GROUP BY ALL
 )"""
 
 
-RUNNING = """
-SELECT batch_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, store_id, zone_id,
+def running(window: str = "5 MINUTE") -> str:
+    """Running totals per key over the batches of ``changelog``."""
+    return f"""
+SELECT batch_id, window_start, window_start + INTERVAL {window} AS window_end, store_id, zone_id,
        cast(sum(n) OVER w AS BIGINT) AS visitor_count,
        round(sum(dwell) OVER w, 4) AS total_dwell_time
 FROM per
@@ -99,8 +101,10 @@ WINDOW w AS (PARTITION BY window_start, store_id, zone_id ORDER BY batch_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
 # 5-second trigger batches (q09) and 5-day replay slices (q18).
-Q09 = _with(S, C, changelog(5000)) + RUNNING
-Q18 = _with(S, C, changelog(432000000)) + RUNNING
+Q09 = _with(S, C, changelog('"timestamp" // 5000')) + running()
+Q18 = _with(S, C, changelog('"timestamp" // 432000000')) + running()
+# Events scattered over four batches, totals by day (q29).
+Q29 = _with(S, C, changelog("src_id % 4", "1 DAY")) + running("1 DAY")
 
 CURRENT = "t AS (" + traffic(rounded=False) + ")"
 
@@ -134,8 +138,7 @@ Q02 = _with(S) + f"\nSELECT {S_COLS} FROM s"
 
 Q03 = _with(S, C) + f"\nSELECT {S_COLS} FROM c"
 
-Q04 = _with(S) + """
-SELECT * FROM (
+CLASSIFIED = """
   SELECT src_id AS "offset",
          'sensors/' || coalesce(store_id, 'unassigned') AS topic,
          CASE WHEN src_id % 101 = 0 THEN 'invalid_utf8'
@@ -147,8 +150,12 @@ SELECT * FROM (
               WHEN dwell_time_seconds <= 0 THEN 'dwell_not_positive'
               WHEN dwell_time_seconds > 3600 THEN 'dwell_too_long'
          END AS reject_reason
-  FROM s
-) WHERE reject_reason IS NOT NULL"""
+  FROM s"""
+
+Q04 = _with(S) + f"\nSELECT * FROM ({CLASSIFIED}) WHERE reject_reason IS NOT NULL"
+
+Q30 = _with(S) + f"""
+SELECT "offset", topic, reject_reason IS NOT NULL AS rejected, reject_reason FROM ({CLASSIFIED})"""
 
 Q05 = _with(S) + """
 SELECT event_id, "timestamp", make_timestamp("timestamp" * 1000) AS event_time FROM s"""
@@ -229,6 +236,10 @@ SELECT * FROM agg
 WHERE window_end <= (SELECT max(event_time) FROM c) - INTERVAL 10 MINUTE"""
 
 
+# The traffic of the records that the transport faults leave whole.
+Q31 = _with(S, C) + traffic().replace("FROM c", "FROM c WHERE src_id % 101 <> 0 AND src_id % 103 <> 0")
+
+
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL for every catalogue query, by name."""
     return {
@@ -261,4 +272,7 @@ def oracle_queries() -> dict[str, str]:
         "q26_store_performance_stored": Q12,
         "q27_zone_share_stored": Q13,
         "q28_dead_letters": Q04,
+        "q29_stream_changelog": Q29,
+        "q30_intake_table": Q30,
+        "q31_intake_traffic": Q31,
     }

@@ -13,11 +13,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.operators.aggregate import aggregate_traffic
 from footfall.operators.changelog import BATCH_ID, changelog_by_batch, latest_per_key
 from footfall.operators.parse import decode_envelope
 from footfall.operators.serving import live_visitors, store_performance, zone_share
 from footfall.plans.output import present
-from footfall.schemas import SENSOR_EVENT_FIELDS, TRAFFIC_STATS
+from footfall.schemas import ENVELOPE, INTAKE, SENSOR_EVENT_FIELDS, TRAFFIC_STATS
 from footfall.session import scratch_path
 from footfall.sinks.current import fold_changelog, read_current, read_newest_date
 from footfall.sinks.tables import (
@@ -34,9 +35,17 @@ from footfall.sources.replay import (
     DEFAULT_SLICE_MS,
     envelope_file_stream,
     replay_slice,
+    replay_steps,
     write_replay_files,
 )
-from footfall.streaming.traffic import StreamResult, dead_letter_stream, run_query, traffic_stream
+from footfall.streaming.traffic import (
+    StreamResult,
+    dead_letter_stream,
+    intake_events,
+    intake_stream,
+    run_query,
+    traffic_stream,
+)
 
 TRAFFIC_ROUND = ("total_dwell_time",)
 TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
@@ -46,6 +55,7 @@ TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
 # runs. Three slices, not two: the late-row filter of a micro-batch uses the
 # watermark of the batch before it, which trails the data by a whole slice.
 LATE_BY_SLICES = 3
+SCATTERED = 4  # batches that the events of every key are scattered over (q29)
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -213,7 +223,57 @@ def q28_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("offset", "topic", "reject_reason")
 
 
+def q29_stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole change log of a stream in which the events of a key arrive
+    over several batches: running totals per batch and key. The stream is
+    resumed from its checkpoint for every batch."""
+    root = scratch_path(spark, "q29_stream_changelog")
+    source, log = os.path.join(root, "input"), os.path.join(root, "changelog")
+    env = bus_envelope(spark, sf_dir).withColumn("slice", F.pmod("offset", F.lit(SCATTERED)))
+    for _ in replay_steps(env, source, files_per_slice=_parallelism(spark)):
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        run_query(
+            spark,
+            traffic_stream(stream, watermark_delay="3650 days", window_duration="1 day"),
+            changelog_batch_writer(log),
+            os.path.join(root, "checkpoint"),
+            state_partitions=_parallelism(spark),
+        )
+    return present(read_changelog(spark, log).select(BATCH_ID, *TRAFFIC_COLUMNS), TRAFFIC_ROUND)
+
+
+def intake_table(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Path of the intake table of a replayed bus with transport faults."""
+    root = scratch_path(spark, kind)
+    source, out = os.path.join(root, "input"), os.path.join(root, "intake")
+    env = bus_envelope(spark, sf_dir, faults=True).withColumn("slice", replay_slice(F.unix_millis("timestamp")))
+    files = _parallelism(spark)
+    write_replay_files(env, source, files_per_slice=files)
+    rows = intake_stream(envelope_file_stream(spark, source, max_files_per_trigger=files))
+    run_query(spark, rows, out, os.path.join(root, "checkpoint"), output_mode="append", partition_by="rejected")
+    return out
+
+
+def q30_intake_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the bus in the intake table, once, accepted or with its reject reason."""
+    table = spark.read.schema(INTAKE).parquet(intake_table(spark, sf_dir, "q30_intake_table"))
+    return table.select("offset", "topic", "rejected", "reject_reason")
+
+
+def q31_intake_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traffic stream over the accepted part of an intake table: current table."""
+    root = scratch_path(spark, "q31_intake_traffic")
+    accepted = intake_events(spark, intake_table(spark, sf_dir, "q31_intake_table"))
+    log = os.path.join(root, "changelog")
+    run_query(
+        spark, aggregate_traffic(accepted), changelog_batch_writer(log), os.path.join(root, "checkpoint"),
+        state_partitions=_parallelism(spark),
+    )
+    return present(latest_per_key(read_changelog(spark, log)), TRAFFIC_ROUND)
+
+
 STREAMED = [
     q17_stream_traffic, q18_idempotent_sink, q19_bus_records, q20_late_data, q22_closed_windows, q23_table_append,
     q24_folded_table, q25_live_visitors_stored, q26_store_performance_stored, q27_zone_share_stored, q28_dead_letters,
+    q29_stream_changelog, q30_intake_table, q31_intake_traffic,
 ]

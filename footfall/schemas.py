@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     BinaryType,
+    BooleanType,
     DecimalType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -80,6 +82,22 @@ ZONES = StructType(
     ]
 )
 
+# Intake table: every bus record parsed once. Event fields are null and the
+# payload is kept where a record was rejected.
+INTAKE = StructType(
+    SENSOR_EVENT.fields
+    + [
+        StructField("topic", StringType()),
+        StructField("partition", IntegerType()),
+        StructField("offset", LongType()),
+        StructField("bus_time", TimestampType()),
+        StructField("reject_reason", StringType()),
+        StructField("payload", StringType()),
+        StructField("unparsed", BooleanType()),
+        StructField("rejected", BooleanType()),
+    ]
+)
+
 # Message-bus envelope, the same shape a Kafka source produces.
 ENVELOPE = StructType(
     [

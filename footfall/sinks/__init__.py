@@ -1,6 +1,6 @@
 """Sinks: change-log and snapshot tables, dead letters, bus records."""
 
-from footfall.sinks.current import fold_changelog, read_current, read_newest_date
+from footfall.sinks.current import expire_folded, fold_changelog, read_current, read_newest_date
 from footfall.sinks.tables import (
     append_changelog_batch,
     append_to_table,
@@ -25,6 +25,7 @@ __all__ = [
     "changelog_batch_writer",
     "compact_changelog",
     "ensure_traffic_table",
+    "expire_folded",
     "fold_changelog",
     "forwarded_records",
     "read_changelog",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators.changelog import BATCH_ID, RUN
 from footfall.schemas import TRAFFIC_KEY, TRAFFIC_STATS
-from footfall.sinks.tables import folders, read_changelog
+from footfall.sinks.tables import folders, read_changelog, remove_folder
 
 GENERATION = "generation"
 WINDOW_DATE = "window_date"
@@ -64,6 +64,39 @@ def _latest(rows: DataFrame) -> DataFrame:
     return latest.select(*TRAFFIC_KEY, "s.*")
 
 
+def _mark(spark: SparkSession, path: str, generation: str):
+    """The greatest (run, batch_id) of a generation: how far the log is folded."""
+    last = spark.read.parquet(f"{path.rstrip('/')}/{generation}")
+    return last.agg(F.max(F.struct(RUN, BATCH_ID)).alias("m")).first().m
+
+
+def expire_folded(spark: SparkSession, changelog_path: str, path: str, keep: int = 2) -> list[str]:
+    """Delete what folding has made superfluous and return the folders deleted:
+    dates that had been replaced before the last ``keep`` folds (readers of the
+    later ones go on undisturbed) and batches of the change log before the last
+    folded one. After that the log alone no longer gives the current table."""
+    done = _generations(spark, path)
+    if not done:
+        return []
+    number = lambda generation: int(generation.split("=")[1])
+    by_date: dict[str, list[str]] = {}
+    for found in folders(spark, f"{path.rstrip('/')}/{GENERATION}=*/{WINDOW_DATE}=*"):
+        if found.split("/")[-2] in done:
+            by_date.setdefault(found.split("/")[-1], []).append(found)
+    gone = []
+    for held in by_date.values():
+        held.sort()
+        gone += [old for old, new in zip(held, held[1:]) if number(new.split("/")[-2]) <= number(done[-1]) - keep]
+    mark = _mark(spark, path, done[-1])
+    for found in folders(spark, f"{changelog_path.rstrip('/')}/{RUN}=*/{BATCH_ID}=*"):
+        run, batch = (part.split("=", 1)[1] for part in found.split("/")[-2:])
+        if (run, int(batch)) < (mark[RUN], mark[BATCH_ID]):
+            gone.append(found)
+    for folder in gone:
+        remove_folder(spark, folder)
+    return gone
+
+
 def fold_changelog(spark: SparkSession, changelog_path: str, path: str) -> list[str]:
     """Fold what the change log gained since the last fold into the current
     table; returns the dates written anew (none, if nothing is new).
@@ -72,8 +105,7 @@ def fold_changelog(spark: SparkSession, changelog_path: str, path: str) -> list[
     log = read_changelog(spark, changelog_path)
     done = _generations(spark, path)
     if done:
-        last = spark.read.parquet(f"{path.rstrip('/')}/{done[-1]}")
-        mark = last.agg(F.max(F.struct(RUN, BATCH_ID)).alias("m")).first().m
+        mark = _mark(spark, path, done[-1])
         later = (F.col(RUN) == mark[RUN]) & (F.col(BATCH_ID) > mark[BATCH_ID])
         log = log.filter((F.col(RUN) > mark[RUN]) | later)  # on folder names: older batches are not read
     log = log.select(*STORED)

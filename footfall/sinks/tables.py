@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall.functions.payload import sensor_event_json
 from footfall.operators.changelog import BATCH_ID, RUN, latest_per_key
@@ -26,6 +27,8 @@ log = logging.getLogger(__name__)
 
 TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
 
+CHANGELOG = StructType(list(TRAFFIC_STATS.fields)).add(RUN, "string").add(BATCH_ID, "long")
+
 BATCH_RUN = "0000000000000-batch"  # of logs that no streaming query writes
 
 
@@ -36,6 +39,18 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in listed or []]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, and those above it, unless it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run_of(batch: DataFrame, path: str) -> str:
     """Name of the run a micro-batch belongs to: the one its streaming query
     (whose id lives in the checkpoint) already uses under ``path``, or a new one."""
@@ -113,9 +128,9 @@ def changelog_batch_writer(
 
 
 def read_changelog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The change log with ``run`` and ``batch_id`` from the folder names."""
-    df = spark.read.format(fmt).load(path)
-    return df.withColumn(BATCH_ID, F.col(BATCH_ID).cast("long"))
+    """The change log with ``run`` and ``batch_id`` from the folder names. Its
+    schema is given, so no file is opened to find it."""
+    return spark.read.format(fmt).schema(CHANGELOG).load(path)
 
 
 def register_traffic_view(

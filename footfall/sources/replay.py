@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import time
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +27,16 @@ def replay_slice(ms: Column | str, slice_ms: int = DEFAULT_SLICE_MS) -> Column:
     return F.floor(c / F.lit(slice_ms)).cast("long")
 
 
-def write_replay_files(
+def replay_steps(
     envelope: DataFrame,
     root: str,
     slice_col: str = "slice",
     files_per_slice: int = 1,
-) -> list[int]:
+) -> Iterator[int]:
     """Write ``envelope`` (which carries ``slice_col``) as one folder per slice,
-    in slice order, and return the slice numbers written.
+    in slice order; yields each slice number once its files are there. A stream
+    that is run to its end at every step takes exactly one slice a micro-batch,
+    however many files hold it.
 
     The envelope is first staged once, partitioned by slice (one parallel
     job). Each slice is then copied by its own job, reading only its staged
@@ -53,7 +56,17 @@ def write_replay_files(
             os.path.join(root, f"{slice_col}={n:012d}")
         )
         time.sleep(0.01)  # distinct modification times between slices
-    return slices
+        yield n
+
+
+def write_replay_files(
+    envelope: DataFrame,
+    root: str,
+    slice_col: str = "slice",
+    files_per_slice: int = 1,
+) -> list[int]:
+    """Write all slices (see ``replay_steps``) and return their numbers."""
+    return list(replay_steps(envelope, root, slice_col, files_per_slice))
 
 
 def envelope_file_stream(

@@ -5,6 +5,9 @@ from footfall.streaming.traffic import (
     StreamResult,
     accepted_event_stream,
     dead_letter_stream,
+    intake_events,
+    intake_stream,
+    read_rejected,
     run_query,
     traffic_stream,
 )
@@ -16,6 +19,9 @@ __all__ = [
     "start_traffic_job",
     "accepted_event_stream",
     "dead_letter_stream",
+    "intake_events",
+    "intake_stream",
+    "read_rejected",
     "run_query",
     "traffic_stream",
 ]

@@ -1,9 +1,13 @@
-"""The long-running traffic job: one envelope source, two streaming queries.
+"""The long-running traffic job: one envelope source, one or two streaming queries.
 
 * traffic: accepted events -> watermark -> windowed aggregate -> change log
   (idempotent per micro-batch), ``update`` or ``append`` output mode;
 * dead letters: rejected records with reason and raw payload.
 
+With ``intake_path`` the bus is read and parsed once: one stateless query
+writes accepted and rejected records to the intake table, and the traffic
+query streams from its accepted part.
+
 Each query has its own checkpoint under ``checkpoint_root``. Any failure
 stops the other query and is raised, so a supervisor can restart the job;
 restarted queries resume from their checkpoints.
@@ -20,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.operators.aggregate import DEFAULT_WINDOW
+from footfall.operators.aggregate import DEFAULT_WINDOW, aggregate_traffic
 from footfall.sinks.tables import batch_partition_path, changelog_batch_writer, run_of
 from footfall.streaming.traffic import (
     DEFAULT_TRIGGER,
     DEFAULT_WATERMARK,
     dead_letter_stream,
+    intake_events,
+    intake_stream,
     run_query,
     traffic_stream,
 )
@@ -39,6 +45,8 @@ class TrafficJobConfig:
     changelog_path: str
     checkpoint_root: str
     dead_letter_path: str | None = None
+    intake_path: str | None = None  # instead of dead_letter_path: one table of accepted and rejected records
+    intake_files_per_trigger: int | None = None  # of the traffic query that reads the intake table
     watermark_delay: str = DEFAULT_WATERMARK
     window_duration: str = DEFAULT_WINDOW
     trigger_interval: str = DEFAULT_TRIGGER
@@ -56,7 +64,9 @@ class TrafficJobConfig:
             value = getattr(self, name)
             if not isinstance(value, str) or not _INTERVAL.match(value):
                 raise ValueError(f"{name} must look like '10 minutes', not {value!r}")
-        for name in ("state_partitions", "max_future_skew_ms"):
+        if self.intake_path and self.dead_letter_path:
+            raise ValueError("the intake table holds the rejects: give intake_path or dead_letter_path")
+        for name in ("state_partitions", "max_future_skew_ms", "intake_files_per_trigger"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")
@@ -76,7 +86,7 @@ def dead_letter_writer(path: str):
 
 
 def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJobConfig) -> list:
-    """Start the traffic query (and the dead-letter query when configured).
+    """Start the traffic query (and the intake or dead-letter query when configured).
 
     Returns running queries, or run summaries when ``cfg.available_now``.
     """
@@ -85,19 +95,36 @@ def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJob
         trigger_interval=cfg.trigger_interval,
         state_partitions=cfg.state_partitions,
     )
-    started = [
+    started = []
+    if cfg.intake_path:
+        started.append(
+            run_query(
+                spark,
+                intake_stream(envelopes, cfg.max_future_skew_ms),
+                cfg.intake_path,
+                os.path.join(cfg.checkpoint_root, "intake"),
+                output_mode="append",
+                partition_by="rejected",
+                **common,
+            )
+        )
+        accepted = intake_events(spark, cfg.intake_path, cfg.watermark_delay, cfg.dedup, cfg.intake_files_per_trigger)
+        traffic = aggregate_traffic(accepted, cfg.window_duration)
+    else:
+        traffic = traffic_stream(
+            envelopes, cfg.watermark_delay, cfg.window_duration, cfg.dedup, cfg.max_future_skew_ms
+        )
+    started.append(
         run_query(
             spark,
-            traffic_stream(
-                envelopes, cfg.watermark_delay, cfg.window_duration, cfg.dedup, cfg.max_future_skew_ms
-            ),
+            traffic,
             changelog_batch_writer(cfg.changelog_path, idempotent=cfg.idempotent),
             os.path.join(cfg.checkpoint_root, "traffic"),
             output_mode=cfg.output_mode,
             query_name=None,
             **common,
         )
-    ]
+    )
     if cfg.dead_letter_path:
         started.append(
             run_query(

@@ -26,8 +26,9 @@ from footfall.fixed import TRIGGER_INTERVAL, WATERMARK_DELAY
 from footfall.operators.aggregate import DEFAULT_WINDOW, aggregate_traffic
 from footfall.operators.enrich import with_event_time
 from footfall.operators.parse import decode_envelope
-from footfall.operators.quality import accepted_events, classify_events, rejected_events
-from footfall.schemas import CORRUPT_COLUMN, SENSOR_EVENT_FIELDS
+from footfall.operators.quality import REJECT_REASON, accepted_events, classify_events, rejected_events
+from footfall.schemas import CORRUPT_COLUMN, INTAKE, SENSOR_EVENT_FIELDS
+from footfall.sinks.tables import make_folder
 
 log = logging.getLogger(__name__)
 
@@ -71,7 +72,11 @@ def accepted_event_stream(
     carry = ["bus_time"] if max_future_skew_ms is not None else []
     decoded = _observed_intake(decode_envelope(envelopes, carry=carry))
     classified = classify_events(decoded, max_future_skew_ms=max_future_skew_ms)
-    ev = with_event_time(accepted_events(classified).select(*SENSOR_EVENT_FIELDS))
+    return _watermarked(accepted_events(classified).select(*SENSOR_EVENT_FIELDS), watermark_delay, dedup)
+
+
+def _watermarked(events: DataFrame, watermark_delay: str | None, dedup: bool) -> DataFrame:
+    ev = with_event_time(events)
     if watermark_delay:
         ev = ev.withWatermark("event_time", watermark_delay)
         if dedup:
@@ -91,19 +96,68 @@ def traffic_stream(
     return aggregate_traffic(events, window_duration)
 
 
+PLACE = ["topic", "partition", "offset", "bus_time"]
+
+
+def _placed(envelopes: DataFrame) -> DataFrame:
+    if "partition" in envelopes.columns:
+        return envelopes
+    return envelopes.withColumn("partition", F.lit(None).cast("int"))
+
+
+def intake_stream(envelopes: DataFrame, max_future_skew_ms: int | None = None) -> DataFrame:
+    """Every record of the bus, parsed once, as rows of the intake table:
+    accepted ones with their event fields, rejected ones with reason, raw
+    payload and no event fields. Written by ``run_query`` into a folder
+    partitioned by ``rejected``, accepted and rejected records add up to all."""
+    decoded = _observed_intake(decode_envelope(_placed(envelopes), carry=PLACE))
+    classified = classify_events(decoded, max_future_skew_ms=max_future_skew_ms)
+    rejected = F.col(REJECT_REASON).isNotNull()
+    return classified.select(
+        *[F.when(~rejected, F.col(c)).alias(c) for c in SENSOR_EVENT_FIELDS],
+        *PLACE,
+        REJECT_REASON,
+        F.when(rejected, F.col("payload")).alias("payload"),
+        F.col(CORRUPT_COLUMN).isNotNull().alias("unparsed"),
+        rejected.alias("rejected"),
+    )
+
+
+def intake_events(
+    spark: SparkSession,
+    path: str,
+    watermark_delay: str | None = DEFAULT_WATERMARK,
+    dedup: bool = False,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Accepted events of an intake table as a stream with ``event_time`` and a
+    watermark. Only files that the file sink's log has committed are read, so a
+    batch that had to be written again counts once. Rejects are not read, though
+    their files count towards ``max_files_per_trigger``."""
+    make_folder(spark, path)  # the reader may start before the first batch is there
+    reader = spark.readStream.schema(INTAKE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    accepted = reader.parquet(path).filter(~F.col("rejected"))
+    return _watermarked(accepted.select(*SENSOR_EVENT_FIELDS), watermark_delay, dedup)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected records of an intake table; accepted ones are not read."""
+    return spark.read.schema(INTAKE).parquet(path).filter("rejected").select(
+        *PLACE, REJECT_REASON, "payload", "unparsed"
+    )
+
+
 def dead_letter_stream(envelopes: DataFrame, max_future_skew_ms: int | None = None) -> DataFrame:
     """Rejected records with their reason, raw payload and bus position
     (``partition`` is null where the envelope has none). Takes the same bounds
     as the traffic query, so accepted and rejected records add up to all."""
-    where = ["topic", "offset", "bus_time"]
-    if "partition" in envelopes.columns:
-        where.append("partition")
-    decoded = decode_envelope(envelopes, carry=where)
+    decoded = decode_envelope(_placed(envelopes), carry=PLACE)
     rejected = rejected_events(classify_events(decoded, max_future_skew_ms=max_future_skew_ms))
-    partition = F.col("partition") if "partition" in where else F.lit(None).cast("int").alias("partition")
     return rejected.select(
         "topic",
-        partition,
+        "partition",
         "offset",
         "bus_time",
         "reject_reason",
@@ -183,10 +237,12 @@ def run_query(
     state_partitions: int | None = None,
     query_name: str | None = None,
     rocksdb_state: bool = True,
+    partition_by: str | None = None,
 ) -> StreamResult | StreamingQuery:
     """Start ``stream`` into ``sink``: a ``foreachBatch`` function, or a folder
     for Spark's built-in parquet file sink (append mode only; exactly-once
-    through the sink's own metadata log, no Python call per micro-batch).
+    through the sink's own metadata log, no Python call per micro-batch),
+    partitioned by the column ``partition_by`` if given.
 
     With ``available_now`` (replays, back-fills, tests) this processes
     everything available, honouring the source's rate limit, blocks, and
@@ -200,6 +256,8 @@ def run_query(
         if output_mode != "append":
             raise ValueError("the file sink takes append mode only")
         writer = writer.format("parquet").option("path", sink)
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
     else:
         writer = writer.foreachBatch(sink)
     if query_name:

@@ -15,7 +15,7 @@ from footfall.plans import oracle_queries as oracle_sql
 from footfall.plans.catalogue import q07_traffic_stats, q13_zone_share, q14_dim_enriched
 
 TABLES = ["region", "nation", "customer", "events"]
-STREAMED = {"q17_stream_traffic", "q20_late_data", "q22_closed_windows", "q28_dead_letters"}
+STREAMED = {"q17_stream_traffic", "q20_late_data", "q22_closed_windows", "q28_dead_letters", "q29_stream_changelog", "q30_intake_table", "q31_intake_traffic"}
 
 
 def norm(v):

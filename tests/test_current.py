@@ -5,7 +5,7 @@ from datetime import datetime
 
 from footfall.plans.streamed import folded_table
 from footfall.session import scratch_path
-from footfall.sinks.current import current_dates, fold_changelog, read_current, read_newest_date
+from footfall.sinks.current import current_dates, expire_folded, fold_changelog, read_current, read_newest_date
 from footfall.sinks.tables import append_to_table, batch_partition_path, ensure_traffic_table, write_changelog_batch
 from footfall.operators.serving import live_visitors
 from conftest import SF_SMALL
@@ -66,6 +66,36 @@ def test_fold_reads_new_batches_only(spark):
     assert fold_changelog(spark, log, table) == ["2031-03-05"]
 
 
+def test_expiry_leaves_the_table_and_the_mark(spark):
+    root = scratch_path(spark, "t_expire")
+    log, table = os.path.join(root, "log"), os.path.join(root, "table")
+    assert expire_folded(spark, log, table) == []
+    for n in range(4):
+        put(spark, log, n, (D1, "A", n), *([(D2, "A", 1)] if n == 0 else []))
+        fold_changelog(spark, log, table)
+    put(spark, log, 4, (D3, "C", 9))  # not folded yet
+    before = held(read_current(spark, table))
+    gone = expire_folded(spark, log, table, keep=2)
+    assert sorted(g.split("/")[-2] for g in gone if "generation=" in g) == ["generation=00000001"]  # replaced by the second fold of four
+    assert sorted(g.split("/")[-1] for g in gone if "batch_id=" in g) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert held(read_current(spark, table)) == before == [(D1, "A", 3), (D2, "A", 1)]
+    assert fold_changelog(spark, log, table) == ["2031-03-06"]
+    assert held(read_current(spark, table)) == [(D1, "A", 3), (D2, "A", 1), (D3, "C", 9)]
+    assert expire_folded(spark, log, table, keep=0) and held(read_current(spark, table)) == [(D1, "A", 3), (D2, "A", 1), (D3, "C", 9)]
+
+
+def test_fold_command(spark):
+    from footfall.__main__ import main
+
+    root = scratch_path(spark, "t_fold_cli")
+    log, table = os.path.join(root, "log"), os.path.join(root, "table")
+    put(spark, log, 0, (D1, "A", 2))
+    put(spark, log, 1, (D1, "A", 3))
+    assert main(["fold", "--changelog", log, "--table", table, "--expire"]) == 0
+    assert held(read_current(spark, table)) == [(D1, "A", 3)]
+    assert not os.path.exists(batch_partition_path(log, 0, "1-a"))
+
+
 def test_empty_table(spark):
     assert read_current(spark, os.path.join(scratch_path(spark, "t_none"), "table")).count() == 0
 
