@@ -67,6 +67,24 @@ def test_streamed_query_matches(spark, duck, name):
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(ocols, res.fetchall())
 
 
+def results(duck, sql):
+    res = duck.execute(sql)
+    return canon([d[0] for d in res.description], res.fetchall())
+
+
+def test_streamed_entries_tell_wrong_streams(duck):
+    """What a stream would give that lost its state at every batch, or took
+    late rows, differs from what the entries are held against."""
+    right = oracle_sql()["q29_stream_changelog"]
+    reset = right.replace("UNBOUNDED PRECEDING", "CURRENT ROW")
+    assert reset != right and results(duck, reset) != results(duck, right)
+    keys = {(r[0], r[1]) for r in duck.execute(f"SELECT window_start, store_id || zone_id FROM ({right})").fetchall()}
+    assert len(results(duck, right)) > 1.5 * len(keys)  # keys are updated by several batches
+    right = oracle_sql()["q20_late_data"]
+    late = right.replace("> (SELECT max(event_time) FROM c) - INTERVAL 10 MINUTE", "IS NOT NULL")
+    assert late != right and results(duck, late) != results(duck, right)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
