@@ -1,18 +1,21 @@
 """Operator 9: main text of pages by a site style tree.
 
 Pages of a host are merged into one tree whose nodes are element paths (tag,
-class and id names without digits). For every node Spark sums, over the pages
+class and id names without digits); inline elements are no nodes, their text
+belongs to the block around them. For every node Spark sums, over the pages
 of the host, how its child sequences (presentation) and own texts (content)
 are spread: a feature that all pages share has entropy 1, one that a single
-page has 0. A node's importance is 1 minus the mean entropy of its features.
-A branch of a page goes when nothing in it is important.
+page has 0. Pages of the same text count once, so copies do not make their
+text look shared. A node's importance is 1 minus the mean entropy of its
+features. A branch of a page goes when nothing in it is important.
 
 Entropy cannot tell a menu whose words vary from content, nor a paragraph
 that copies of a page share from boilerplate. So nodes whose role is plain
 have a fixed importance: 0 for menus, headers, footers, asides, adverts,
 notices, forms, scripts and comments (by tag, class, id or role), 1 for
 headings and paragraphs; the tree decides on all others. Where a page marks
-an article or main part, only that part is read.
+an article or main part, only that part is read, and of an unimportant branch
+in it only the texts go that repeat on pages of other text.
 """
 
 from __future__ import annotations
@@ -25,14 +28,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import extended, runs, strings
 from footfall.operators.joins import salted_left_join
 
 IMPORTANCE = 0.3  # of a node below which it counts as boilerplate
-MIN_PAGES = 3  # of a host before entropy says anything
+MIN_PAGES = 3  # of different texts, of a host before entropy says anything
 
 # HTML's element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +45,10 @@ BLOCKS = set(
     figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary
     table tbody td tfoot th thead tr ul""".split()
 )
+INLINE = set(
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span
+    strike strong sub sup time tt u var""".split()
+)
 CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dd", "dt", "html", "body", "legend"}
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -67,6 +74,7 @@ class Node:
     path: int  # hash of the labels from the root
     parent: int
     role: int | None  # fixed importance, or None
+    owner: int  # the node itself, or for an inline element the one its text belongs to
     children: list[int] = field(default_factory=list)  # label hashes, in order
 
 
@@ -101,7 +109,7 @@ def parse(source: str) -> Page:
     """Elements and texts of a page. Unclosed and stray tags are read as
     browsers do: a block ends an open paragraph, an item ends its sibling, an
     end tag ends all that is open within its element."""
-    nodes = [Node("", 0, -1, None)]
+    nodes = [Node("", 0, -1, None, 0)]
     texts: list[tuple[int, int, str]] = []
     stack, block, at, end = [0], 0, 0, len(source)
 
@@ -154,10 +162,15 @@ def parse(source: str) -> Page:
         if tag == "header" and any(nodes[s].tag == "article" for s in stack):
             role = None  # the title block of an article
         parent = stack[-1]
-        nodes[parent].children.append(_hash(label))
+        inline = tag in INLINE and role is None
+        if not inline:
+            nodes[parent].children.append(_hash(label))
         if m[3].rstrip().endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
-        nodes.append(Node(tag, _hash(nodes[parent].path, label), parent, role))
+        if inline:
+            nodes.append(Node(tag, nodes[parent].path, parent, None, nodes[parent].owner, nodes[parent].children))
+        else:
+            nodes.append(Node(tag, _hash(nodes[parent].path, label), parent, role, len(nodes)))
         if tag in RAW:
             done = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
             at = done.end() if done else end
@@ -170,38 +183,76 @@ def _flat(text: str) -> str:
     return SPACE.sub(" ", html.unescape(text)).strip()
 
 
+def _scope(page: Page) -> tuple[list[bool], list[bool], bool]:
+    """Of each node: whether it is in the part that is read, whether a role
+    removes it; and whether the page marks an article or main part."""
+    nodes = page.nodes
+    marks = [n.tag in ("article", "main") and n.role != 0 for n in nodes]
+    marked = any(marks)
+    inside, gone = [False] * len(nodes), [False] * len(nodes)
+    for i, n in enumerate(nodes):
+        up = n.parent
+        inside[i] = not marked or marks[i] or up >= 0 and inside[up]
+        gone[i] = n.role == 0 or up >= 0 and gone[up]
+    return inside, gone, marked
+
+
+def _own_texts(page: Page) -> dict[tuple[int, int], str]:
+    """(node, block) -> text of the node in that block, with that of its inline elements."""
+    parts: dict[tuple[int, int], list[str]] = {}
+    for node, block, text in page.texts:
+        parts.setdefault((page.nodes[node].owner, block), []).append(text)
+    return {key: flat for key, texts in parts.items() if (flat := _flat("".join(texts)))}
+
+
+def _saying(path: int, text: str, in_article: bool) -> int:
+    """Feature of a text; odd if it stands in a marked article or main part."""
+    return _hash(path, "text", text) & ~1 | in_article
+
+
+HOST = -1  # path of a feature that every page has once
+
+
 def features(page: Page) -> dict[tuple[int, int], int]:
-    """(path, feature) -> times: child sequences and own texts of the page's nodes."""
-    out: dict[tuple[int, int], int] = {}
-    for node in page.nodes[1:]:
-        key = (node.path, _hash("children", *node.children))
-        out[key] = out.get(key, 0) + 1
-    for node, _, text in page.texts:
-        flat = _flat(text)
-        if flat:
-            key = (page.nodes[node].path, _hash("text", flat))
+    """(path, feature) -> times: child sequences and own texts of the page's
+    nodes, but for those whose importance a role fixes."""
+    out = {(HOST, 0): 1}
+    inside, gone, marked = _scope(page)
+    free = [n.role is None and n.owner == i and not gone[i] for i, n in enumerate(page.nodes)]
+    for i, node in enumerate(page.nodes):
+        if i and free[i]:
+            key = (node.path, _hash("children", *node.children) & ~1)
+            out[key] = out.get(key, 0) + 1
+    for (node, _), text in _own_texts(page).items():
+        if free[node]:
+            path = page.nodes[node].path
+            key = (path, _saying(path, text, marked and inside[node]))
             out[key] = out.get(key, 0) + 1
     return out
 
 
-def main_text(page: Page, low: set[int]) -> str:
-    """Text of the branches that hold something important, one block a line."""
+def main_text(page: Page, low: set[int], repeated: set[int]) -> str:
+    """Text of the branches that hold something important, one block a line. In
+    a marked part the others lose the texts that ``repeated`` has."""
     nodes = page.nodes
-    marked = [i for i, n in enumerate(nodes) if n.tag in ("article", "main") and n.role != 0]
-    inside, gone = [False] * len(nodes), [False] * len(nodes)
+    inside, gone, marked = _scope(page)
     alive = [n.role == 1 or n.role is None and n.path not in low for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
         if alive[i] and nodes[i].role != 0:
             alive[nodes[i].parent] = True  # a branch stays for what it holds
-    for i, n in enumerate(nodes):
-        up = n.parent
-        inside[i] = not marked or n.tag in ("article", "main") and n.role != 0 or up >= 0 and inside[up]
-        gone[i] = n.role == 0 or up >= 0 and gone[up] or n.role is None and i > 0 and not alive[i] and n.path in low
+    idle = [False] * len(nodes)
+    for i, n in enumerate(nodes[1:], 1):
+        idle[i] = idle[n.parent] or n.owner == i and n.role is None and not alive[i]
+    own = _own_texts(page) if marked and any(idle) else {}
     blocks: list[str] = []
     current, parts = -1, []
     for node, block, text in page.texts:
         if gone[node] or not inside[node]:
             continue
+        if idle[node]:
+            path = nodes[node].path
+            if not marked or _saying(path, own.get((nodes[node].owner, block), ""), True) in repeated:
+                continue
         if block != current:
             blocks.append("".join(parts))
             current, parts = block, []
@@ -215,39 +266,48 @@ def host_of(url: str) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-STYLES = "host string, path long, feature long, times long"
+STYLES = "host string, text long, page long, uses array<struct<path:long,feature:long,times:long>>"
+USE = pa.struct([("path", pa.int64()), ("feature", pa.int64()), ("times", pa.int64())])
 
 
 def _styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for run in runs(batches, "html"):
-        host, path, feature, times = [], [], [], []
-        for name, source in zip(run.column("host").to_pylist(), strings(run.column("html"))):
-            found = features(parse(source))
-            host += [name] * len(found)
-            path += [p for p, _ in found]
-            feature += [f for _, f in found]
-            times += found.values()
+        text, key, uses = [], [], []
+        for source in strings(run.column("html")):
+            page = parse(source)
+            text.append(_hash(main_text(page, set(), set())))
+            key.append(_hash(source))
+            uses.append([{"path": p, "feature": f, "times": n} for (p, f), n in features(page).items()])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(feature, pa.int64()), pa.array(times, pa.int64())],
-            ["host", "path", "feature", "times"],
+            [run.column("host"), pa.array(text, pa.int64()), pa.array(key, pa.int64()), pa.array(uses, pa.list_(USE))],
+            ["host", "text", "page", "uses"],
         )
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages and importance of the nodes of each host's tree, from
-    ``host`` and ``html``. With c uses of a feature, c_j of them on page j, its
-    entropy is (log c - sum(c_j log c_j) / c) / log(pages of the host)."""
+    """host, path, pages and importance of the nodes of each host's tree that
+    no role decides, from ``host`` and ``html``, and ``repeated``: the node's
+    texts in marked parts that ``MIN_PAGES`` pages or more have.
+
+    Of pages with the same text one counts. With c uses of a feature, c_j of
+    them on page j, its entropy is (log c - sum(c_j log c_j) / c) / log(pages
+    of the host)."""
     rows = pages.select("host", "html").mapInArrow(_styles, STYLES)
-    spread = rows.groupBy("host", "path", "feature").agg(
+    once = rows.groupBy("host", "text").agg(F.min_by("uses", "page").alias("uses")).select("host", F.inline("uses"))
+    spread = once.groupBy("host", "path", "feature").agg(
         F.sum("times").alias("c"), F.sum(F.col("times") * F.log("times")).alias("s"), F.count(F.lit(1)).alias("pages")
     )
-    size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).filter(F.col("host_pages") >= MIN_PAGES)
     # Summed by node before the pages of the host come in: one row a node, however large the host.
+    again = (F.pmod("feature", F.lit(2)) == 1) & (F.col("pages") >= MIN_PAGES)
     nodes = spread.groupBy("host", "path").agg(
-        F.sum(F.col("c") * F.log("c") - F.col("s")).alias("spread"), F.sum("c").alias("c"), F.max("pages").alias("pages")
-    )
-    return nodes.join(size, "host").select(
-        "host", "path", "pages", (F.lit(1.0) - F.col("spread") / F.col("c") / F.log("host_pages")).alias("importance")
+        F.sum(F.col("c") * F.log("c") - F.col("s")).alias("spread"), F.sum("c").alias("c"), F.max("pages").alias("pages"),
+        F.collect_list(F.when(again, F.col("feature"))).alias("repeated"),
+    )
+    size = F.max(F.when(F.col("path") == HOST, F.col("c"))).over(Window.partitionBy("host"))
+    return (
+        nodes.withColumn("host_pages", size)
+        .filter((F.col("host_pages") >= MIN_PAGES) & (F.col("path") != HOST))
+        .select("host", "path", "pages", (F.lit(1.0) - F.col("spread") / F.col("c") / F.log("host_pages")).alias("importance"), "repeated")
     )
 
 
@@ -255,7 +315,7 @@ def page_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, ``text`` (empty if none) and ``n_chars`` of every row of ``pages``.
 
     Null html is empty; a null address has the empty host, whose pages make one
-    tree. Rows that repeat are pages of their own. A page without an article
+    tree. Rows that repeat each have their text, but count once in the tree. A page without an article
     or main part is read whole but for its boilerplate. Other columns of
     ``pages`` are not used."""
     given = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of("url").alias("host"))
@@ -263,14 +323,14 @@ def page_texts(pages: DataFrame) -> DataFrame:
         style_tree(given)
         .filter((F.col("importance") < IMPORTANCE) & (F.col("pages") >= MIN_PAGES))
         .groupBy("host")
-        .agg(F.collect_list("path").alias("low"))  # nodes of one site's template
+        .agg(F.collect_list("path").alias("low"), F.flatten(F.collect_list("repeated")).alias("repeated"))  # of one site's template
     )
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, "html"):
             out = [
-                main_text(parse(source), set(paths or ()))
-                for source, paths in zip(strings(run.column("html")), run.column("low").to_pylist())
+                main_text(parse(source), set(paths or ()), set(texts or ()))
+                for source, paths, texts in zip(strings(run.column("html")), run.column("low").to_pylist(), run.column("repeated").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
                 [run.column("page_id"), run.column("url"), pa.array(out, pa.string()), pa.array(np.array([len(t) for t in out], np.int64))],
@@ -280,4 +340,4 @@ def page_texts(pages: DataFrame) -> DataFrame:
     schema = extended(given.select("page_id", "url"), text="string", n_chars="long")
     # A host may hold a third of all pages: its pages are spread over as many tasks as there are partitions.
     known = salted_left_join(given, low, ["host"], salt_col=None)
-    return known.select("page_id", "url", "html", "low").mapInArrow(run_all, schema)
+    return known.select("page_id", "url", "html", "low", "repeated").mapInArrow(run_all, schema)

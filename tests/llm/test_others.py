@@ -149,3 +149,20 @@ def test_pipeline_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet").filter("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, TINY).collect() == []
+
+
+def test_copies_and_inline_elements_keep_article_text(spark):
+    said = ["first words", "first words", "second words", "third words"]
+    pages = {"bold": "<article><p><b>{}</b></p></article>", "div": "<article><div>{}</div><div>Share this</div></article>"}
+    pages |= {"list": "<article><ul><li>{}</li></ul></article>", "plain": "<div>{} <i>and more</i></div>"}
+    rows = [(i, f"http://{name}.example/{i}", page.format(t)) for name, page in pages.items() for i, t in enumerate(said)]
+    got = {r.url: r.text for r in ht.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, t in enumerate(said):
+        assert [got[f"http://{name}.example/{i}"] for name in pages] == [t, t, t, f"{t} and more"]
+
+
+def test_list_of_an_article_goes_only_where_it_repeats(spark):
+    page = "<article><p>Story {i}</p><ul><li>{t}</li></ul></article>"
+    rows = [(i, "http://a.example/", page.format(i=i, t="Read more" if i else "Found nowhere else")) for i in range(9)]
+    got = {r.page_id: r.text for r in ht.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "Story 0\nFound nowhere else", **{i: f"Story {i}" for i in range(1, 9)}}
