@@ -9,6 +9,13 @@ to one (the same number of the item always to the same one of the document),
 so a question with other numbers, names or units is caught and a chance
 agreement of templates is not. A document holds an item when the windows of
 consistent alignments cover at least half of the item's.
+
+An item is looked for in three forms, each counted by itself: its template as
+it begins a sentence, its template as it stands within one (after a colon, a
+quote or other words, where a capitalised first word is a name), and its exact
+words without regard to case. The exact form has windows of eight words, or
+all words of a shorter item, whatever they are, so a copy is also found where
+a template has too few words or too few literals.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import WORD_CACHE, mix, runs, strings
 
 WINDOW = 8
-LEAST = 4  # template words of the shortest item that is looked for
+LEAST = 4  # template words of the shortest item whose template is looked for
 COVERAGE = 0.5
 FILTER_BITS = 24  # the bitmap has 2^24 places: two megabytes, whatever the benchmark's size
 SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -45,6 +52,7 @@ NUMBERS = set(
 
 TOKENS = re.compile(r"\d+(?:[.,]\d+)*|\w+|[.!?\n%$€£°]").findall
 LITERAL, MARK, NUMBER, UNIT, CAPITAL, NAME = range(6)
+BEGIN, WITHIN, EXACT = range(3)  # forms of an item
 HOLDERS = np.array([0, 0, 11, 13, 0, 17], np.uint64)
 
 
@@ -67,23 +75,34 @@ class _Kinds(dict):
         return value
 
 
-def templates(texts: list[str], kinds: _Kinds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts in order: the template words, the values behind them (for
-    placeholders), whether each is a literal, and the template words per text.
-
-    A capitalised word that does not begin a sentence is a name; names in a
-    row are one. A unit counts as such beside a number."""
+def coded(texts: list[str], kinds: _Kinds) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes with kinds of the tokens of all texts in order, and tokens per text."""
     flat: list[str] = []
     counts = np.empty(len(texts), np.int64)
     for i, text in enumerate(texts):
         tokens = TOKENS(text)
         counts[i] = len(tokens)
         flat.extend(tokens)
-    code = np.fromiter(map(kinds.__getitem__, flat), np.uint64, len(flat))
+    return np.fromiter(map(kinds.__getitem__, flat), np.uint64, len(flat)), counts
+
+
+def exact_words(code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens but for marks, and how many each text has."""
+    keep = (code & np.uint64(7)) != MARK
+    return code[keep] >> np.uint64(3), np.bincount(np.repeat(np.arange(len(counts)), counts)[keep], minlength=len(counts))
+
+
+def templates(code: np.ndarray, counts: np.ndarray, start: int = MARK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts in order: the template words, the values behind them (for
+    placeholders), whether each is a literal, and the template words per text.
+    ``start`` is the kind of what stands before a text.
+
+    A capitalised word that does not begin a sentence is a name; names in a
+    row are one. A unit counts as such beside a number."""
     kind, value = (code & np.uint64(7)).astype(np.int8), code >> np.uint64(3)
-    doc = np.repeat(np.arange(len(texts)), counts)
+    doc = np.repeat(np.arange(len(counts)), counts)
     same = np.r_[False, doc[1:] == doc[:-1]] if len(doc) else np.empty(0, bool)
-    before = np.where(same, np.r_[MARK, kind[:-1]] if len(kind) else kind, MARK)
+    before = np.where(same, np.r_[MARK, kind[:-1]] if len(kind) else kind, start)
     after = np.where(np.r_[same[1:], False], np.r_[kind[1:], MARK], MARK) if len(kind) else kind
     kind = np.where((kind == CAPITAL) & (before != MARK), NAME, kind)
     kind = np.where((kind == UNIT) & (before != NUMBER) & (after != NUMBER), LITERAL, kind)
@@ -96,21 +115,23 @@ def templates(texts: list[str], kinds: _Kinds) -> tuple[np.ndarray, np.ndarray,
         np.add.at(value, np.flatnonzero(keep)[heads[run]], value[run] * SEED)
     literal = kind[keep] == LITERAL
     words = np.where(literal, value[keep], HOLDERS[kind[keep]])
-    return words, value[keep], literal, np.bincount(doc[keep], minlength=len(texts))
+    return words, value[keep], literal, np.bincount(doc[keep], minlength=len(counts))
 
 
-def windows(words: np.ndarray, literal: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the windows of ``size`` template words, half of them literals at
-    least, and where they start."""
+def windows(words: np.ndarray, counts: np.ndarray, size: int, literal: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the windows of ``size`` words, and where they start. Given
+    ``literal``, of the windows that have half literals at least."""
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    key = np.full(n, size, np.uint64)
+    key = np.full(n, size if literal is not None else -size, np.int64).view(np.uint64)
     for j in range(size):
         key = key * SEED + words[j : j + n]
-    plain = np.r_[0, np.cumsum(literal)]
     left = np.repeat(np.cumsum(counts), counts)[:n] - np.arange(n)
-    ok = (left >= size) & (2 * (plain[size:] - plain[:-size]) >= size)
+    ok = left >= size
+    if literal is not None:
+        plain = np.r_[0, np.cumsum(literal)]
+        ok &= 2 * (plain[size:] - plain[:-size]) >= size
     return mix(key[ok]), np.flatnonzero(ok)
 
 
@@ -119,7 +140,7 @@ def _slots(values: np.ndarray, literal: np.ndarray, start: int, size: int) -> li
     return values[cut][~literal[cut]].astype(np.int64).tolist()
 
 
-ITEMS = "item_id long, windows int, size int, at int, key long, slots array<long>"
+ITEMS = "item_id long, form int, windows int, size int, at int, key long, slots array<long>"
 HITS = "doc_id long, text_hash long, at int, key long, slots array<long>"
 
 
@@ -133,16 +154,25 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for run in runs(batches, "text"):
         rows = []
         for item, text in zip(run.column("item_id").to_pylist(), strings(run.column("text"))):
-            words, values, literal, counts = templates([text], kinds)
+            code, tokens = coded([text.lstrip(" \t\r\n.!?")], kinds)
+            found = []
+            for form, start in (BEGIN, MARK), (WITHIN, LITERAL):
+                if form == WITHIN and not (len(code) and code[0] & np.uint64(7) == CAPITAL):
+                    continue  # as at the beginning of a sentence
+                words, values, literal, counts = templates(code, tokens, start)
+                size = min(WINDOW, len(words))
+                if size >= LEAST:
+                    found.append((form, size, values, literal, *windows(words, counts, size, literal)))
+            words, counts = exact_words(code, tokens)
             size = min(WINDOW, len(words))
-            if size < LEAST:
-                continue
-            keys, at = windows(words, literal, counts, size)
-            for key, a in zip(keys.view(np.int64).tolist(), at.tolist()):
-                rows.append((item, len(keys), size, a, key, _slots(values, literal, a, size)))
+            if size:
+                found.append((EXACT, size, words, np.ones(len(words), bool), *windows(words, counts, size)))
+            for form, size, values, literal, keys, at in found:
+                for key, a in zip(keys.view(np.int64).tolist(), at.tolist()):
+                    rows.append((item, form, len(keys), size, a, key, _slots(values, literal, a, size)))
         yield _table(
-            rows, ["item_id", "windows", "size", "at", "key", "slots"],
-            [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())],
+            rows, ["item_id", "form", "windows", "size", "at", "key", "slots"],
+            [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())],
         )
 
 
@@ -150,35 +180,45 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     """Pairs of a document and a benchmark item it holds: ``doc_id``,
     ``text_hash`` (xxhash64 of the text, which tells rows apart that share an
     id or have none), ``item_id``, ``matched`` and ``windows`` (of the item),
-    ``coverage`` and ``slots`` (placeholders compared).
+    ``coverage`` and ``slots`` (placeholders compared), in the form of the item
+    that is covered best (of equal ones, templates first).
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other
-    columns are not used. Null and empty texts hold nothing; items of fewer
-    than four template words are not looked for. Items that repeat are found
-    each; rows that repeat are one document."""
+    columns are not used. Null and empty texts hold nothing; items without
+    words are not looked for. An item of a single word is held by every text
+    that has the word. Items that repeat are found each; rows that repeat are
+    one document."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     items = items.mapInArrow(_item_windows, ITEMS)
     place = F.shiftrightunsigned("key", 64 - FILTER_BITS)
     bitmap = np.zeros(1 << FILTER_BITS, bool)
     sizes = set()
-    for row in items.select(place.alias("place"), "size").distinct().toLocalIterator():
-        bitmap[row.place] = True
-        sizes.add(row.size if isinstance(row.size, int) else row["size"])
+    exact = (F.col("form") == EXACT).alias("exact")
+    for row in items.select(place.alias("place"), exact, "size").distinct().toLocalIterator():
+        bitmap[row["place"]] = True
+        sizes.add((row["exact"], row["size"]))
     shared = spark.sparkContext.broadcast((np.packbits(bitmap), sorted(sizes)))
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, lengths = shared.value
         held, kinds = np.unpackbits(packed).astype(bool), _Kinds()
         for run in runs(batches, "text"):
-            words, values, literal, counts = templates(strings(run.column("text")), kinds)
+            code, tokens = coded(strings(run.column("text")), kinds)
+            words, values, literal, counts = templates(code, tokens)
             first = np.cumsum(counts) - counts
+            plain, per = exact_words(code, tokens)
+            ends = np.cumsum(per)
             ids, hashes = run.column("doc_id").to_pylist(), run.column("text_hash").to_pylist()
             rows = []
-            for size in lengths:
-                keys, at = windows(words, literal, counts, size)
+            for whole, size in lengths:
+                keys, at = windows(plain, per, size) if whole else windows(words, counts, size, literal)
                 hit = held[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
                 keys, at = keys[hit].view(np.int64), at[hit]
+                if whole:  # without slots one place of a text is as good as another
+                    for d, key in set(zip(np.searchsorted(ends, at, side="right").tolist(), keys.tolist())):
+                        rows.append((ids[d], hashes[d], 0, key, []))
+                    continue
                 doc = np.searchsorted(first, at, side="right") - 1
                 for key, a, d in zip(keys.tolist(), at.tolist(), doc.tolist()):
                     rows.append((ids[d], hashes[d], a - int(first[d]), key, _slots(values, literal, a, size)))
@@ -193,11 +233,11 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     ).mapInArrow(run_all, HITS)
     met = (
         hits.withColumnsRenamed({"at": "doc_at", "slots": "doc_slots"})
-        .join(items.select("item_id", "windows", F.col("at").alias("item_at"), "key", "slots"), "key")
-        .withColumn("shift", F.col("doc_at") - F.col("item_at"))
+        .join(items.select("item_id", "form", "windows", F.col("at").alias("item_at"), "key", "slots"), "key")
+        .withColumn("shift", F.when(F.col("form") == EXACT, 0).otherwise(F.col("doc_at") - F.col("item_at")))
         .distinct()
     )
-    key = ["doc_id", "text_hash", "item_id", "shift"]
+    key = ["doc_id", "text_hash", "item_id", "form", "shift"]
     # One row per alignment; its windows are at most the item's.
     aligned = met.groupBy(*key).agg(
         F.max("windows").alias("windows"), F.collect_set("item_at").alias("at"),
@@ -211,7 +251,7 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     return (
         aligned.withColumn("slots", F.transform("slots", lambda s: F.struct(s["item"].alias("0"), s["doc"].alias("1"))))
         .filter(consistent)
-        .groupBy("doc_id", "text_hash", "item_id")
+        .groupBy("doc_id", "text_hash", "item_id", "form")
         .agg(
             F.max("windows").alias("windows"),
             F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("matched"),
@@ -219,7 +259,9 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, coverage: float = C
         )
         .withColumn("coverage", F.col("matched") / F.col("windows"))
         .filter(F.col("coverage") >= coverage)
-        .select("doc_id", "text_hash", "item_id", "matched", "windows", "coverage", "slots")
+        .groupBy("doc_id", "text_hash", "item_id")
+        .agg(F.max(F.struct("coverage", -F.col("form"), "matched", "windows", "slots")).alias("best"))
+        .select("doc_id", "text_hash", "item_id", "best.matched", "best.windows", "best.coverage", "best.slots")
     )
 
 

@@ -70,6 +70,13 @@ def test_reparameterised_questions(spark):
     assert overlap(spark, [], [ITEM])[2] == set() and overlap(spark, texts, [])[2] == set()
 
 
+def test_copies_of_short_and_literal_poor_items(spark):
+    items = ["What is 12 + 30 + 45 - 7?", "Name the planet", "What is the capital of France?", "Anna Berg walks to the old town"]
+    texts = [f"Some pad. {t} And more" for t in items] + ["Question: What is the capital of France?", 'He asked "What is the capital of Peru?" twice']
+    texts += ["She said that Carla Lind walks to the old town", "What is 12 + 30 + 45 - 8?", "What was the planet", "planet the Name"]
+    assert overlap(spark, texts, items)[2] == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 2), (5, 2), (6, 3)}
+
+
 def test_verbatim_items_equal_plain_search(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in dec.benchmark_overlap(docs, bench).collect()}
