@@ -1,8 +1,8 @@
 """Operator 4: personal data by bootstrapped contextual extraction (DataFrame functions only).
 
 Base entities (email, ip, card, phone) are the seeds. Everywhere a word comes
-right before an identifier-shaped token, the word is a lexical pattern and the
-token an instance: a bipartite graph with counts on its edges. Scores go back
+right before a base entity or an identifier-shaped token, the word is a lexical
+pattern and the whole entity or token an instance: a bipartite graph with counts on its edges. Scores go back
 and forth for ``ROUNDS`` rounds: a pattern's confidence is the share of all its
 occurrences in the corpus that stand before confident instances, an instance's
 the noisy-or of the patterns it follows (1 for seeds). Patterns of high
@@ -25,7 +25,8 @@ SUPPORT = 3  # distinct confident instances of such a pattern
 TRUST = 0.95  # of a pattern's confidence that passes on to an instance
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
-SEEN = "array<struct<before:string,token:string,start:bigint,end:bigint>>"
+NAMED = "array<struct<kind:string,start:bigint,end:bigint,before:string,token:string,at:bigint>>"
+SEEN = "array<struct<at:bigint,shaped:boolean,before:string,token:string,start:bigint,end:bigint>>"
 
 # The base kinds in their order, a text's quick look, pattern.
 # \G or the look-behind start a match where a run of its characters starts (or
@@ -38,9 +39,11 @@ BASE = [
     ("phone", "+", r"\+[0-9][\x20().0-9-]+[0-9]"),
 ]
 DIGIT = "[0-9]"
-# A word, then (over a sign, blanks or quotes) a token of 6 to 64 characters with a digit or @.
-BEFORE = r"(?<![\p{L}_])[\p{L}_]++[:=#]?[\x20\t\"'(]{1,3}(?=[^\s]{0,63}[0-9@])\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{5,63}"
 WORD = r"[\p{L}_]+[:=#]?"
+# A word, then (over a sign, blanks or quotes) a token of 6 characters at least with a digit or @.
+LABEL = r"[\p{L}_]++[:=#]?[\x20\t\"'(]{1,3}"
+BEFORE = rf"(?<![\p{{L}}_]){LABEL}(?=[^\s]*[0-9@])\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{{5,}}+"
+LEAD = rf"(?<![\p{{L}}_]){LABEL}\+?\z"  # the end of what stands before a base entity
 
 
 def _digits(match: Column) -> Column:
@@ -59,52 +62,67 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str, item: Callable[[Column, Column], Column], keep: Callable[[Column], Column], kind: str) -> Column:
-    """Array of ``item(match, start)`` over the pattern's matches that pass
-    ``keep``, in order. Starts are running sums over the pieces between matches."""
+def _matches(text: Column, pattern: str, item: Callable[[Column, Column, Column], Column], keep: Callable[[Column], Column], kind: str) -> Column:
+    """Array of ``item(match, start, lead)`` over the pattern's matches that pass
+    ``keep``, in order; the lead is the match before, or the text's start, and
+    all between. Starts are running sums over the pieces between matches."""
     found = F.zip_with(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
-        lambda m, gap: F.struct(m.alias("m"), F.length(gap).cast("long").alias("gap")),
+        lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")),
     )
     none = F.expr(f"cast(array() as {kind})")
     walked = F.aggregate(
         F.filter(found, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
+        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("last"), none.alias("out")),
         lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.when(keep(x["m"]), F.concat(acc["out"], F.array(item(x["m"], acc["at"] + x["gap"])).cast(kind))).otherwise(acc["out"]).alias("out"),
+            (acc["at"] + F.length(x["gap"]) + F.length(x["m"])).cast("long").alias("at"), x["m"].alias("last"),
+            F.when(
+                keep(x["m"]),
+                F.concat(acc["out"], F.array(item(x["m"], acc["at"] + F.length(x["gap"]), F.concat(acc["last"], x["gap"]))).cast(kind)),
+            ).otherwise(acc["out"]).alias("out"),
         ),
     )
     return walked["out"]
 
 
 def base_spans(text: Column) -> Column:
-    """Base entities of a text that is not null: by kind as listed, then start."""
+    """Base entities of a text that is not null, by kind as listed, then start:
+    kind, start, end, the word ``before`` (empty if none), the entity as
+    ``token``, and ``at`` where the word's label ends."""
+
+    def item(kind: str) -> Callable[[Column, Column, Column], Column]:
+        def named(m: Column, start: Column, lead: Column) -> Column:
+            label = F.regexp_extract(lead, LEAD, 0)
+            before = F.lower(F.regexp_extract(label, "^" + WORD, 0))
+            at = start - F.endswith(label, F.lit("+")).cast("int")
+            return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), before.alias("before"), m.alias("token"), at.alias("at"))
+
+        return named
+
     parts = []
     for kind, sign, pattern in BASE:
         quick = F.contains(text, F.lit(sign)) if sign else text.rlike(DIGIT)
-        spans = _matches(
-            text, pattern,
-            lambda m, at, kind=kind: F.struct(F.lit(kind).alias("kind"), at.alias("start"), (at + F.length(m)).alias("end")),
-            lambda m, kind=kind: _valid(kind, m), SPANS,
-        )
-        parts.append(F.when(quick, spans).otherwise(F.expr(f"cast(array() as {SPANS})")))
+        spans = _matches(text, pattern, item(kind), lambda m, kind=kind: _valid(kind, m), NAMED)
+        parts.append(F.when(quick, spans).otherwise(F.expr(f"cast(array() as {NAMED})")))
     return F.concat(*parts)
 
 
 def shaped_tokens(text: Column) -> Column:
     """Identifier-shaped tokens (four digits at least, or an @) and the word before each."""
 
-    def token(m: Column) -> Column:
-        return F.regexp_replace(F.regexp_extract(m, r"(\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{5,63})$", 1), "[._%+/-]+$", "")
-
     def raw(m: Column) -> Column:
-        return F.regexp_extract(m, r"(\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{5,63})$", 1)
+        return F.regexp_replace(m, "^" + LABEL, "")
 
-    def item(m: Column, at: Column) -> Column:
+    def token(m: Column) -> Column:
+        return F.regexp_replace(raw(m), r"(?<![._%+/-])[._%+/-]++\z", "")
+
+    def item(m: Column, at: Column, _: Column) -> Column:
         start = at + F.length(m) - F.length(raw(m))
         before = F.lower(F.regexp_extract(m, "^" + WORD, 0))
-        return F.struct(before.alias("before"), token(m).alias("token"), start.alias("start"), (start + F.length(token(m))).alias("end"))
+        return F.struct(
+            start.alias("at"), F.lit(True).alias("shaped"), before.alias("before"), token(m).alias("token"),
+            start.alias("start"), (start + F.length(token(m))).alias("end"),
+        )
 
     def keep(m: Column) -> Column:
         return F.contains(token(m), F.lit("@")) | (F.length(_digits(token(m))) >= 4)
@@ -158,14 +176,27 @@ def personal_data(docs: DataFrame) -> DataFrame:
     read = stored(
         given.select(
             "doc_id", F.xxhash64("text").alias("text_hash"),
-            base_spans(F.col("text")).alias("base"), shaped_tokens(F.col("text")).alias("seen"),
-        ),
+            base_spans(F.col("text")).alias("base"), shaped_tokens(F.col("text")).alias("shaped"),
+        )
+        .withColumn(
+            "seen",
+            F.array_sort(F.concat(
+                F.transform(
+                    F.filter("base", lambda b: b["before"] != ""),
+                    lambda b: F.struct(b["at"].alias("at"), F.lit(False).alias("shaped"), b["before"].alias("before"), b["token"].alias("token"), b["start"].alias("start"), b["end"].alias("end")),
+                ).cast(SEEN),
+                F.col("shaped"),
+            )),
+        )
+        .withColumn("base", F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end"))).cast(SPANS))
+        .drop("shaped"),
         "pii_spans",
     )
-    inside = F.exists("base", lambda b: (b["start"] <= F.col("s.start")) & (b["end"] >= F.col("s.end")))
+    # A label has one instance: the first base entity that starts there, or else the token.
+    single = F.filter("seen", lambda x, i: (i == 0) | (F.get(F.col("seen"), i - 1)["at"] != x["at"]))
     meets = F.exists("base", lambda b: (b["start"] < F.col("s.end")) & (b["end"] > F.col("s.start")))
-    seen = read.select("doc_id", "text_hash", "base", F.explode("seen").alias("s")).select(
-        "doc_id", "text_hash", "s.before", "s.token", "s.start", "s.end", inside.alias("seed"), meets.alias("met")
+    seen = read.select("doc_id", "text_hash", "base", F.explode(single).alias("s")).select(
+        "doc_id", "text_hash", "s.before", "s.token", "s.start", "s.end", (~F.col("s.shaped")).alias("seed"), meets.alias("met")
     )
     seen = stored(seen, "pii_seen")
     words = given.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("before"))

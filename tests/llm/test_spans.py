@@ -77,6 +77,14 @@ def test_patterns_reveal_unseen_identifiers(spark):
     assert pii.personal_digests(docs.filter("false")).collect() == []
 
 
+def test_entities_with_blanks_are_seeds(spark):
+    said = [f"call now. Tel: +1 (017) 555-77{i:02} or so" for i in range(8)] + [f"Konto 4111 1111 1111 1111, {i}" for i in range(2)]
+    said += ["Tel: 0301234567 follows", "x Tel: " + "AB-" * 40 + "99120034 end", "Konto 12345678", "see 0301234568"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    got = {r.doc_id: [said[r.doc_id][s.start : s.end] for s in r.context] for r in pii.personal_data(docs).collect()}
+    assert {k: v for k, v in got.items() if v} == {10: ["0301234567"], 11: ["AB-" * 40 + "99120034"]}
+
+
 def test_base_secrets(spark):
     all_ = texts(["token", "Secret", "api_key", "=", ":", " ", '"', "'", "ab", "0", "f", "AKIA", "Z", "9", "é", "\n", "abcdef0123456789", ".", "K", "ghp_" + "a" * 40, ","], 1500, 2)
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(all_)], "doc_id long, text string, secrets int")
