@@ -109,7 +109,8 @@ def _vectors(col: pa.Array, wide: int) -> np.ndarray:
 
 
 def _nearest(members: pa.Table, queries: pa.Table, wide: int, top: int) -> pa.Table:
-    """The ``top`` nearest rows of each query of a group, among its leaves' rows."""
+    """The ``top`` nearest ids of each query of a group, among its leaves' rows;
+    an id counts at its smallest distance."""
     out_q, out_v, out_s = [], [], []
     if members.num_rows and queries.num_rows:
         ids, leaf = members["vec_id"].to_numpy(), members["leaf"].to_numpy()
@@ -125,11 +126,16 @@ def _nearest(members: pa.Table, queries: pa.Table, wide: int, top: int) -> pa.Ta
             step = max(1, CELLS_AT_ONCE // wide)
             for s in range(0, len(at), step):
                 score[s : s + step] = np.sqrt(((x[at[s : s + step]] - q[row]) ** 2).sum(1))
-            best = np.lexsort((ids[at], score))[:top] if len(at) <= 4 * top else None
-            if best is None:
-                edge = np.partition(score, top - 1)[top - 1]
-                close = np.flatnonzero(score <= edge)
-                best = close[np.lexsort((ids[at[close]], score[close]))[:top]]
+            reach = top
+            while True:  # the nearest rows, more of them until they have ``top`` ids
+                close = np.arange(len(at))
+                if len(at) > 4 * reach:
+                    close = np.flatnonzero(score <= np.partition(score, reach - 1)[reach - 1])
+                best = close[np.lexsort((ids[at[close]], score[close]))]
+                best = best[np.sort(np.unique(ids[at[best]], return_index=True)[1])[:top]]
+                if len(best) == top or len(close) == len(at):
+                    break
+                reach *= 4
             out_q.append(np.full(len(best), qid[row]))
             out_v.append(ids[at[best]])
             out_s.append(score[best])
@@ -155,7 +161,8 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, top: int = TOP, sha
     Vectors of another length than the most frequent one take no part, nor do
     those ``usable`` leaves out. Of rows with the same vector only the
     ``top`` + 1 smallest ids can be listed, so the others are left out before
-    the search; an id that repeats is listed once, at its smallest distance.
+    the search; an id that repeats is listed once, at its smallest distance,
+    and rows that repeat (id and vector) are one.
     Ties go to the smaller id. Fewer rows than ``top``: all are listed, as far
     as the leaves searched hold them."""
     spark = vectors.sparkSession
@@ -165,7 +172,7 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, top: int = TOP, sha
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     wide, total = sizes[0].wide, sizes[0].n
     rows = rows.filter(F.size("vector") == wide)
-    sample = rows.filter(unit_hash("vec_id", F.lit(SEED)) < SAMPLE_ROWS / total).select("vector").toArrow()
+    sample = rows.filter(unit_hash("vec_id", F.lit(SEED)) < SAMPLE_ROWS / total).distinct().select("vector").toArrow()
     x = _vectors(sample["vector"].combine_chunks(), wide) if sample.num_rows else np.zeros((1, wide))
     x = x[np.lexsort(x.T[::-1])]  # one order, whatever the partitions
     forest = [grow(x, LEAF_ROWS, SEED + t) for t in range(TREES)]
@@ -205,7 +212,7 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, top: int = TOP, sha
             )
 
     same = Window.partitionBy("vector").orderBy("vec_id")
-    single = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= top + 1).drop("nth")
+    single = rows.distinct().withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= top + 1).drop("nth")
     members = (
         single.mapInArrow(leaves, "vec_id long, vector array<double>, leaves array<int>")
         .select("vec_id", "vector", F.posexplode("leaves").alias("tree", "leaf"))
@@ -215,6 +222,7 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, top: int = TOP, sha
     )
     asked = (
         rows.filter(F.col("vec_id") % every == 0)
+        .distinct()
         .mapInArrow(visits, "query_id long, vector array<double>, tree int, group int, leaves array<int>")
         .withColumn("sheet", F.pmod(F.xxhash64("query_id"), F.lit(sheets)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

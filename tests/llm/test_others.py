@@ -49,6 +49,17 @@ def test_neighbours_odd_vectors(spark):
     assert nearest_neighbours(docs.filter("false")).collect() == []
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 31)] * 2 + [(100, [0.0, 1.0])] * 2  # every row twice
+    rows += [(5000, [-50.0, 1.0])] * 12 + [(i, [-50.0, 1.0]) for i in range(5001, 5012)] + [(6000, [-50.0, 1.0])]  # one id, many rows
+    rows += [(7001, [500.0 + i, 0.0]) for i in range(50)] + [(7000, [500.0, 1.0])] + [(i, [600.0 + i - 7010, 0.0]) for i in range(7010, 7020)]  # one id, many vectors
+    got = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), share=1.0).orderBy("query_id", "rank").collect()
+    of = lambda q: [r.vec_id for r in got if r.query_id == q]
+    assert of(100) == list(range(1, 11))
+    assert of(6000) == list(range(5000, 5010))
+    assert of(7000) == [7001, *range(7010, 7019)]
+
+
 ITEM = "Anna Berg buys 12 apples and 5 pears for 30 dollars, then sells 7 apples. How many apples are left over for the winter?"
 
 
