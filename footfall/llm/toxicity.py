@@ -1,8 +1,8 @@
 """Operator 2: toxicity from subword-bag embeddings under a linear softmax.
 
 A word is the bag of its character n-grams (3 to 6, with word boundaries)
-and itself; each has an embedding, hashed into a fixed table. A window of 8
-words averages the embeddings of its words and a linear softmax turns that
+and itself; each has an embedding, hashed into a fixed table. Every window of
+8 words in a row averages the embeddings of its words and a linear softmax turns that
 average into the probability of label 1. Embeddings and softmax are trained
 jointly in numpy on a bounded sample of labelled rows. A document scores as
 its most toxic window, so a few words count alike in short and long texts,
@@ -86,12 +86,14 @@ class Model:
         return float(self.bias[1] - self.bias[0])
 
 
-def _windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word of every window, and windows per text (at least one unless it has no word)."""
-    per = -(-counts // WINDOW)
+def _windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word of every window and the word after its last, and windows per
+    text. A window begins at every word that ``WINDOW`` words follow, itself
+    included; a shorter text is one window, a text without words has none."""
+    per = np.where(counts > 0, np.maximum(counts - WINDOW + 1, 1), 0)
     first = np.cumsum(counts) - counts
-    at = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
-    return np.repeat(first, per) + at * WINDOW, per
+    start = np.repeat(first, per) + np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
+    return start, start + np.repeat(np.minimum(counts, WINDOW), per), per
 
 
 def train(texts: list[str], labels: np.ndarray) -> Model:
@@ -144,9 +146,8 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     owner = np.concatenate(owner_known)
     scale = (1.0 / np.concatenate(sizes))[owner].astype(np.float32)
     model.bias[0] = 2.0
-    start, per = _windows(counts)
+    start, end, per = _windows(counts)
     window_doc = np.repeat(np.arange(len(use)), per)
-    word_window = np.repeat(np.arange(len(start)), np.diff([*start, len(ids)]))
     doc_start = np.cumsum(per) - per
     cost = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())).astype(np.float32)
     table = model.table[used]
@@ -155,14 +156,18 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     for epoch in range(1, EPOCHS + 1):
         tilt = model.weight[1] - model.weight[0]
         score = np.bincount(owner, (table @ tilt)[slot] * scale, len(vocab))
-        z = np.bincount(word_window, score[ids], len(start)) / WINDOW + (model.bias[1] - model.bias[0])
+        run = np.r_[0.0, np.cumsum(score[ids])]
+        z = (run[end] - run[start]) / WINDOW + (model.bias[1] - model.bias[0])
         # Share of each window in its document's score: even at first, then the top ones.
         heat = 12.0 * max(0.0, epoch / EPOCHS - 0.2)
         share = np.exp(np.minimum(heat * (z - np.maximum.reduceat(z, doc_start)[window_doc]), 0))
         share /= np.add.reduceat(share, doc_start)[window_doc]
         p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(share * z, doc_start), -30, 30)))
         g_window = ((p - y) * cost)[window_doc] * share
-        g_word = np.bincount(ids, g_window[word_window], len(vocab)) / WINDOW
+        step = np.zeros(len(ids) + 1)  # every window starts and ends at words of its own
+        step[start] += g_window
+        step[end] -= g_window
+        g_word = np.bincount(ids, np.cumsum(step[:-1]), len(vocab)) / WINDOW
         g_row = np.bincount(slot, g_word[owner] * scale, len(used))
         g_tilt = g_row @ table
         grads = [
@@ -198,11 +203,14 @@ class Scorer:
         if new:
             self.known.update(zip(new, self.model.words(new).tolist()))
         z = np.full(len(docs), self.model.offset)
-        start, per = _windows(counts)
+        start, end, per = _windows(counts)
         if len(start):
-            each = np.fromiter(map(self.known.__getitem__, flat), np.float64, len(flat))
+            each = np.r_[np.fromiter(map(self.known.__getitem__, flat), np.float64, len(flat)), np.zeros(WINDOW)]
             full = np.flatnonzero(per)
-            z[full] += np.maximum.reduceat(np.add.reduceat(each, start), (np.cumsum(per) - per)[full]) / WINDOW
+            sums = np.zeros(len(start))
+            for j in range(WINDOW):  # word by word, so a sum does not depend on other texts
+                sums += np.where(start + j < end, each[start + j], 0.0)
+            z[full] += np.maximum.reduceat(sums, (np.cumsum(per) - per)[full]) / WINDOW
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 

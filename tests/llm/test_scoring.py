@@ -28,6 +28,15 @@ def test_toxicity_learns_words_and_their_misspellings():
     assert unseen > 2 * clean
 
 
+def test_toxicity_does_not_depend_on_where_a_window_would_start():
+    texts = ["gruffwit snarlhead"] * 8 + ["anlor comin duver betas"] * 8
+    score = tox.Scorer(tox.train(texts, np.array([1] * 8 + [0] * 8)))
+    pair = score([" ".join(["anlor"] * n + ["gruffwit", "snarlhead"] + ["anlor"] * (20 - n)) for n in range(21)])
+    assert np.ptp(pair) < 1e-9 and score(["anlor " * 22])[0] < pair[0]
+    long = " ".join(["gruffwit"] * 3 + ["anlor"] * 50)
+    assert score([long])[0] == score(["snarlhead anlor", "", long, "a b"])[2]
+
+
 def test_toxicity_query(spark):
     got = QUERIES["op2_toxicity"](spark, SF).toPandas()
     toxic = pq.read_table(f"{SF}/labels.parquet").to_pandas()[["doc_id", "toxic"]]
