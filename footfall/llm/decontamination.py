@@ -191,18 +191,23 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     items = items.mapInArrow(_item_windows, ITEMS)
+    # The bitmap is made on Spark, one row for 64 places that hold a key: what comes here is bounded.
     place = F.shiftrightunsigned("key", 64 - FILTER_BITS)
-    bitmap = np.zeros(1 << FILTER_BITS, bool)
-    sizes = set()
-    exact = (F.col("form") == EXACT).alias("exact")
-    for row in items.select(place.alias("place"), exact, "size").distinct().toLocalIterator():
-        bitmap[row["place"]] = True
-        sizes.add((row["exact"], row["size"]))
-    shared = spark.sparkContext.broadcast((np.packbits(bitmap), sorted(sizes)))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    held_places = (
+        items.select(place.alias("place"), (F.col("form") == EXACT).alias("exact"), "size")
+        .groupBy(F.expr("place div 64").alias("word"))
+        .agg(F.bit_or(bit).alias("bits"), F.collect_set(F.struct("exact", "size")).alias("sizes"))
+    )
+    bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    filled = held_places.select("word", "bits", F.transform("sizes", lambda z: z["size"] * 2 + z["exact"].cast("int")).alias("sizes")).toArrow()
+    bitmap[filled["word"].to_numpy()] = filled["bits"].to_numpy()
+    sizes = [(bool(z % 2), z // 2) for z in sorted(filled["sizes"].combine_chunks().flatten().unique().to_pylist())]
+    shared = spark.sparkContext.broadcast((bitmap, sizes))
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, lengths = shared.value
-        held, kinds = np.unpackbits(packed).astype(bool), _Kinds()
+        held, kinds = np.unpackbits(packed.astype("<i8").view(np.uint8), bitorder="little").astype(bool), _Kinds()
         for run in runs(batches, "text"):
             code, tokens = coded(strings(run.column("text")), kinds)
             words, values, literal, counts = templates(code, tokens)

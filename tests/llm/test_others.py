@@ -88,6 +88,14 @@ def test_copies_of_short_and_literal_poor_items(spark):
     assert overlap(spark, texts, items)[2] == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 2), (5, 2), (6, 3)}
 
 
+def test_benchmark_bitmap_is_not_pulled_row_by_row(spark, monkeypatch):
+    def refused(self, *a, **b):
+        raise AssertionError("driver loop over rows")
+
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", refused)
+    assert overlap(spark, [f"pad {ITEM} end", "else"], [ITEM, "no match here"])[2] == {(0, 0)}
+
+
 def test_verbatim_items_equal_plain_search(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in dec.benchmark_overlap(docs, bench).collect()}
