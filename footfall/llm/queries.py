@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from footfall.llm.centroids import clustered, clustered_sql
 from footfall.llm.decontamination import benchmark_overlap
 from footfall.llm.html_text import page_texts
 from footfall.llm.language import languages
@@ -15,6 +16,8 @@ from footfall.llm.mixing import mixture, mixture_sql
 from footfall.llm.near_copies import near_copies
 from footfall.llm.neighbours import nearest_neighbours
 from footfall.llm.personal_data import personal_digests
+from footfall.llm.phrases import phrase_fingerprints
+from footfall.llm.prefix_trie import conversation_trie, conversation_trie_sql
 from footfall.llm.secrets import secret_digests
 from footfall.llm.toxicity import toxicity_scores
 from footfall.sources.tables import read_table
@@ -71,14 +74,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(read_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector."""
+    return clustered(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lempel-Ziv fingerprints of every document and of its edited text."""
+    return phrase_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_toxicity, op3_nearest_neighbours, op4_personal_data, op5_decontamination,
         op6_language, op7_secrets, op8_licenses, op9_html_text, op10_mixing,
+        op11_centroids, op12_phrase_fingerprints, op13_prefix_trie,
     )
 }
 
 #: DuckDB SQL where SQL can express the operator; the others are held against
 #: brute force, or held-out labels, in tests/llm.
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixture_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op10_mixing": mixture_sql(), "op11_centroids": clustered_sql(), "op13_prefix_trie": conversation_trie_sql(),
+}
