@@ -21,7 +21,8 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import mix, runs, stored, strings
@@ -29,13 +30,10 @@ from footfall.llm.common import mix, runs, stored, strings
 BINS = 128  # a power of two
 PHRASES = 1 << 20  # in a dictionary
 PIECE = 1 << 20  # code points hashed at a time
-COPIES = 1 << 16  # of a repeated row written out at a time
 NONE = 0xFFFF  # of a bin without phrases
 BASE = 0x9E3779B97F4A7C15  # odd; of the polynomial hash modulo 2^64
 SHIFT = 21  # bits of a code point
 
-Parse = tuple[np.ndarray, list[int]]  # a text's code points and where its phrases end
-
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
@@ -62,36 +60,6 @@ def _read(codes: np.ndarray, trie: dict[int, int], node: int, ends: list[int], a
     return node, anew
 
 
-def parse(text: str) -> Parse:
-    """Code points of a text and where its phrases end; an unfinished last phrase is one seen before."""
-    codes, ends = _codes(text), []
-    _read(codes, {}, 0, ends, 0)
-    return codes, ends
-
-
-def parse_edited(text: str, heads: list[str]) -> list[Parse]:
-    """The parse of a text, then of the text with its last quarter replaced by
-    (the beginning of) each of ``heads``."""
-    codes = _codes(text)
-    cut = len(codes) - len(codes) // 4
-    trie: dict[int, int] = {}
-    begun: list[int] = []
-    node, _ = _read(codes[:cut], trie, 0, begun, 0)
-    known, lost, out = len(trie), False, []
-    for tail in [codes[cut:], *(_codes(head[: len(codes) - cut]) for head in heads)]:
-        whole = np.concatenate([codes[:cut], tail])
-        if lost:  # the dictionary of the beginning, within an earlier tail
-            ends: list[int] = []
-            _read(whole, {}, 0, ends, 0)
-        else:
-            ends = list(begun)
-            _, lost = _read(tail, trie, node, ends, cut)
-            for key in [] if lost else list(islice(trie, known, None)):
-                del trie[key]
-        out.append((whole, ends))
-    return out
-
-
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -133,11 +101,6 @@ def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str) -> np.ndarray:
-    """Signature of a text's phrase set."""
-    return signature(phrase_hashes(*parse(text)))
-
-
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of equal bins among those filled in either signature, row by row
     (1 where both are empty)."""
@@ -146,72 +109,90 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(filled == 0, 1.0, equal / np.maximum(filled, 1))
 
 
-MADE = "id string, doc_id long, text_hash long, next_id string, next_hash long, copies long, n_chars long, edited_sha256 string, mark binary, edited_mark binary, near_edited double"
+class Document:
+    """A text's signature, and the dictionary of its beginning for its edited texts."""
 
+    def __init__(self, text: str) -> None:
+        self.text, self.codes = text, _codes(text)
+        self.cut = len(self.codes) - len(self.codes) // 4
+        self.trie: dict[int, int] = {}
+        self.begun: list[int] = []
+        self.node, _ = _read(self.codes[: self.cut], self.trie, 0, self.begun, 0)
+        self.known, self.lost = len(self.trie), False
+        self.mark = signature(phrase_hashes(self.codes, self._ends(self.codes[self.cut :])))
 
-def _made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints of a text and of its edited text: one row per text, and
-    another for its copies but the last, which are followed by their like."""
+    def _ends(self, tail: np.ndarray) -> list[int]:
+        """Where the phrases of the beginning with another ending end."""
+        if self.lost:  # the dictionary of the beginning, within an earlier ending
+            ends: list[int] = []
+            node, _ = _read(self.codes[: self.cut], trie := {}, 0, ends, 0)
+            _read(tail, trie, node, ends, self.cut)
+            return ends
+        ends = list(self.begun)
+        _, self.lost = _read(tail, self.trie, self.node, ends, self.cut)
+        for key in [] if self.lost else list(islice(self.trie, self.known, None)):
+            del self.trie[key]
+        return ends
+
+    def edited(self, follower: str) -> tuple[str, np.ndarray]:
+        """The text with its last quarter replaced by the beginning of another one, and its signature."""
+        head = follower[: len(self.codes) - self.cut]
+        tail = _codes(head)
+        return self.text[: self.cut] + head, signature(phrase_hashes(np.concatenate([self.codes[: self.cut], tail]), self._ends(tail)))
+
+
+ROW, FIRST, LAST = 0, 1, 2  # kinds of a task's rows: a document and its next; its first and its last document
+FOUND = pa.schema([
+    ("kind", pa.int32()), ("part", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
+    ("mark", pa.binary()), ("edited_mark", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string()),
+])
+FOUND_SQL = (
+    "kind int, part int, doc_id long, n_chars long, edited_sha256 string, mark binary, edited_mark binary, "
+    "near_edited double, near_next double, text string"
+)
+
+
+def _row(doc_id: int | None, doc: Document, then: Document) -> tuple:
+    new, mark = doc.edited(then.text)
+    return (
+        ROW, None, doc_id, len(doc.codes), hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(),
+        doc.mark.tobytes(), mark.tobytes(), float(likeness(doc.mark, mark)), float(likeness(doc.mark, then.mark)), None,
+    )
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), FOUND)], schema=FOUND)
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every document of a task with the next one, from rows in order; the
+    first document for the task before, the last for the one after."""
+    part = TaskContext.get().partitionId()
+    doc, doc_id, before = None, None, None
     for batch in runs(batches, "text"):
         out = []
-        texts, heads = strings(batch.column("text")), strings(batch.column("head"))
-        rest = batch.drop_columns(["text", "head"]).to_pylist()
-        for text, head, row in zip(texts, heads, rest):
-            followers = [(head, row["next_id"], row["next_hash"], 1)]
-            if row["n"] > 1:
-                followers.append((text, row["id"], row["text_hash"], row["n"] - 1))
-            k = len(text) // 4
-            own, *edited = (signature(phrase_hashes(*p)) for p in parse_edited(text, [f[0] for f in followers]))
-            for mark, (follower, next_id, next_hash, copies) in zip(edited, followers):
-                new = text[: len(text) - k] + follower[:k]
-                out.append((
-                    row["id"], row["doc_id"], row["text_hash"], next_id, next_hash, copies, len(text),
-                    hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(), own.tobytes(), mark.tobytes(), float(likeness(own, mark)),
-                ))
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64()]
-        names = [part.split()[0] for part in MADE.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-
-
-def _near_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text"))):
+            same = doc is not None and doc.text == text
+            then = doc if same else Document(text)
+            if doc is None:
+                out.append((FIRST, part, *[None] * (len(FOUND) - 3), text))
+            elif same and before is not None and before[1]:  # one of many copies
+                out.append((*before[0][:2], doc_id, *before[0][3:]))
+            else:
+                before = (_row(doc_id, doc, then), same)
+                out.append(before[0])
+            if not same:
+                before = None
+            doc, doc_id = then, at
+        yield _batch(out)
+    if doc is not None:
+        yield _batch([(LAST, part, doc_id, *[None] * (len(FOUND) - 4), doc.text)])
+
+
+def _at_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        marks = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("mark", "next_mark")]
-        hexed = [pa.array([m.hex() for m in batch.column(c).to_pylist()]) for c in ("mark", "edited_mark")]
-        kept = [batch.column(c) for c in ("doc_id", "n_chars", "edited_sha256")]
-        tail = [batch.column("near_edited"), pa.array(likeness(*marks)), batch.column("copies")]
-        yield pa.RecordBatch.from_arrays([*kept, *hexed, *tail], names=RESULT.replace(",", "").split()[::2])
-
-
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, copies long"
-
-
-def _followed(rows: DataFrame) -> DataFrame:
-    """Distinct documents (``id``, ``text_hash``) with their copies ``n``, the one
-    that follows (after the last: the first) and ``need``, what the one before
-    takes of this one's beginning. Only ids and lengths are moved."""
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
-    keys = rows.groupBy("id", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("n_chars"))
-    ranged = stored(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "phrase_order")
-    by = Window.partitionBy("part").orderBy(*order)
-    names = ["id", "text_hash", "n_chars"]
-    near = ranged.withColumn("next", F.lead(F.struct(*names)).over(by)).withColumn("prev", F.lag(F.struct(*names)).over(by))
-    place = F.struct(F.col("doc_id").isNotNull().alias("given"), "doc_id", "text_hash")
-    sides = ranged.groupBy("part").agg(F.min_by(F.struct(*names), place).alias("first"), F.max_by(F.struct(*names), place).alias("last"))
-    ends = sides.orderBy("part").collect()  # one row a partition
-    around = [(e.part, ends[(i + 1) % len(ends)].first, ends[i - 1].last) for i, e in enumerate(ends)]
-    kind = f"struct<{', '.join(f'{f.name}:{f.dataType.simpleString()}' for f in ranged.select(*names).schema)}>"
-    about = rows.sparkSession.createDataFrame(around, f"part int, after {kind}, before {kind}")
-    near = near.join(F.broadcast(about), "part")  # one row a partition
-    after, before = F.coalesce("next", "after"), F.coalesce("prev", "before")
-    return stored(
-        near.select(
-            "id", "doc_id", "text_hash", "n", after["id"].alias("next_id"), after["text_hash"].alias("next_hash"),
-            before["id"].alias("prev_id"), before["text_hash"].alias("prev_hash"), F.floor(before["n_chars"] / 4).cast("int").alias("need"),
-        ),
-        "phrase_followers",
-    )
+        for doc_id, text, then in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")), strings(batch.column("then"))):
+            yield _batch([_row(doc_id, Document(text), Document(then))])
 
 
 def phrase_fingerprints(docs: DataFrame) -> DataFrame:
@@ -221,27 +202,26 @@ def phrase_fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has the last quarter of the code points replaced by as many
     of the next document, by ascending doc_id (null first), after the last the
-    first. Rows that share an id go by a hash of their texts; a row that repeats
-    n times follows itself n - 1 times. Null texts are empty; an empty text has
-    an empty phrase set, its likeness is 1 to another empty one and else 0.
-    Alone in the table, a document follows itself. An empty table gives an empty
-    result. Other columns are not used."""
+    first. Rows that share an id go by a hash of their texts, so a row that
+    repeats is followed by its like. Null texts are empty; an empty text has an
+    empty phrase set, its likeness is 1 to another empty one and else 0. Alone
+    in the table, a document follows itself. An empty table gives an empty
+    result. Other columns are not used.
+
+    The rows are dealt into ranges of this order, their texts moved once. Copies
+    of one row are told apart by the row's place in its file, so that a large
+    group of them is spread as well."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    keys = _followed(rows)
-    # Texts are moved once, by (id, text_hash); the beginnings, up to a quarter, once more.
-    texts = rows.groupBy("id", "text_hash").agg(F.first("text").alias("text"))
-    held = texts.join(keys, ["id", "text_hash"])
-    heads = held.select(
-        F.col("prev_id").alias("id"), F.col("prev_hash").alias("text_hash"),
-        F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"),
+    rows = rows.withColumn("text_hash", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+    ranges = rows.repartitionByRange("doc_id", "text_hash", "place").sortWithinPartitions("doc_id", "text_hash")
+    found = stored(ranges.select("doc_id", "text").mapInArrow(_in_order, FOUND_SQL), "phrase_rows")
+    firsts = found.filter(F.col("kind") == FIRST).select(F.col("part").alias("after"), F.col("text").alias("then"))
+    lasts = found.filter(F.col("kind") == LAST).select("part", "doc_id", "text")
+    parts = [r.after for r in firsts.select("after").orderBy("after").collect()]  # tasks that have rows
+    pairs = rows.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, after int")
+    ends = lasts.join(pairs, "part").join(firsts, "after").select("doc_id", "text", "then").mapInArrow(_at_ends, FOUND_SQL)
+    hexed = [F.lower(F.hex(c)).alias(name) for c, name in (("mark", "fingerprint"), ("edited_mark", "edited_fingerprint"))]
+    return (
+        found.filter(F.col("kind") == ROW).unionByName(ends)
+        .select("doc_id", "n_chars", "edited_sha256", *hexed, "near_edited", "near_next")
     )
-    own = held.select("id", "text_hash", "doc_id", "n", "next_id", "next_hash", "text")
-    made = stored(own.join(heads, ["id", "text_hash"]).mapInArrow(_made, MADE), "phrase_marks")
-    marks = made.select(F.col("id").alias("next_id"), F.col("text_hash").alias("next_hash"), F.col("mark").alias("next_mark"))
-    marks = marks.dropDuplicates(["next_id", "next_hash"])
-    out = made.join(marks, ["next_id", "next_hash"]).mapInArrow(_near_next, RESULT)
-    # Copies in two steps, so that no row holds an array as long as a large group.
-    out = out.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))))
-    again = F.explode(F.array_repeat(F.lit(0), F.least(F.col("copies") - F.col("block"), F.lit(COPIES)).cast("int")))
-    return out.withColumn("copy", again).drop("copies", "block", "copy")

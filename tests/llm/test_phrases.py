@@ -82,22 +82,28 @@ def test_repeated_rows_and_missing_ids(spark):
     assert {r.edited_sha256 for r in out if r.doc_id is None} == firsts
 
 
+def ends_of(text):
+    codes, ends = ph._codes(text), []
+    ph._read(codes, {}, 0, ends, 0)
+    return codes, ends
+
+
 def test_a_full_dictionary_starts_anew(monkeypatch):
     rng = random.Random(3)
     texts = ["".join(rng.choice("abcdef ") for _ in range(n)) for n in (900, 4000)]
     for size in (5, 40, 300):
         monkeypatch.setattr(ph, "PHRASES", size)
         for text in texts:
-            for head in texts:
-                own, one, two = ph.parse_edited(text, [head, head[::-1]])
-                cut = len(text) - len(text) // 4
-                for made, whole in ((own, text), (one, text[:cut] + head[: len(text) // 4]), (two, text[:cut] + head[::-1][: len(text) // 4])):
-                    codes, ends = ph.parse(whole)
-                    assert made[1] == ends and (made[0] == codes).all()
+            doc = ph.Document(text)
+            assert (doc.mark == ph.signature(ph.phrase_hashes(*ends_of(text)))).all()
+            for head in (*texts, texts[0][::-1]):
+                new, mark = doc.edited(head)
+                assert new == text[: len(text) - len(text) // 4] + head[: len(text) // 4]
+                assert (mark == ph.signature(ph.phrase_hashes(*ends_of(new)))).all()
 
 
 def test_pieces_hash_alike(monkeypatch):
-    codes, ends = ph.parse("some words and some words again " * 300)
+    codes, ends = ends_of("some words and some words again " * 300)
     whole = ph.phrase_hashes(codes, ends)
     monkeypatch.setattr(ph, "PIECE", 64)
     assert (ph.phrase_hashes(codes, ends) == whole).all()
@@ -111,7 +117,7 @@ def test_likeness_estimates_the_jaccard_similarity(spark):
         new = a.text[: len(a.text) * 3 // 4] + b.text[: len(a.text) // 4]
         for x, y, into in ((a.text, new, edited), (a.text, b.text, other)):
             p, q = plain_phrases(x), plain_phrases(y)
-            found = float(ph.likeness(ph.fingerprint(x), ph.fingerprint(y)))
+            found = float(ph.likeness(ph.Document(x).mark, ph.Document(y).mark))
             off.append(found - len(p & q) / len(p | q))
             into.append(found)
     assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.07
@@ -119,5 +125,5 @@ def test_likeness_estimates_the_jaccard_similarity(spark):
 
 
 def test_a_long_run_is_linear():
-    codes, ends = ph.parse("a" * 1_000_000)
+    codes, ends = ends_of("a" * 1_000_000)
     assert len(ends) < 1500 and ends[-1] <= len(codes)
