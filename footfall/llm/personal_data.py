@@ -42,7 +42,7 @@ DIGIT = "[0-9]"
 WORD = r"[\p{L}_]+[:=#]?"
 # A word, then (over a sign, blanks or quotes) a token of 6 characters at least with a digit or @.
 LABEL = r"[\p{L}_]++[:=#]?[\x20\t\"'(]{1,3}"
-BEFORE = rf"(?<![\p{{L}}_]){LABEL}(?=[^\s]*[0-9@])\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{{5,}}+"
+BEFORE = rf"(?<![\p{{L}}_]){LABEL}(?=[A-Za-z._%+/-]*+[0-9@])\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{{5,}}+"
 LEAD = rf"(?<![\p{{L}}_]){LABEL}\+?\z"  # the end of what stands before a base entity
 
 
@@ -62,27 +62,43 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(lengths: Column) -> Column:
+    """Running sums of an array of bigint, itself included: each step adds what
+    lies 1, 2, 4, ... places before, so n numbers take n log n additions."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(lengths), F.lit(1)))).cast("int"))
+    return F.aggregate(
+        steps, lengths,
+        lambda sums, k: F.transform(sums, lambda s, i: s + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0).cast("long"))),
+    )
+
+
 def _matches(text: Column, pattern: str, item: Callable[[Column, Column, Column], Column], keep: Callable[[Column], Column], kind: str) -> Column:
     """Array of ``item(match, start, lead)`` over the pattern's matches that pass
     ``keep``, in order; the lead is the match before, or the text's start, and
     all between. Starts are running sums over the pieces between matches."""
-    found = F.zip_with(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
-        lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")),
-    )
-    none = F.expr(f"cast(array() as {kind})")
-    walked = F.aggregate(
-        F.filter(found, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("last"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["m"])).cast("long").alias("at"), x["m"].alias("last"),
-            F.when(
-                keep(x["m"]),
-                F.concat(acc["out"], F.array(item(x["m"], acc["at"] + F.length(x["gap"]), F.concat(acc["last"], x["gap"]))).cast(kind)),
-            ).otherwise(acc["out"]).alias("out"),
+    found = F.filter(
+        F.zip_with(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
+            lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")),
         ),
+        lambda x: x["m"].isNotNull(),
     )
-    return walked["out"]
+
+    def placed(f: Column, ends: Column) -> Column:
+        led = F.zip_with(
+            F.arrays_zip(f.alias("f"), ends.alias("e")), F.concat(F.array(F.lit("")), F.transform(f, lambda x: x["m"])),
+            lambda x, last: F.struct(x["f"]["m"].alias("m"), (x["e"] - F.length(x["f"]["m"])).alias("start"), F.concat(last, x["f"]["gap"]).alias("lead")),
+        )
+        kept = F.filter(led, lambda x: x["m"].isNotNull() & keep(x["m"]))  # the last match leads nothing
+        return F.transform(kept, lambda x: item(x["m"], x["start"], x["lead"])).cast(kind)
+
+    lengths = lambda f: F.transform(f, lambda x: (F.length(x["gap"]) + F.length(x["m"])).cast("long"))
+    return _bound(found, lambda f: _bound(_running(lengths(f)), lambda ends: placed(f, ends)))
 
 
 def base_spans(text: Column) -> Column:
@@ -138,30 +154,29 @@ def bootstrap(seen: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> tuple
     edges = seen.groupBy("before", "token").agg(F.count(F.lit(1)).alias("n"))
     edges = stored(edges.join(totals, "before", "left").withColumn("total", F.greatest(F.coalesce("total", "n"), "n")), "pii_edges")
     seeds = seen.groupBy("token").agg(F.max("seed").alias("seed"))
-    instances = stored(seeds.select("token", "seed", F.col("seed").cast("double").alias("confidence")), "pii_instances")
-    patterns = None
-    for _ in range(rounds):
-        patterns = stored(
+    seeds = stored(seeds, "pii_seeds")
+    instances = seeds.withColumn("confidence", F.col("seed").cast("double"))
+    for last in (i == rounds - 1 for i in range(rounds)):
+        patterns = (
             edges.join(instances, "token")
             .groupBy("before")
             .agg(
                 (F.sum(F.col("n") * F.col("confidence")) / F.greatest(F.max("total"), F.sum("n"))).alias("confidence"),
                 F.count_if(F.col("confidence") >= CONFIDENT).alias("support"),
-            ),
-            "pii_patterns",
+            )
         )
         sure = patterns.filter((F.col("confidence") >= CONFIDENT) & (F.col("support") >= SUPPORT))
+        if last:  # the rounds before are one short chain of joins, run once
+            sure = stored(sure, "pii_patterns")
         told = (
             edges.join(sure.select("before", F.col("confidence").alias("p")), "before")
             .groupBy("token")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("p"), F.lit(1.0)) * TRUST)))).alias("told"))
         )
-        instances = stored(
-            instances.drop("confidence").join(told, "token", "left")
-            .select("token", "seed", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("told", F.lit(0.0))).alias("confidence")),
-            "pii_instances",
-        )
-    return patterns.filter((F.col("confidence") >= CONFIDENT) & (F.col("support") >= SUPPORT)), instances
+        instances = seeds.join(told, "token", "left").select(
+            "token", "seed", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("told", F.lit(0.0))).alias("confidence")
+        )
+    return sure, instances
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -198,7 +213,6 @@ def personal_data(docs: DataFrame) -> DataFrame:
     seen = read.select("doc_id", "text_hash", "base", F.explode(single).alias("s")).select(
         "doc_id", "text_hash", "s.before", "s.token", "s.start", "s.end", (~F.col("s.shaped")).alias("seed"), meets.alias("met")
     )
-    seen = stored(seen, "pii_seen")
     words = given.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("before"))
     totals = words.groupBy("before").agg(F.count(F.lit(1)).alias("total"))
     patterns, instances = bootstrap(seen, totals)

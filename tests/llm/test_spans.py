@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow.parquet as pq
 
@@ -85,6 +86,104 @@ def test_entities_with_blanks_are_seeds(spark):
     assert {k: v for k, v in got.items() if v} == {10: ["0301234567"], 11: ["AB-" * 40 + "99120034"]}
 
 
+def brute_context(said):
+    """Context spans by a plain walk: labels, a bipartite graph, three rounds."""
+    sep, word = "[ \t\"'(]{1,3}", r"[^\W\d]+[:=#]?"
+    label = re.compile(rf"(?<![^\W\d])({word}){sep}")
+    seen, totals = [], {}
+    for d, text in enumerate(said):
+        for w in re.findall(word, text.lower()):
+            totals[w] = totals.get(w, 0) + 1
+        base = brute_pii(text)
+        at = {}
+        for _, a, b in base:
+            for m in label.finditer(text, 0, a):
+                if m.end() == a or (m.end() == a - 1 and text[a - 1] == "+"):
+                    at.setdefault(m.end(), (m[1].lower(), text[a:b], a, b, True))
+        pos = 0
+        while m := label.search(text, pos):
+            t = re.compile(r"\+?[A-Za-z0-9][A-Za-z0-9@._%+/-]{5,}").match(text, m.end())
+            if not t or not re.match("[A-Za-z._%+/-]*[0-9@]", t[0]):
+                pos = m.start() + 1
+                continue
+            token = t[0].rstrip("._%+/-")
+            if "@" in token or sum(c.isdigit() for c in token) >= 4:
+                at.setdefault(m.end(), (m[1].lower(), token, m.end(), m.end() + len(token), False))
+            pos = t.end()
+        seen += [(d, *v, any(a < v[3] and b > v[2] for _, a, b in base)) for v in at.values()]
+    n, seed = {}, {}
+    for _, before, token, _, _, is_seed, _ in seen:
+        n[before, token] = n.get((before, token), 0) + 1
+        seed[token] = seed.get(token, False) or is_seed
+    confidence = {t: float(s) for t, s in seed.items()}
+    for _ in range(pii.ROUNDS):
+        sure = {}
+        for p in {b for b, _ in n}:
+            own = {t: k for (b, t), k in n.items() if b == p}
+            score = sum(k * confidence[t] for t, k in own.items()) / max(totals.get(p, 0), sum(own.values()))
+            if score >= pii.CONFIDENT and sum(confidence[t] >= pii.CONFIDENT for t in own) >= pii.SUPPORT:
+                sure[p] = score
+        doubt = {}
+        for b, t in n:
+            if b in sure:
+                doubt[t] = doubt.get(t, 1.0) * (1 - min(sure[b], 1.0) * pii.TRUST)
+        confidence = {t: 1.0 if s else 1 - doubt.get(t, 1.0) for t, s in seed.items()}
+    out = {d: set() for d in range(len(said))}
+    for d, before, token, a, b, _, met in seen:
+        if before in sure and not met and not seed[token] and confidence[token] >= pii.CONFIDENT:
+            out[d].add((a, b))
+    return {d: sorted(v) for d, v in out.items()}
+
+
+def labelled(n, seed):
+    """Texts of which some hold an identifier behind a telling label, others a
+    number behind a word that also stands elsewhere; and where the identifiers are."""
+    rng = random.Random(seed)
+    said, true = [], {}
+    for d in range(n):
+        parts, spans = [], []
+        for _ in range(rng.randint(1, 6)):
+            pick, label = rng.random(), rng.choice(["mail:", "Tel:", "kontakt", "id#"])
+            if pick < 0.6:
+                new = f"{label} " + rng.choice([f"user{rng.randint(0, 40)}@mail.example.org", f"+49 30 {rng.randint(1000000, 9999999)}"])
+            elif pick < 0.67:
+                token = f"KD-{rng.randint(10**6, 10**7)}"
+                at = sum(map(len, parts)) + 3 * len(parts) + len(label) + 1
+                spans.append((at, at + len(token)))
+                new = f"{label} {token}"
+            else:
+                new = rng.choice(["room 123456", "room with a view", "the year 20011 was", "order 99/88/7766 came", "room for all"])
+            parts.append(new)
+        said.append(" , ".join(parts))
+        true[d] = spans
+    return said, true
+
+
+def test_context_against_a_plain_walk(spark):
+    said, true = labelled(400, 7)
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: sorted((s.start, s.end) for s in r.context) for r in pii.personal_data(docs).collect()}
+    assert got == brute_context(said)
+    hits = sum(s in got[d] for d, spans in true.items() for s in spans)
+    assert hits >= 0.95 * sum(map(len, true.values())) and hits >= 0.95 * sum(map(len, got.values()))
+
+
+def test_context_of_repeated_rows_and_missing_ids(spark):
+    said = [f"Tel: +1 (017) 555-77{i:02} or so" for i in range(8)] + ["Tel: 0301234567 follows"]
+    rows = [(i, t) for i, t in enumerate(said)] + [(None, said[8])] * 2 + [(8, said[8])] + [(None, None), (8, "")]
+    got = pii.personal_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert sorted(str(r.doc_id) for r in got if "context:5:15" in r.spans) == ["8", "8", "None", "None"]
+
+
+def test_long_texts_are_walked_in_proportion(spark):
+    long = [" ".join(f"10.0.{i % 256}.{i % 200}" for i in range(80_000)), "1 " + "a(" * 500_000, "mail: u@x.org " * 70_000]
+    t0 = time.monotonic()
+    got = pii.personal_digests(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")).collect()
+    assert time.monotonic() - t0 < 120
+    assert {r.doc_id: (r.n_ip, r.n_email) for r in got} == {0: (80_000, 0), 1: (0, 0), 2: (0, 70_000)}
+
+
 def test_base_secrets(spark):
     all_ = texts(["token", "Secret", "api_key", "=", ":", " ", '"', "'", "ab", "0", "f", "AKIA", "Z", "9", "é", "\n", "abcdef0123456789", ".", "K", "ghp_" + "a" * 40, ","], 1500, 2)
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(all_)], "doc_id long, text string, secrets int")
