@@ -49,6 +49,8 @@ def _stream(args: argparse.Namespace) -> int:
         checkpoint_root=args.checkpoint,
         dead_letter_path=args.dead_letters,
         intake_path=args.intake,
+        table_path=args.table,
+        accounted_path=args.accounted,
         watermark_delay=args.watermark,
         window_duration=args.window,
         trigger_interval=args.trigger,
@@ -132,6 +134,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--dead-letters")
     s.add_argument("--intake", help="instead of --dead-letters: table of accepted and rejected records, parsed once")
+    s.add_argument("--table", help="also append each batch exactly once to this table")
+    s.add_argument("--accounted", help="every record as accepted, rejected or late, with counts and offsets per batch")
     s.add_argument("--watermark", default=WATERMARK_DELAY)
     s.add_argument("--window", default=WINDOW_DURATION)
     s.add_argument("--trigger", default=TRIGGER_INTERVAL)

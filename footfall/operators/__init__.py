@@ -1,7 +1,8 @@
 """Composable ``DataFrame -> DataFrame`` operators, valid on bounded and
 streaming inputs alike (except where a docstring says otherwise)."""
 
-from footfall.operators.aggregate import aggregate_traffic
+from footfall.operators.accounting import audit_intervals, merged_findings, offset_intervals, unbalanced
+from footfall.operators.aggregate import aggregate_traffic, aggregate_traffic_exact
 from footfall.operators.changelog import changelog_by_batch, latest_by_count, latest_per_key
 from footfall.operators.enrich import (
     enrich_with_time_flags,
@@ -21,6 +22,7 @@ from footfall.operators.quality import (
     classify_events,
     clean_sensor_events,
     demographics,
+    duplicate_ids,
     quality_profile,
     rejected_events,
     unknown_store_zones,
@@ -30,6 +32,12 @@ from footfall.operators.serving import live_visitors, store_performance, zone_sh
 __all__ = [
     "accepted_events",
     "aggregate_traffic",
+    "aggregate_traffic_exact",
+    "audit_intervals",
+    "duplicate_ids",
+    "merged_findings",
+    "offset_intervals",
+    "unbalanced",
     "changelog_by_batch",
     "classify_events",
     "clean_sensor_events",

@@ -9,6 +9,7 @@ from footfall.functions.time import valid_epoch_millis
 from footfall.schemas import CORRUPT_COLUMN
 
 from footfall.fixed import AGE_RANGES, GENDERS, MAX_DWELL_SECONDS, MIN_DWELL_SECONDS
+from footfall.session import scratch_path
 
 REJECT_REASON = "reject_reason"
 
@@ -136,6 +137,26 @@ def quality_profile(events: DataFrame, exact_distinct: bool = True, rsd: float =
     return counted.select(*first, *[c for c in counted.columns if c not in first and c != "_ids"])
 
 
+SUSPECTS = 2_000_000  # hashes of 8 bytes that are broadcast at most
+
+
+def duplicate_ids(events: DataFrame, id_col: str = "event_id", suspects: int = SUSPECTS) -> DataFrame:
+    """Ids that occur more than once, with ``n_events``; null ids take no part.
+
+    First the ids' 64-bit hashes are counted (8 bytes move, not the ids). Only
+    ids whose hash came twice, the duplicates and a few that collide, are then
+    moved and counted exactly. Up to ``suspects`` such hashes are broadcast to
+    the scan; beyond that they are joined, and Spark splits hot ones."""
+    ids = events.select(F.col(id_col)).filter(F.col(id_col).isNotNull()).withColumn("_hash", F.xxhash64(id_col))
+    twice = ids.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
+    path = scratch_path(events.sparkSession, "suspect_ids")
+    twice.write.parquet(path)
+    twice = events.sparkSession.read.schema(twice.schema).parquet(path)
+    few = twice.limit(suspects + 1).count() <= suspects
+    kept = ids.join(F.broadcast(twice) if few else twice, "_hash", "left_semi")
+    return kept.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_events")).filter("n_events > 1")
+
+
 def demographics(events: DataFrame) -> DataFrame:
     """Events per (age_range, gender) and their share of all events."""
     counts = events.groupBy("age_range", "gender").agg(F.count(F.lit(1)).alias("n_events"))

@@ -26,6 +26,7 @@ from footfall.operators.quality import (
     classify_events,
     clean_sensor_events,
     demographics,
+    duplicate_ids,
     quality_profile,
     rejected_events,
     unknown_store_zones,
@@ -36,7 +37,7 @@ from footfall.schemas import SENSOR_EVENT_FIELDS
 from footfall.session import ensure_utc
 from footfall.sources.bus import bus_envelope
 from footfall.sources.dimensions import stores_dimension, zones_dimension
-from footfall.sources.events import sensor_events
+from footfall.sources.events import sensor_events, sensor_events_with_offset
 from footfall.sources.replay import replay_slice
 
 TRAFFIC_ROUND = ("total_dwell_time",)
@@ -172,6 +173,20 @@ def q21_local_time_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q36_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ids that a bus delivering some records two or three times carries more than once."""
+    s = sensor_events_with_offset(spark, sf_dir)
+    again = s.filter(F.col("offset") % 50 == 0).unionByName(s.filter(F.col("offset") % 350 == 0))
+    return duplicate_ids(s.unionByName(again))
+
+
+def q39_odd_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with keys the schema does not know (dropped) and without an event
+    id (rejected), on the bus: what each is parsed to."""
+    decoded = decode_envelope(bus_envelope(spark, sf_dir, odd_fields=True), carry=["offset"])
+    return classify_events(decoded).select("offset", "reject_reason", *SENSOR_EVENT_FIELDS)
+
+
 def _with_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
@@ -191,6 +206,6 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q05_event_time, q06_enrich_flags, q07_traffic_stats, q08_traffic_window_15m,
         q09_changelog, q10_latest_stats, q11_live_visitors, q12_store_performance,
         q13_zone_share, q14_dim_enriched, q15a_demographics, q15b_reference_check,
-        q16_quality_profile, *streamed.STREAMED, q21_local_time_flags,
+        q16_quality_profile, *streamed.STREAMED, q21_local_time_flags, q36_duplicate_ids, q39_odd_fields,
     ]
     return {f.__name__: _with_utc(f) for f in sorted(fns, key=lambda f: f.__name__)}

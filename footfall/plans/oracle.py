@@ -240,6 +240,89 @@ WHERE window_end <= (SELECT max(event_time) FROM c) - INTERVAL 10 MINUTE"""
 Q31 = _with(S, C) + traffic().replace("FROM c", "FROM c WHERE src_id % 101 <> 0 AND src_id % 103 <> 0")
 
 
+# Offsets that never come (of every thousand 500 to 509, or missing from the
+# table) and that come twice (200 to 204), as runs (q33).
+Q33 = _with(S) + """,
+d AS (SELECT src_id AS o, lag(src_id) OVER (ORDER BY src_id) AS p FROM s WHERE NOT src_id % 1000 BETWEEN 500 AND 509),
+twice AS (SELECT src_id AS o, src_id - row_number() OVER (ORDER BY src_id) AS island FROM s WHERE src_id % 1000 BETWEEN 200 AND 204)
+SELECT 'gap' AS kind, p + 1 AS first_offset, o - 1 AS last_offset FROM d WHERE o > p + 1
+UNION ALL
+SELECT 'overlap', min(o), max(o) FROM twice GROUP BY island"""
+
+# A replay by 5-day slices in which every record comes again three slices later
+# with half its dwell time; a batch's watermark is 10 minutes below the newest
+# clean event of the slices before it.
+LATE = """,
+bus AS (
+  SELECT *, "timestamp" // 432000000 AS slice, false AS copy FROM s
+  UNION ALL BY NAME
+  SELECT * REPLACE (dwell_time_seconds / 2 AS dwell_time_seconds), "timestamp" // 432000000 + 3 AS slice, true AS copy FROM s
+),
+judged AS (
+  SELECT *, make_timestamp("timestamp" * 1000) AS event_time,
+         {faulted}
+         OR coalesce(NOT (dwell_time_seconds > 0 AND dwell_time_seconds <= 3600), true)
+         OR store_id IS NULL OR zone_id IS NULL OR event_id IS NULL AS rejected
+  FROM bus
+),
+newest AS (SELECT slice, max(event_time) FILTER (WHERE NOT rejected) AS newest FROM judged GROUP BY slice),
+marks AS (
+  SELECT slice, row_number() OVER (ORDER BY slice) - 1 AS batch_id,
+         max(newest) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS watermark
+  FROM newest
+),
+v AS (
+  SELECT *, NOT rejected AND coalesce(time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE <= watermark, false) AS late
+  FROM judged JOIN marks USING (slice)
+)"""
+
+Q34 = _with(S) + LATE.format(faulted="false") + """
+SELECT src_id AS "offset", 'sensors/' || coalesce(store_id, 'unassigned') AS topic, dwell_time_seconds,
+       'behind_watermark' AS reject_reason, watermark
+FROM v WHERE late"""
+
+Q35 = _with(S) + LATE.format(faulted="(NOT copy AND (src_id % 101 = 0 OR src_id % 103 = 0))") + """
+SELECT batch_id, count(*) AS "read", count(*) FILTER (WHERE NOT rejected AND NOT late) AS accepted,
+       count(*) FILTER (WHERE rejected) AS rejected, count(*) FILTER (WHERE late) AS late, watermark
+FROM v GROUP BY batch_id, watermark"""
+
+Q36 = _with(S) + """
+SELECT event_id, 1 + cast(src_id % 50 = 0 AS BIGINT) + cast(src_id % 350 = 0 AS BIGINT) AS n_events
+FROM s WHERE src_id % 50 = 0"""
+
+# Windows that the watermark of the last batch leaves open, and those that the
+# watermark after it does (q37).
+Q37 = _with(S, C) + ", agg AS (" + traffic() + """),
+last AS (SELECT max("timestamp" // 432000000) AS slice FROM s)
+SELECT 'open' AS phase, * FROM agg
+WHERE window_end > coalesce((SELECT max(event_time) FROM c, last WHERE "timestamp" // 432000000 < slice) - INTERVAL 10 MINUTE, TIMESTAMP '1970-01-01')
+UNION ALL
+SELECT 'evicted', * FROM agg WHERE window_end > (SELECT max(event_time) FROM c) - INTERVAL 10 MINUTE"""
+
+# Sums of whole seconds and of 2^-32 parts, each exact (q38).
+Q38 = _with(S, C, """
+x AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, store_id, zone_id, count(*) AS visitor_count,
+         cast(sum(cast(floor(dwell_time_seconds) AS BIGINT)) AS BIGINT) AS w,
+         cast(sum(cast(floor((dwell_time_seconds - floor(dwell_time_seconds)) * 4294967296) AS BIGINT)) AS BIGINT) AS p
+  FROM c GROUP BY ALL
+)""") + """
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, store_id, zone_id, visitor_count,
+       cast(w + p // 4294967296 AS DOUBLE) + cast(p % 4294967296 AS DOUBLE) / 4294967296 AS total_dwell_time
+FROM x"""
+
+Q39 = _with(S) + f"""
+SELECT src_id AS "offset",
+       CASE WHEN src_id % 109 = 0 THEN 'missing_event_id'
+            WHEN store_id IS NULL THEN 'missing_store_id'
+            WHEN zone_id IS NULL THEN 'missing_zone_id'
+            WHEN dwell_time_seconds IS NULL OR isnan(dwell_time_seconds) THEN 'invalid_dwell_time'
+            WHEN dwell_time_seconds <= 0 THEN 'dwell_not_positive'
+            WHEN dwell_time_seconds > 3600 THEN 'dwell_too_long' END AS reject_reason,
+       {S_COLS.replace('event_id', 'CASE WHEN src_id % 109 <> 0 THEN event_id END AS event_id', 1)}
+FROM s"""
+
+
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL for every catalogue query, by name."""
     return {
@@ -275,4 +358,12 @@ def oracle_queries() -> dict[str, str]:
         "q29_stream_changelog": Q29,
         "q30_intake_table": Q30,
         "q31_intake_traffic": Q31,
+        "q32_once_table": Q07,
+        "q33_offset_audit": Q33,
+        "q34_late_records": Q34,
+        "q35_batch_accounts": Q35,
+        "q36_duplicate_ids": Q36,
+        "q37_state_rows": Q37,
+        "q38_exact_traffic": Q38,
+        "q39_odd_fields": Q39,
     }

@@ -13,14 +13,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.operators.aggregate import aggregate_traffic
-from footfall.operators.changelog import BATCH_ID, changelog_by_batch, latest_per_key
+from footfall.operators.accounting import audit_intervals, merged_findings
+from footfall.operators.aggregate import aggregate_traffic, aggregate_traffic_exact
+from footfall.operators.changelog import BATCH_ID, RUN, changelog_by_batch, latest_per_key
 from footfall.operators.parse import decode_envelope
 from footfall.operators.serving import live_visitors, store_performance, zone_share
 from footfall.plans.output import present
 from footfall.schemas import ENVELOPE, INTAKE, SENSOR_EVENT_FIELDS, TRAFFIC_STATS
 from footfall.session import scratch_path
 from footfall.sinks.current import fold_changelog, read_current, read_newest_date
+from footfall.sinks.ledger import append_once, once_table_writer, read_once_table
 from footfall.sinks.tables import (
     append_to_table,
     changelog_batch_writer,
@@ -38,12 +40,21 @@ from footfall.sources.replay import (
     replay_steps,
     write_replay_files,
 )
+from footfall.streaming.accounted import (
+    LATE,
+    accounted_records,
+    accounted_writer,
+    batch_accounts,
+    read_accounted,
+    read_intervals,
+)
 from footfall.streaming.traffic import (
     StreamResult,
     dead_letter_stream,
     intake_events,
     intake_stream,
     run_query,
+    state_rows,
     traffic_stream,
 )
 
@@ -272,8 +283,117 @@ def q31_intake_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(latest_per_key(read_changelog(spark, log)), TRAFFIC_ROUND)
 
 
+def q32_once_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly-once table append of a stream whose events reach four batches: the
+    writer of one batch is lost between write and commit, the stream resumes, and
+    at the end a batch is delivered a second time. The current row per key."""
+    root = scratch_path(spark, "q32_once_table")
+    source, table = os.path.join(root, "input"), os.path.join(root, "table")
+    lost: list[int] = []
+
+    def lose_one(batch_id: int) -> None:
+        if batch_id == 1 and not lost:
+            lost.append(batch_id)
+            raise RuntimeError("writer lost before its commit")
+
+    env = bus_envelope(spark, sf_dir).withColumn("slice", F.pmod("offset", F.lit(SCATTERED)))
+    for n in replay_steps(env, source, files_per_slice=_parallelism(spark)):
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        job = dict(checkpoint=os.path.join(root, "checkpoint"), state_partitions=_parallelism(spark))
+        rows = traffic_stream(stream, watermark_delay="3650 days")
+        try:
+            run_query(spark, rows, once_table_writer(table, lose_one), **job)
+        except Exception:
+            if n != 1 or lost != [1]:
+                raise
+            run_query(spark, rows, once_table_writer(table, lose_one), **job)
+    first = read_once_table(spark, table, latest=False).filter(F.col(BATCH_ID) == 0)
+    again = append_once(first.select(*TRAFFIC_COLUMNS), 0, table, first.first()[RUN])
+    if again or not lost:
+        raise RuntimeError("a batch was appended twice, or no writer was lost")
+    return present(read_once_table(spark, table), TRAFFIC_ROUND)
+
+
+# Planted faults of the offset audit: of every thousand offsets, some never
+# arrive and some arrive a second time, in another batch.
+MISSING, TWICE = (500, 509), (200, 204)
+AUDIT_BLOCK = 250  # offsets that reach the same batch
+
+
+def accounted_table(spark: SparkSession, env: DataFrame, kind: str) -> str:
+    """Path of the accounted intake of envelopes that carry their ``slice``, one batch a slice."""
+    root = scratch_path(spark, kind)
+    source, table = os.path.join(root, "input"), os.path.join(root, "table")
+    for _ in replay_steps(env, source, files_per_slice=_parallelism(spark)):
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        run_query(spark, accounted_records(stream), accounted_writer(table), os.path.join(root, "checkpoint"), output_mode="append")
+    return table
+
+
+def q33_offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps and overlaps of the offsets that the committed batches of an intake
+    have read, of a bus that loses some records and delivers others twice."""
+    at = F.col("offset") % 1000
+    batch = F.floor(F.col("offset") / AUDIT_BLOCK) % SCATTERED
+    env = bus_envelope(spark, sf_dir).withColumn("topic", F.lit("sensor-traffic"))
+    env = env.filter(~at.between(*MISSING)).withColumn("slice", batch)
+    again = env.filter(at.between(*TWICE)).withColumn("slice", (batch + 1) % SCATTERED)
+    table = accounted_table(spark, env.unionByName(again), "q33_offset_audit")
+    found = audit_intervals(read_intervals(spark, table), ["partition"])
+    return merged_findings(found, ["partition"]).select("kind", "first_offset", "last_offset")
+
+
+def _late_intake(spark: SparkSession, sf_dir: str, kind: str, faults: bool) -> str:
+    env = bus_envelope(spark, sf_dir, faults=faults).withColumn("slice", replay_slice(F.unix_millis("timestamp")))
+    late = bus_envelope(spark, sf_dir, dwell_scale=0.5)
+    late = late.withColumn("slice", replay_slice(F.unix_millis("timestamp")) + LATE_BY_SLICES)
+    return accounted_table(spark, env.unionByName(late), kind)
+
+
+def q34_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late records kept as dead letters, with their offset, reason and the
+    watermark they were judged by, of a replay that delivers every record again late."""
+    late = read_accounted(spark, _late_intake(spark, sf_dir, "q34_late_records", faults=False), LATE)
+    return present(late.select("offset", "topic", "dwell_time_seconds", "reject_reason", "watermark"))
+
+
+def q35_batch_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read, accepted, rejected and late of every batch of such a replay,
+    with transport faults, and its watermark."""
+    accounts = batch_accounts(spark, _late_intake(spark, sf_dir, "q35_batch_accounts", faults=True))
+    return present(accounts.select(BATCH_ID, "read", "accepted", "rejected", "late", "watermark"))
+
+
+def q37_state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traffic aggregation's state, read from its checkpoint: after the last
+    batch of a replay, and after the batch that evicts the windows it closed."""
+    root = scratch_path(spark, "q37_state_rows")
+    source, log, checkpoint = (os.path.join(root, k) for k in ("input", "changelog", "checkpoint"))
+    env = replay_envelopes(spark, sf_dir)
+    newest = env.agg(F.max("slice")).first()[0]
+    last = -1
+    for n in replay_steps(env, source, files_per_slice=_parallelism(spark)):
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        last += 1
+        run_query(
+            spark, traffic_stream(stream), changelog_batch_writer(log), checkpoint,
+            state_partitions=_parallelism(spark), evict_at_end=n == newest,
+        )
+    before = state_rows(spark, checkpoint, last).withColumn("phase", F.lit("open"))
+    after = state_rows(spark, checkpoint).withColumn("phase", F.lit("evicted"))
+    return present(before.unionByName(after), TRAFFIC_ROUND)
+
+
+def q38_exact_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship aggregate with sums that do not depend on the order of events."""
+    from footfall.plans.catalogue import clean_timed_events
+
+    return present(aggregate_traffic_exact(clean_timed_events(spark, sf_dir)))
+
+
 STREAMED = [
     q17_stream_traffic, q18_idempotent_sink, q19_bus_records, q20_late_data, q22_closed_windows, q23_table_append,
     q24_folded_table, q25_live_visitors_stored, q26_store_performance_stored, q27_zone_share_stored, q28_dead_letters,
-    q29_stream_changelog, q30_intake_table, q31_intake_traffic,
+    q29_stream_changelog, q30_intake_table, q31_intake_traffic, q32_once_table, q33_offset_audit, q34_late_records,
+    q35_batch_accounts, q37_state_rows, q38_exact_traffic,
 ]

@@ -1,6 +1,7 @@
 """Sinks: change-log and snapshot tables, dead letters, bus records."""
 
 from footfall.sinks.current import expire_folded, fold_changelog, read_current, read_newest_date
+from footfall.sinks.ledger import CommitLedger, append_once, expire_attempts, once_table_writer, read_once_table
 from footfall.sinks.tables import (
     append_changelog_batch,
     append_to_table,
@@ -18,6 +19,11 @@ from footfall.sinks.tables import (
 )
 
 __all__ = [
+    "CommitLedger",
+    "append_once",
+    "expire_attempts",
+    "once_table_writer",
+    "read_once_table",
     "append_changelog_batch",
     "append_to_table",
     "bus_records",

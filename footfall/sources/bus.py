@@ -25,6 +25,11 @@ UNASSIGNED_TOPIC = "unassigned"
 INVALID_UTF8_EVERY = 101
 LEGACY_FRAME_EVERY = 103
 INVALID_UTF8_PREFIX_HEX = "FFFE"
+# Fixed rule of odd fields: offsets divisible by EXTRA_KEY_EVERY carry keys the
+# schema does not know, those divisible by MISSING_ID_EVERY no event id.
+EXTRA_KEY_EVERY = 107
+MISSING_ID_EVERY = 109
+EXTRA_KEYS = '"firmware":"2.1","position":{"x":1,"y":[2,3]},'
 
 
 def topic_for_store(store_id) -> F.Column:
@@ -32,13 +37,21 @@ def topic_for_store(store_id) -> F.Column:
     return F.concat(F.lit(TOPIC_PREFIX), F.coalesce(store_id, F.lit(UNASSIGNED_TOPIC)))
 
 
-def bus_envelope(spark: SparkSession, sf_dir: str, faults: bool = False, dwell_scale: float = 1.0) -> DataFrame:
+def bus_envelope(
+    spark: SparkSession, sf_dir: str, faults: bool = False, dwell_scale: float = 1.0, odd_fields: bool = False
+) -> DataFrame:
     """Envelope records for every sensor event (all rows); ``dwell_scale``
     makes copies of them that can be told from the originals."""
     s = sensor_events_with_offset(spark, sf_dir)
+    if odd_fields:
+        s = s.withColumn("event_id", F.when(F.col("offset") % MISSING_ID_EVERY != 0, F.col("event_id")))
     s = s.withColumn("dwell_time_seconds", F.col("dwell_time_seconds") * F.lit(dwell_scale))
     topic = topic_for_store(F.col("store_id"))
-    good = F.encode(sensor_event_json(), "UTF-8")
+    text = sensor_event_json()
+    if odd_fields:
+        odd = F.concat(F.lit("{" + EXTRA_KEYS), F.substring(text, F.lit(2), F.length(text)))
+        text = F.when(F.col("offset") % EXTRA_KEY_EVERY == 0, odd).otherwise(text)
+    good = F.encode(text, "UTF-8")
     value = good
     if faults:
         off = F.col("offset")

@@ -2,7 +2,8 @@
 
 * traffic: accepted events -> watermark -> windowed aggregate -> change log
   (idempotent per micro-batch), ``update`` or ``append`` output mode;
-* dead letters: rejected records with reason and raw payload.
+* dead letters: rejected records with reason and raw payload;
+* the exactly-once table and the accounted intake, where their paths are given.
 
 With ``intake_path`` the bus is read and parsed once: one stateless query
 writes accepted and rejected records to the intake table, and the traffic
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.aggregate import DEFAULT_WINDOW, aggregate_traffic
+from footfall.sinks.ledger import once_table_writer
 from footfall.sinks.tables import batch_partition_path, changelog_batch_writer, run_of
+from footfall.streaming.accounted import accounted_records, accounted_writer
 from footfall.streaming.traffic import (
     DEFAULT_TRIGGER,
     DEFAULT_WATERMARK,
@@ -46,6 +49,8 @@ class TrafficJobConfig:
     checkpoint_root: str
     dead_letter_path: str | None = None
     intake_path: str | None = None  # instead of dead_letter_path: one table of accepted and rejected records
+    table_path: str | None = None  # besides the change log: a table appended exactly once (sinks.ledger)
+    accounted_path: str | None = None  # every record as accepted, rejected or late, with counts and offsets per batch
     intake_files_per_trigger: int | None = None  # of the traffic query that reads the intake table
     watermark_delay: str = DEFAULT_WATERMARK
     window_duration: str = DEFAULT_WINDOW
@@ -74,6 +79,25 @@ class TrafficJobConfig:
             raise ValueError("changelog_path and checkpoint_root are required")
 
 
+def traffic_writer(cfg: TrafficJobConfig):
+    """``foreachBatch`` sink of the traffic query: the change log, and the
+    exactly-once table if there is one, from one run of the batch."""
+    log_batch = changelog_batch_writer(cfg.changelog_path, idempotent=cfg.idempotent)
+    if not cfg.table_path:
+        return log_batch
+    append = once_table_writer(cfg.table_path)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            log_batch(batch, batch_id)
+            append(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return sink
+
+
 def dead_letter_writer(path: str):
     """``foreachBatch`` sink for rejects; each batch of a run owns its folder."""
 
@@ -118,7 +142,7 @@ def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJob
         run_query(
             spark,
             traffic,
-            changelog_batch_writer(cfg.changelog_path, idempotent=cfg.idempotent),
+            traffic_writer(cfg),
             os.path.join(cfg.checkpoint_root, "traffic"),
             output_mode=cfg.output_mode,
             query_name=None,
@@ -136,6 +160,17 @@ def start_traffic_job(spark: SparkSession, envelopes: DataFrame, cfg: TrafficJob
                 **common,
             )
         )
+    if cfg.accounted_path:
+        started.append(
+            run_query(
+                spark,
+                accounted_records(envelopes, cfg.max_future_skew_ms),
+                accounted_writer(cfg.accounted_path, cfg.watermark_delay, cfg.window_duration),
+                os.path.join(cfg.checkpoint_root, "accounted"),
+                output_mode="append",
+                **common,
+            )
+        )
     return started
 
 

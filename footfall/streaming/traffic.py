@@ -238,6 +238,7 @@ def run_query(
     query_name: str | None = None,
     rocksdb_state: bool = True,
     partition_by: str | None = None,
+    evict_at_end: bool = False,
 ) -> StreamResult | StreamingQuery:
     """Start ``stream`` into ``sink``: a ``foreachBatch`` function, or a folder
     for Spark's built-in parquet file sink (append mode only; exactly-once
@@ -249,7 +250,8 @@ def run_query(
     returns a summary; a failure raises. Otherwise it starts a
     processing-time trigger and returns the running query.
     ``state_partitions`` fixes the number of state-store partitions for a
-    new checkpoint (it cannot change afterwards).
+    new checkpoint (it cannot change afterwards). ``evict_at_end`` lets an
+    update-mode run end with the batch that only evicts closed windows.
     """
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if isinstance(sink, str):
@@ -268,7 +270,7 @@ def run_query(
     overrides = dict(ROCKSDB_STATE) if rocksdb_state else {}
     if state_partitions:
         overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
-    if available_now and output_mode == "update":
+    if available_now and output_mode == "update" and not evict_at_end:
         # The closing no-data batch would only evict state (update mode emits
         # nothing for it) just before the run ends. Append mode needs it: it
         # emits the windows the final watermark closes.
@@ -299,3 +301,17 @@ def run_query(
         spark.streams.removeListener(totals)
     log.info("stream finished: %s", res)
     return res
+
+
+def state_rows(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """What the traffic aggregation of a checkpoint holds after a batch (the last
+    one, if not given): one row per open window, store and zone, from Spark's
+    state data source. Older batches can be read as long as their files are kept."""
+    reader = spark.read.format("statestore")
+    held = (reader if batch_id is None else reader.option("batchId", batch_id)).load(checkpoint)
+    key, value = F.col("key"), F.col("value")
+    return held.select(
+        key["window"]["start"].alias("window_start"), key["window"]["end"].alias("window_end"),
+        key["store_id"].alias("store_id"), key["zone_id"].alias("zone_id"),
+        value["count"].alias("visitor_count"), value["sum"].alias("total_dwell_time"),
+    )
