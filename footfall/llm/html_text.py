@@ -10,18 +10,21 @@ text look shared. A node's importance is 1 minus the mean entropy of its
 features. A branch of a page goes when nothing in it is important.
 
 Entropy cannot tell a menu whose words vary from content, nor a paragraph
-that copies of a page share from boilerplate. So nodes whose role is plain
-have a fixed importance: 0 for menus, headers, footers, asides, adverts,
-notices, forms, scripts and comments (by tag, class, id or role), 1 for
-headings and paragraphs; the tree decides on all others. Where a page marks
-an article or main part, only that part is read, and of an unimportant branch
-in it only the texts go that repeat on pages of other text.
+that copies of a page share from boilerplate. So elements that are what they are
+by their tag have a fixed importance: 0 for nav, header, footer, aside, script
+and the like, 1 for headings and paragraphs; the tree decides on all others. A
+class, id or role that names boilerplate, or a form, is only a suspicion: the
+branch goes unless it holds ``MOST`` of what the part around it says and the
+host's other pages do not, which a wrapper of the content does and a menu not.
+Where a page marks an article or main part, only that part is read, and of an
+unimportant branch in it only the texts go that repeat on pages of other text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,10 +35,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import extended, runs, strings
-from footfall.operators.joins import salted_left_join
 
 IMPORTANCE = 0.3  # of a node below which it counts as boilerplate
-MIN_PAGES = 3  # of different texts, of a host before entropy says anything
+MOST = 0.9  # of the text around it that a suspicious branch holds if it is content
+MIN_PAGES = 2  # of different texts: one page alone has no entropy
+HOT_SHARE = 1000  # hosts with more than 1 / this of all pages are spread: so many at most
+SPREAD = 64  # tasks over which the pages of such a host are spread
 
 # HTML's element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,7 +57,7 @@ INLINE = set(
 CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dd", "dt", "html", "body", "legend"}
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-NO_CONTENT = set("nav header footer aside form script style template select button svg canvas object dialog menu head title noscript iframe textarea".split())
+NO_CONTENT = set("nav header footer aside script style template select button svg canvas object dialog menu head title noscript iframe textarea".split())
 CONTENT = set("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 BOILERPLATE = set(
@@ -75,6 +80,7 @@ class Node:
     parent: int
     role: int | None  # fixed importance, or None
     owner: int  # the node itself, or for an inline element the one its text belongs to
+    suspect: bool  # named like boilerplate, or a form
     children: list[int] = field(default_factory=list)  # label hashes, in order
 
 
@@ -88,35 +94,37 @@ def _hash(*parts: object) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(map(str, parts)).encode("utf-8", "replace")) >> 1
 
 
-def _label(tag: str, attrs: str) -> tuple[str, int | None]:
-    """A node's label and the importance its role fixes."""
+def _label(tag: str, attrs: str) -> tuple[str, int | None, bool]:
+    """A node's label, the importance its tag fixes, and whether it looks like boilerplate."""
     names: list[str] = []
     role = 0 if tag in NO_CONTENT else 1 if tag in CONTENT else None
+    suspect = tag == "form"
     for key, *values in ATTR.findall(attrs) if "=" in attrs else ():
         value = "".join(values).lower()
         found = NAME.findall(value)
         if key.lower() == "role":
-            if ROLES.intersection(found):
-                role = 0
+            suspect |= not ROLES.isdisjoint(found)
         elif tag not in ("html", "body", "article", "main") or key.lower() == "class" and tag == "article":
-            if BOILERPLATE.intersection(found):
-                role = 0
+            suspect |= not BOILERPLATE.isdisjoint(found)
         names += sorted(set(found))
-    return " ".join([tag, *names]), role
+    return " ".join([tag, *names]), None if suspect and role else role, suspect and role != 0
 
 
 def parse(source: str) -> Page:
     """Elements and texts of a page. Unclosed and stray tags are read as
     browsers do: a block ends an open paragraph, an item ends its sibling, an
     end tag ends all that is open within its element."""
-    nodes = [Node("", 0, -1, None, 0)]
+    nodes = [Node("", 0, -1, None, 0, False)]
+    opened: Counter[str] = Counter()  # elements by tag, so that no search is made in vain
     texts: list[tuple[int, int, str]] = []
     stack, block, at, end = [0], 0, 0, len(source)
 
     def close(upto: int) -> None:
         nonlocal block
         while len(stack) > upto:
-            block += nodes[stack.pop()].tag in BLOCKS
+            tag = nodes[stack.pop()].tag
+            opened[tag] -= 1
+            block += tag in BLOCKS
 
     def say(lo: int, hi: int) -> None:
         if lo < hi:
@@ -133,18 +141,20 @@ def parse(source: str) -> Page:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if m[1] and not opened[tag]:
+            continue
         if m[1]:
             for depth in range(len(stack) - 1, 0, -1):
                 if nodes[stack[depth]].tag == tag:
                     close(depth)
                     break
             continue
-        if tag in CLOSES_P:
+        if opened["p"] and tag in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):
                 if nodes[stack[depth]].tag == "p":
                     close(depth)
                     break
-        if tag in SIBLINGS:
+        if tag in SIBLINGS and any(opened[t] for t in SIBLINGS[tag]):
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = nodes[stack[depth]].tag
                 if open_tag in SCOPES[tag]:
@@ -158,24 +168,25 @@ def parse(source: str) -> Page:
             block += 1
         if tag in VOID:
             continue
-        label, role = _label(tag, m[3])
-        if tag == "header" and any(nodes[s].tag == "article" for s in stack):
+        label, role, suspect = _label(tag, m[3])
+        if tag == "header" and opened["article"]:
             role = None  # the title block of an article
         parent = stack[-1]
-        inline = tag in INLINE and role is None
+        inline = tag in INLINE and role is None and not suspect
         if not inline:
             nodes[parent].children.append(_hash(label))
         if m[3].rstrip().endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
         if inline:
-            nodes.append(Node(tag, nodes[parent].path, parent, None, nodes[parent].owner, nodes[parent].children))
+            nodes.append(Node(tag, nodes[parent].path, parent, None, nodes[parent].owner, False, nodes[parent].children))
         else:
-            nodes.append(Node(tag, _hash(nodes[parent].path, label), parent, role, len(nodes)))
+            nodes.append(Node(tag, _hash(nodes[parent].path, label), parent, role, len(nodes), suspect))
         if tag in RAW:
             done = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
             at = done.end() if done else end
             continue
         stack.append(len(nodes) - 1)
+        opened[tag] += 1
     return Page(nodes, texts)
 
 
@@ -183,17 +194,44 @@ def _flat(text: str) -> str:
     return SPACE.sub(" ", html.unescape(text)).strip()
 
 
-def _scope(page: Page) -> tuple[list[bool], list[bool], bool]:
-    """Of each node: whether it is in the part that is read, whether a role
-    removes it; and whether the page marks an article or main part."""
+def _parts(page: Page) -> tuple[list[bool], list[bool], list[bool], bool]:
+    """Of each node: whether it is in the part that is read, whether a tag
+    removes it, whether it is in a suspicious branch; and whether the page marks
+    an article or main part."""
     nodes = page.nodes
-    marks = [n.tag in ("article", "main") and n.role != 0 for n in nodes]
+    marks = [n.tag in ("article", "main") and not n.suspect for n in nodes]
     marked = any(marks)
-    inside, gone = [False] * len(nodes), [False] * len(nodes)
+    inside, gone, suspect = [False] * len(nodes), [False] * len(nodes), [False] * len(nodes)
     for i, n in enumerate(nodes):
         up = n.parent
         inside[i] = not marked or marks[i] or up >= 0 and inside[up]
         gone[i] = n.role == 0 or up >= 0 and gone[up]
+        suspect[i] = n.suspect or up >= 0 and suspect[up]
+    return inside, gone, suspect, marked
+
+
+def _scope(page: Page, repeated: set[int]) -> tuple[list[bool], list[bool], bool]:
+    """Of each node: whether it is in the part that is read, whether it is
+    removed by its tag or as boilerplate; and whether the page marks a part."""
+    nodes = page.nodes
+    inside, gone, suspect, marked = _parts(page)
+    if not any(suspect):
+        return inside, gone, marked
+    says = [0] * len(nodes)  # text of the branch that pages of other text do not have
+    for (node, _), text in _own_texts(page).items():
+        if inside[node] and not gone[node] and _saying(nodes[node].path, text, True) not in repeated:
+            says[node] += len(text)
+    for i in range(len(nodes) - 1, 0, -1):
+        says[nodes[i].parent] += says[i]
+    around = [says[0]] * len(nodes)
+    for i, n in enumerate(nodes[1:], 1):
+        around[i] = around[n.parent]
+        if n.suspect and not gone[n.parent] and not gone[i]:
+            if says[i] and says[i] >= MOST * around[i]:
+                around[i] = says[i]
+            else:
+                gone[i] = True
+        gone[i] = gone[i] or gone[n.parent]
     return inside, gone, marked
 
 
@@ -206,7 +244,8 @@ def _own_texts(page: Page) -> dict[tuple[int, int], str]:
 
 
 def _saying(path: int, text: str, in_article: bool) -> int:
-    """Feature of a text; odd if it stands in a marked article or main part."""
+    """Feature of a text; odd if it stands in a marked article or main part or
+    in a suspicious branch, where it matters whether pages repeat it."""
     return _hash(path, "text", text) & ~1 | in_article
 
 
@@ -217,16 +256,16 @@ def features(page: Page) -> dict[tuple[int, int], int]:
     """(path, feature) -> times: child sequences and own texts of the page's
     nodes, but for those whose importance a role fixes."""
     out = {(HOST, 0): 1}
-    inside, gone, marked = _scope(page)
-    free = [n.role is None and n.owner == i and not gone[i] for i, n in enumerate(page.nodes)]
+    inside, gone, suspect, marked = _parts(page)
+    free = [n.role is None and n.owner == i and not gone[i] and not suspect[i] for i, n in enumerate(page.nodes)]
     for i, node in enumerate(page.nodes):
         if i and free[i]:
             key = (node.path, _hash("children", *node.children) & ~1)
             out[key] = out.get(key, 0) + 1
     for (node, _), text in _own_texts(page).items():
-        if free[node]:
+        if free[node] or suspect[node] and not gone[node]:
             path = page.nodes[node].path
-            key = (path, _saying(path, text, marked and inside[node]))
+            key = (path, _saying(path, text, suspect[node] or marked and inside[node]))
             out[key] = out.get(key, 0) + 1
     return out
 
@@ -235,10 +274,10 @@ def main_text(page: Page, low: set[int], repeated: set[int]) -> str:
     """Text of the branches that hold something important, one block a line. In
     a marked part the others lose the texts that ``repeated`` has."""
     nodes = page.nodes
-    inside, gone, marked = _scope(page)
+    inside, gone, marked = _scope(page, repeated)
     alive = [n.role == 1 or n.role is None and n.path not in low for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
-        if alive[i] and nodes[i].role != 0:
+        if alive[i] and not gone[i]:
             alive[nodes[i].parent] = True  # a branch stays for what it holds
     idle = [False] * len(nodes)
     for i, n in enumerate(nodes[1:], 1):
@@ -286,7 +325,7 @@ def _styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """host, path, pages and importance of the nodes of each host's tree that
-    no role decides, from ``host`` and ``html``, and ``repeated``: the node's
+    no tag decides, from ``host`` and ``html``, and ``repeated``: the node's
     texts in marked parts that ``MIN_PAGES`` pages or more have.
 
     Of pages with the same text one counts. With c uses of a feature, c_j of
@@ -338,6 +377,11 @@ def page_texts(pages: DataFrame) -> DataFrame:
             )
 
     schema = extended(given.select("page_id", "url"), text="string", n_chars="long")
-    # A host may hold a third of all pages: its pages are spread over as many tasks as there are partitions.
-    known = salted_left_join(given, low, ["host"], salt_col=None)
+    # A host may hold a third of all pages: the pages of such hosts, a bounded number, are spread.
+    sizes = given.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.filter(F.col("n") * HOT_SHARE > sizes.select(F.sum("n")).scalar()).select("host", F.lit(SPREAD).alias("spread"))
+    spread = lambda df: df.join(F.broadcast(hot), "host", "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
+    pages_by = spread(given).withColumn("salt", F.pmod(F.xxhash64("html"), F.col("spread")).cast("int"))
+    low_by = spread(low).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1))).drop("spread")
+    known = pages_by.join(low_by, ["host", "salt"], "left")
     return known.select("page_id", "url", "html", "low", "repeated").mapInArrow(run_all, schema)
