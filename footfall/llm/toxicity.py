@@ -218,7 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     """Train on about ``sample_rows`` labelled documents of each class, all if
     fewer: a label belongs to the sample if a hash of its id is below the share
     wanted. Label rows without an id or label are ignored; of labels that
-    repeat for an id the largest counts."""
+    repeat for an id the largest counts. Of rows that share an id one is learnt
+    from, so the sample stays bounded however often rows repeat."""
     marked = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     per = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     wanted = F.lit(0.0)
@@ -228,7 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     rows = (
         docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(chosen), "doc_id")  # about sample_rows of each class
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))  # one text a label
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("text", "ascending")])
     )
