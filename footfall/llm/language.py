@@ -6,8 +6,8 @@ to 1) of which any of its character n-grams was seen, and scores by the mean
 log frequency of those. A text takes the language of the largest sum.
 
 Counts come from a bounded sample of labelled rows (``SAMPLE_ROWS`` expected
-per language) and are made by Spark; the model keeps the most frequent
-entries, ``MODEL_ENTRIES`` at most over all languages.
+of each of the ``LANGUAGES`` most frequent labels) and are made by Spark; the
+model keeps every entry of the sample.
 """
 
 from __future__ import annotations
@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import WORD_CACHE, extended, held_out, mix, runs, strings, unit_hash, without
 
-SAMPLE_ROWS = 2000
-MODEL_ENTRIES = 400_000
+SAMPLE_ROWS = 500
+LANGUAGES = 500  # labels that are learnt: a column of dirty labels does not grow the sample
 LONGEST = 5
 EASE = 0.5  # added to every count
 SURE_WORDS = 20  # words after which more of them add no certainty to the score
@@ -130,26 +130,25 @@ def build(rows: list[tuple[str, int, str, int]]) -> Model:
     return Model(langs, names[0], logs[0], grams)
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = MODEL_ENTRIES) -> Model:
+def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> Model:
     """Learn from ``text`` and non-null ``lang`` of about ``sample_rows`` rows of
-    each language (a hash of the id below the share wanted)."""
+    each language (a hash of the id and text below the share wanted), of the
+    ``languages`` that have the most rows (of equals, those that sort first)."""
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("lang is not null")
-    per = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    per = {r.lang: r.n for r in counts.orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not per:
         return Model([], {}, np.empty((0, 0)), {})
     wanted = F.lit(0.0)
     for lang, n in sorted(per.items()):
         wanted = F.when(F.col("lang") == lang, F.lit(sample_rows / n)).otherwise(wanted)
-    sample = rows.filter(unit_hash("doc_id", F.lit(SEED)) < wanted).select("text", "lang")
+    sample = rows.filter(unit_hash("doc_id", F.xxhash64("text"), F.lit(SEED)) < wanted).select("text", "lang")
     counts = (
         sample.mapInArrow(_count, "lang string, size int, entry string, n long")
         .groupBy("lang", "size", "entry")
         .agg(F.sum("n").alias("n"))
     )
-    keep = max(100, entries // (len(per) * (LONGEST + 1)))
-    order = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry")
-    top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep)
-    table = top.select("lang", "size", "entry", "n").toArrow().to_pydict()  # ``entries`` rows at most
+    table = counts.toArrow().to_pydict()  # the entries of the sample
     return build(list(zip(table["lang"], table["size"], table["entry"], table["n"])))
 
 
@@ -191,7 +190,7 @@ def language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     learnt get ``und`` and 0. Ties go to the language that sorts first. All
     rows stay; columns already named so are replaced."""
     docs = without(docs, "lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_ENTRIES entries at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the entries of a bounded sample
     at = docs.columns.index(text_col)
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
