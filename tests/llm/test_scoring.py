@@ -79,3 +79,62 @@ def test_language_of_odd_texts_and_tables(spark):
     assert lang.languages(docs.filter("false")).collect() == []
     unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in lang.languages(unlabelled).collect()} == {"und"}
+
+
+def plain_language(model, text):
+    """The language of a text, word by word."""
+    total = np.zeros(len(model.langs))
+    known = {n: set(table.tolist()) for n, (table, _) in model.grams.items()}
+    words = lang.LETTERS(text.lower())
+    for word in words:
+        if word in model.words:
+            total += model.word_logs[model.words[word]]
+            continue
+        for n in range(lang.LONGEST, 0, -1):
+            hashes = [int(lang._hashes([g], n)[0][0]) for g in lang.grams(word, n)]
+            hits = [h for h in hashes if h in known.get(n, ())]
+            if hits:
+                table, logs = model.grams[n]
+                total += np.mean([logs[np.searchsorted(table, np.uint64(h))] for h in hits], axis=0)
+                break
+    return model.langs[int(np.argmax(total))] if words else "und"
+
+
+def test_language_against_a_plain_walk(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = lang.fit(docs.filter("doc_id % 4 = 0"), 40)
+    texts = [r.text[:400] for r in docs.filter("doc_id % 4 = 1").select("text").limit(80).collect()]
+    texts += ["qzxv wwkk", "Ünbekannt", "a", "", "1 2"]
+    assert lang.Identifier(model)(texts)[0] == [plain_language(model, t) for t in texts]
+
+
+def test_language_learns_the_labels_with_most_rows(spark):
+    rows = [(i, f"word{'abcdefgh'[i % 3]} text", ["en", "de", f"dirty {i}"][i % 3]) for i in range(300)]
+    model = lang.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), languages=2)
+    assert model.langs == ["de", "en"]
+
+
+def plain_toxicity(model, text):
+    """Probability of label 1 of the most toxic window, word by word."""
+    words = tox.words_of(text)
+    if not words:
+        return 1 / (1 + np.exp(-model.offset))
+    each = model.words(words)
+    most = max(sum(each[i : i + tox.WINDOW]) for i in range(max(1, len(words) - tox.WINDOW + 1)))
+    return 1 / (1 + np.exp(-(model.offset + most / tox.WINDOW)))
+
+
+def test_toxicity_against_a_plain_walk(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars < 4000")
+    model = tox.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), 60)
+    got = tox.toxicity(docs.select("doc_id", "text").limit(120), model).collect()
+    assert all(abs(r.score - plain_toxicity(model, r.text)) < 1e-6 for r in got)
+
+
+def test_one_text_of_a_repeated_id_is_learnt(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tox, "train", lambda texts, labels: seen.append((texts, labels.tolist())))
+    docs = spark.range(100_000).selectExpr("id % 10 as doc_id", "concat('text ', id % 20) as text")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(10)], "doc_id long, quality int, toxic int")
+    tox.fit(docs, labels)
+    assert len(seen[0][0]) == 10 and seen[0][1] == [i % 2 for i in range(10)]
