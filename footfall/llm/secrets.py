@@ -46,6 +46,17 @@ def _long_enough(rule: int, match: bytes) -> bool:
     return len(VALUE.match(match.decode())[1] if kind == "assign" else match) >= least
 
 
+def _places(data: bytes, at: set[int]) -> dict[int, int]:
+    """Code points before each of the given bytes, counted in one pass."""
+    if data.isascii():
+        return {b: b for b in at}
+    out, last, count = {}, 0, 0
+    for b in sorted(at):
+        count += len(data[last:b].decode())
+        out[b], last = count, b
+    return out
+
+
 def find(scanner: Scanner, texts: list[str]) -> list[list[tuple[str, int, int]]]:
     """Spans (kind, start, end) of each text, by start, then as the kinds are listed.
     A match that is too short is dropped; what it covered is not searched again."""
@@ -56,8 +67,8 @@ def find(scanner: Scanner, texts: list[str]) -> list[list[tuple[str, int, int]]]
             found[doc].append((start, rule, end))
     out = []
     for data, spans in zip(raw, found):
-        place = (lambda b: b) if data.isascii() else (lambda b, d=data: len(d[:b].decode()))
-        out.append([(RULES[r][0], place(s), place(e)) for s, r, e in sorted(spans)])
+        place = _places(data, {b for s, _, e in spans for b in (s, e)})
+        out.append([(RULES[r][0], place[s], place[e]) for s, r, e in sorted(spans)])
     return out
 
 
