@@ -44,6 +44,27 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HOT_SHARE = 1000  # a key is hot if it has more than 1 / this of all rows: so many keys at most
+SPREAD = 64  # tasks over which the rows of a hot key are spread
+
+
+def hot_keys(df: DataFrame, key: str, rows: str | None = None) -> DataFrame:
+    """The hot keys of ``df``, whose rows stand for ``rows`` rows each (one, if not given)."""
+    n = F.sum(rows) if rows else F.count(F.lit(1))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(n.alias("_n"))
+    return counts.filter(F.col("_n") * HOT_SHARE > counts.select(F.sum("_n")).scalar()).select(key)
+
+
+def spread_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on ``key`` in which the rows of hot keys (``hot_keys``) are dealt over
+    ``SPREAD`` tasks by a hash of the row, and their rows of ``dim`` repeated."""
+    mark = F.broadcast(hot.select(key, F.lit(SPREAD).alias("_spread")))  # HOT_SHARE rows at most
+    dealt = facts.withColumn("_row", F.xxhash64(*facts.columns)).join(mark, key, "left")
+    dealt = dealt.withColumn("_salt", F.pmod("_row", F.coalesce("_spread", F.lit(1))).cast("int")).drop("_row", "_spread")
+    again = dim.join(mark, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1))).drop("_spread")
+    return dealt.join(again, [key, "_salt"], how).drop("_salt")
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns of ``df`` whose names an operator is about to add."""
     low = {n.lower() for n in names}

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import WordIds, hash_family, mix, runs, shingles, stored, strings, word_ids
+from footfall.llm.common import WordIds, hash_family, hot_keys, mix, runs, shingles, spread_join, stored, strings, word_ids
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -226,9 +226,10 @@ def components(edges: DataFrame) -> DataFrame:
         edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
     )
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")), "roots")
+    hubs = stored(hot_keys(both, "b"), "hubs")
     while True:
         near = (
-            both.join(labels, both.b == labels.node)
+            spread_join(both, labels.withColumnRenamed("node", "b"), "b", hubs)
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("root").alias("near"))
         )
@@ -308,12 +309,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     grouped = linked.join(members.select(F.col("set_key").alias("key"), "name"), "key")
     heads = grouped.groupBy("root").agg(F.min("name").alias("head"))
-    classes = grouped.select("key", "links", "root").join(heads, "root")
+    classes = spread_join(grouped.select("key", "links", "root"), heads, "root", hot_keys(grouped, "root"))
     named = members.select("set_key", "name", "copies").join(classes, F.col("set_key") == F.col("key"), "left").select(
         "set_key", "copies", "links", F.coalesce("root", "set_key").alias("class_key"), F.coalesce("head", "name").alias("head")
     )
-    own = marks.select("doc_id", "text_hash", F.when(F.length("set_key") > 0, F.col("set_key")).alias("set_key"))
-    return own.join(named, "set_key", "left").select(
+    # A set may have many copies, and many texts no words: the first are spread, the others not joined.
+    own = worded.select("doc_id", "text_hash", "set_key")
+    placed = spread_join(own, named, "set_key", hot_keys(members, "set_key", "copies"), "left")
+    nameless = marks.filter(F.coalesce(F.length("set_key"), F.lit(0)) == 0).select("doc_id", "text_hash", F.lit(None).cast(marks.schema["set_key"].dataType).alias("set_key"))
+    return placed.unionByName(nameless, allowMissingColumns=True).select(
         "doc_id", "text_hash",
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),

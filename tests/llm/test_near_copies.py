@@ -84,3 +84,23 @@ def test_pruning_bound_is_the_posterior():
     for n, least in zip((32, 64, 96, 128, 160), nc.least_matches(5, 32, 0.8, 1e-6)):
         tail = lambda m: sum(comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(m + 1))
         assert tail(least) >= 1e-6 > tail(least - 1)
+
+
+def test_hot_sets_and_hot_classes(spark):
+    rng = random.Random(8)
+    texts = ["the same text for a third of all the rows"] * 300 + variants(60, 200, 3, 5) + [""] * 200
+    texts += [" ".join(f"u{rng.randrange(10**6)}" for _ in range(30)) for _ in range(100)]
+    rows = list(enumerate(texts))
+    got = nc.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=str) == brute(rows)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(3)
+    long = [f"w{rng.randrange(10**7)}" for _ in range(150_000)]
+    near = list(long)
+    for i in range(0, len(near), 100):
+        near[i] = "changed"
+    texts = [" ".join(long), " ".join(near), "word " * 200_000, "x" * 1_000_000]
+    got = nc.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == [(0, 0, 1), (1, 0, 1), (2, 2, 0), (3, 3, 0)]

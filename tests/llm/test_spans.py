@@ -227,3 +227,11 @@ def test_license_with_changes_is_verified_by_containment(spark):
 
 def test_bands_guarantee():
     assert (1 - 0.5**lic.ROWS) ** lic.BANDS <= lic.MISS
+
+
+def test_places_in_texts_that_are_not_ascii():
+    text = "é secret=abcdefgh1 😀 " * 30_000
+    t0 = time.monotonic()
+    spans = sec.find(sec._scanner(), [text])[0]
+    assert time.monotonic() - t0 < 60 and len(spans) == 30_000
+    assert all(text[a:b] == "secret=abcdefgh1" for _, a, b in spans)
