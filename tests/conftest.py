@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,7 +17,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="footfall-tests", shuffle_partitions=4)
+    shared = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="footfall-tests-")}
+    s = build_session("local[4]", app_name="footfall-tests", shuffle_partitions=4, extra=shared)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
