@@ -25,7 +25,9 @@ from footfall.sources.tables import read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text scores below the rejection score; learnt from all labelled rows."""
+    """Rows whose text scores below the rejection score; learnt from a bounded
+    sample of the labelled rows. Null and empty texts score as the empty text,
+    and rows that repeat score alike."""
     model = fit(docs, read_table(spark, sf_dir, "labels"))
     scored = toxicity(docs, model, score_col="_toxicity")
     return scored.filter(F.col("_toxicity") < REJECT).select(*docs.columns)
@@ -45,19 +47,22 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
+    """Rows that hold no benchmark item. Null and empty texts hold none; rows that
+    repeat stay or go together."""
     return without_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, their secrets replaced by a mask; ``n_chars`` counts the new text."""
+    """All rows, their secrets replaced by a mask; ``n_chars`` counts the new
+    text. Null and empty texts, and rows without a secret, stay as they are."""
     found = secrets(docs, out_col="_secrets").withColumn("text", masked("text", "_secrets"))
     changed = F.when(F.size("_secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return found.withColumn("n_chars", changed).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents, by epoch, of the weighted mix."""
+    """Documents, by epoch, of the weighted mix; see ``mixture`` for nulls, empty
+    texts and rows that repeat."""
     return mixture(docs).drop("text_hash")
 
 
