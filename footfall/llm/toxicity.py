@@ -34,6 +34,7 @@ EASE = 3.0  # rows of either class added to a subword's count
 MARGIN = 1.0  # log-odds of evidence a subword needs to be learnt
 REJECT = 0.7
 WORDS_AT_ONCE = 20_000
+PIECE_WORDS = 1 << 18  # words of whole texts whose windows training holds at a time
 SEED = 7
 SPLIT = re.compile(r"\S+").findall
 EDGES = ".,;:!?\"'()[]{}<>«»„“”…-"
@@ -96,6 +97,33 @@ def _windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, start + np.repeat(np.minimum(counts, WINDOW), per), per
 
 
+class Piece:
+    """The windows of some whole texts, laid out once and scored in every epoch."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, y: np.ndarray, cost: np.ndarray):
+        start, end, per = _windows(counts)
+        self.ids, self.y, self.cost = ids, y, cost
+        self.start, self.end = start.astype(np.int32), end.astype(np.int32)
+        self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), per)
+        self.first = np.cumsum(per) - per
+
+    def slopes(self, score: np.ndarray, offset: float, heat: float) -> tuple[float, np.ndarray]:
+        """Gradient of the loss on the offset and on the score of each word of the
+        vocabulary. ``heat`` sets each window's share in its text's score: even at
+        0, then ever more the top ones."""
+        run = np.r_[0.0, np.cumsum(score[self.ids])]
+        z = (run[self.end] - run[self.start]) / WINDOW + offset
+        share = np.exp(np.minimum(heat * (z - np.maximum.reduceat(z, self.first)[self.doc]), 0))
+        share /= np.add.reduceat(share, self.first)[self.doc]
+        p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(share * z, self.first), -30, 30)))
+        slope = (p - self.y) * self.cost
+        each = slope[self.doc] * share
+        step = np.zeros(len(self.ids) + 1)  # every window starts and ends at words of its own
+        step[self.start] += each
+        step[self.end] -= each
+        return slope.sum(), np.bincount(self.ids, np.cumsum(step[:-1]), len(score)) / WINDOW
+
+
 def train(texts: list[str], labels: np.ndarray) -> Model:
     """Fit embeddings and softmax together: full-batch Adam on the log loss of
     each document's most toxic window, after rounds on its average window.
@@ -146,34 +174,31 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     owner = np.concatenate(owner_known)
     scale = (1.0 / np.concatenate(sizes))[owner].astype(np.float32)
     model.bias[0] = 2.0
-    start, end, per = _windows(counts)
-    window_doc = np.repeat(np.arange(len(use)), per)
-    doc_start = np.cumsum(per) - per
     cost = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())).astype(np.float32)
+    ends = np.cumsum(counts)
+    cuts = [0, *(np.flatnonzero(np.diff((ends - counts) // PIECE_WORDS)) + 1), len(counts)]
+    parts = [
+        Piece(ids[ends[lo] - counts[lo] : ends[hi - 1]], counts[lo:hi], y[lo:hi], cost[lo:hi])
+        for lo, hi in zip(cuts, cuts[1:])
+    ]
     table = model.table[used]
     params = [table, model.weight, model.bias]
     m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for epoch in range(1, EPOCHS + 1):
         tilt = model.weight[1] - model.weight[0]
         score = np.bincount(owner, (table @ tilt)[slot] * scale, len(vocab))
-        run = np.r_[0.0, np.cumsum(score[ids])]
-        z = (run[end] - run[start]) / WINDOW + (model.bias[1] - model.bias[0])
-        # Share of each window in its document's score: even at first, then the top ones.
         heat = 12.0 * max(0.0, epoch / EPOCHS - 0.2)
-        share = np.exp(np.minimum(heat * (z - np.maximum.reduceat(z, doc_start)[window_doc]), 0))
-        share /= np.add.reduceat(share, doc_start)[window_doc]
-        p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(share * z, doc_start), -30, 30)))
-        g_window = ((p - y) * cost)[window_doc] * share
-        step = np.zeros(len(ids) + 1)  # every window starts and ends at words of its own
-        step[start] += g_window
-        step[end] -= g_window
-        g_word = np.bincount(ids, np.cumsum(step[:-1]), len(vocab)) / WINDOW
+        g_offset, g_word = 0.0, np.zeros(len(vocab))
+        for part in parts:
+            g_part, g_words = part.slopes(score, model.bias[1] - model.bias[0], heat)
+            g_offset += g_part
+            g_word += g_words
         g_row = np.bincount(slot, g_word[owner] * scale, len(used))
         g_tilt = g_row @ table
         grads = [
             g_row[:, None] * tilt[None, :],
             np.stack([-g_tilt, g_tilt]),
-            np.array([-1.0, 1.0]) * ((p - y) * cost).sum(),
+            np.array([-1.0, 1.0]) * g_offset,
         ]
         for x, g, a, b in zip(params, grads, m1, m2):
             a += 0.1 * (g - a)
