@@ -3,6 +3,7 @@ streaming inputs alike (except where a docstring says otherwise)."""
 
 from footfall.operators.accounting import audit_intervals, merged_findings, offset_intervals, unbalanced
 from footfall.operators.aggregate import aggregate_traffic, aggregate_traffic_exact
+from footfall.operators.asof import asof_left_join
 from footfall.operators.changelog import changelog_by_batch, latest_by_count, latest_per_key
 from footfall.operators.enrich import (
     enrich_with_time_flags,
@@ -33,6 +34,7 @@ __all__ = [
     "accepted_events",
     "aggregate_traffic",
     "aggregate_traffic_exact",
+    "asof_left_join",
     "audit_intervals",
     "duplicate_ids",
     "merged_findings",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from footfall.fixed import TRIGGER_MS
 from footfall.functions.payload import is_utf8
 from footfall.operators.aggregate import aggregate_traffic
+from footfall.operators.asof import asof_left_join
 from footfall.operators.changelog import changelog_by_batch, latest_per_key
 from footfall.operators.enrich import (
     enrich_with_time_flags,
@@ -36,7 +37,7 @@ from footfall.plans.output import present
 from footfall.schemas import SENSOR_EVENT_FIELDS
 from footfall.session import ensure_utc
 from footfall.sources.bus import bus_envelope
-from footfall.sources.dimensions import stores_dimension, zones_dimension
+from footfall.sources.dimensions import store_campaigns, stores_dimension, zones_dimension
 from footfall.sources.events import sensor_events, sensor_events_with_offset
 from footfall.sources.replay import replay_slice
 
@@ -187,6 +188,12 @@ def q39_odd_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_events(decoded).select("offset", "reject_reason", *SENSOR_EVENT_FIELDS)
 
 
+def q40_asof_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events with the version of their store's campaign that was valid at their time."""
+    events = clean_timed_events(spark, sf_dir).select("event_id", "store_id", "event_time")
+    return present(asof_left_join(events, store_campaigns(spark, sf_dir), ["store_id"]))
+
+
 def _with_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
@@ -207,5 +214,6 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q09_changelog, q10_latest_stats, q11_live_visitors, q12_store_performance,
         q13_zone_share, q14_dim_enriched, q15a_demographics, q15b_reference_check,
         q16_quality_profile, *streamed.STREAMED, q21_local_time_flags, q36_duplicate_ids, q39_odd_fields,
+        q40_asof_campaign,
     ]
     return {f.__name__: _with_utc(f) for f in sorted(fns, key=lambda f: f.__name__)}

@@ -323,6 +323,30 @@ SELECT src_id AS "offset",
 FROM s"""
 
 
+# The campaign of the event's store that started last, of those at or before it;
+# of campaigns that start together, the one of the greatest customer key (q40, q41).
+Q40 = _with(S, C, """
+v AS (
+  SELECT 'STORE_0' || cast(c_custkey % 3 + 1 AS VARCHAR) AS store_id,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(cast(c_custkey * 7919 % 720 AS INTEGER)) AS valid_from,
+         max(cast(c_custkey AS BIGINT)) AS version, arg_max(c_mktsegment, c_custkey) AS campaign
+  FROM customer GROUP BY ALL
+)""") + """
+SELECT c.event_id, c.store_id, c.event_time, v.valid_from, v.version, v.campaign
+FROM c ASOF LEFT JOIN v ON c.store_id = v.store_id AND c.event_time >= v.valid_from"""
+
+# Valid records of the bus, numbered per topic; legacy frames hold no fields (q42).
+Q42 = _with(S, """
+b AS (
+  SELECT *, 'sensors/' || coalesce(store_id, 'unassigned') AS topic, src_id % 103 <> 0 AS json
+  FROM s WHERE src_id % 101 <> 0
+)""") + """
+SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY src_id) AS seq, src_id AS "offset",
+       CASE WHEN json THEN event_id END AS event_id, CASE WHEN json THEN sensor_id END AS sensor_id,
+       CASE WHEN json THEN gender END AS gender
+FROM b"""
+
+
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL for every catalogue query, by name."""
     return {
@@ -366,4 +390,7 @@ def oracle_queries() -> dict[str, str]:
         "q37_state_rows": Q37,
         "q38_exact_traffic": Q38,
         "q39_odd_fields": Q39,
+        "q40_asof_campaign": Q40,
+        "q41_asof_stream": Q40,
+        "q42_ordered_forwarder": Q42,
     }

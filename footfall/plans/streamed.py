@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall.operators.accounting import audit_intervals, merged_findings
 from footfall.operators.aggregate import aggregate_traffic, aggregate_traffic_exact
@@ -32,6 +33,7 @@ from footfall.sinks.tables import (
     write_changelog,
 )
 from footfall.sources.bus import bus_envelope, topic_for_store
+from footfall.sources.dimensions import store_campaigns
 from footfall.sources.events import sensor_events
 from footfall.sources.replay import (
     DEFAULT_SLICE_MS,
@@ -48,8 +50,10 @@ from footfall.streaming.accounted import (
     read_accounted,
     read_intervals,
 )
+from footfall.streaming.forwarder import forwarder_writer, read_forwarded
 from footfall.streaming.traffic import (
     StreamResult,
+    accepted_event_stream,
     dead_letter_stream,
     intake_events,
     intake_stream,
@@ -57,6 +61,7 @@ from footfall.streaming.traffic import (
     state_rows,
     traffic_stream,
 )
+from footfall.streaming.versioned import read_versioned, versioned_writer
 
 TRAFFIC_ROUND = ("total_dwell_time",)
 TRAFFIC_COLUMNS = [f.name for f in TRAFFIC_STATS.fields]
@@ -391,9 +396,62 @@ def q38_exact_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(aggregate_traffic_exact(clean_timed_events(spark, sf_dir)))
 
 
+def q41_asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q40 by a stream: before each batch the campaigns that start in its days
+    are added to the stores' versions, and the running query sees them."""
+    root = scratch_path(spark, "q41_asof_stream")
+    source, versions, table = (os.path.join(root, k) for k in ("input", "versions", "table"))
+    campaigns = store_campaigns(spark, sf_dir).withColumn("_slice", replay_slice(F.unix_millis("valid_from")))
+    known = campaigns.drop("_slice").schema
+    last = -1
+    for n in replay_steps(replay_envelopes(spark, sf_dir), source, files_per_slice=_parallelism(spark)):
+        campaigns.filter(F.col("_slice").between(last + 1, n)).drop("_slice").write.mode("append").parquet(versions)
+        last = n
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        events = accepted_event_stream(stream, watermark_delay=None).select("event_id", "store_id", "event_time")
+        writer = versioned_writer(table, lambda s: s.read.schema(known).parquet(versions), ["store_id"])
+        run_query(spark, events, writer, os.path.join(root, "checkpoint"), output_mode="append")
+    columns = "event_id string, store_id string, event_time timestamp, valid_from timestamp, version long, campaign string"
+    return present(read_versioned(spark, table, StructType.fromDDL(columns)))
+
+
+def q42_ordered_forwarder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a forwarder has published, numbered per topic, of a bus with transport
+    faults that delivers the last tenth of each batch again with the next; the
+    writer of one batch is lost before its commit and the stream resumes."""
+    root = scratch_path(spark, "q42_ordered_forwarder")
+    source, table = os.path.join(root, "input"), os.path.join(root, "table")
+    lost: list[int] = []
+
+    def lose_one(batch_id: int) -> None:
+        if batch_id == 1 and not lost:
+            lost.append(batch_id)
+            raise RuntimeError("writer lost before its commit")
+
+    env = bus_envelope(spark, sf_dir, faults=True)
+    place = F.col("offset") * SCATTERED / (env.select(F.max("offset")).scalar() + 1)
+    env = env.withColumn("slice", F.floor(place))
+    again = env.filter((place - F.col("slice") >= 0.9) & (F.col("slice") < SCATTERED - 1))
+    bus = env.unionByName(again.withColumn("slice", F.col("slice") + 1))
+    for n in replay_steps(bus, source, files_per_slice=_parallelism(spark)):
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        job = dict(checkpoint=os.path.join(root, "checkpoint"), output_mode="append")
+        try:
+            run_query(spark, stream, forwarder_writer(table, lose_one), **job)
+        except Exception:
+            if n != 1 or lost != [1]:
+                raise
+            run_query(spark, stream, forwarder_writer(table, lose_one), **job)
+    if not lost:
+        raise RuntimeError("no writer was lost")
+    text = F.decode("value", "UTF-8")
+    fields = [F.get_json_object(text, f"$.{k}").alias(k) for k in ("event_id", "sensor_id", "gender")]
+    return read_forwarded(spark, table).select("topic", "seq", "offset", *fields)
+
+
 STREAMED = [
     q17_stream_traffic, q18_idempotent_sink, q19_bus_records, q20_late_data, q22_closed_windows, q23_table_append,
     q24_folded_table, q25_live_visitors_stored, q26_store_performance_stored, q27_zone_share_stored, q28_dead_letters,
     q29_stream_changelog, q30_intake_table, q31_intake_traffic, q32_once_table, q33_offset_audit, q34_late_records,
-    q35_batch_accounts, q37_state_rows, q38_exact_traffic,
+    q35_batch_accounts, q37_state_rows, q38_exact_traffic, q41_asof_stream, q42_ordered_forwarder,
 ]

@@ -62,6 +62,24 @@ def zones_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CAMPAIGN_HOURS = 720  # campaigns start within this many hours of CAMPAIGN_EPOCH
+CAMPAIGN_EPOCH = "2024-01-01 00:00:00"
+
+
+def store_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the stores: the campaign each runs from ``valid_from`` on, one
+    version per customer row (several may start in the same hour)."""
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    hours = F.col("c_custkey") * 7919 % CAMPAIGN_HOURS
+    start = F.unix_seconds(F.lit(CAMPAIGN_EPOCH).cast("timestamp")) + hours * 3600
+    return c.select(
+        store_id_for(F.col("c_custkey") % 3).alias("store_id"),
+        F.timestamp_seconds(start).alias("valid_from"),
+        F.col("c_custkey").cast("long").alias("version"),
+        F.col("c_mktsegment").alias("campaign"),
+    )
+
+
 def read_jdbc_dimension(
     spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
 ) -> DataFrame:
