@@ -347,6 +347,30 @@ SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY src_id) AS seq, src
 FROM b"""
 
 
+# Dashboards over the day windows of the batches so far (q43).
+Q43 = _with(S, C, """
+n AS (SELECT unnest([0, 1, 2, 3]) AS batch_id),
+t AS (
+  SELECT batch_id, time_bucket(INTERVAL 1 DAY, event_time) AS window_start, store_id, zone_id,
+         count(*) AS visitor_count, sum(dwell_time_seconds) AS dwell
+  FROM c JOIN n ON src_id % 4 <= batch_id GROUP BY ALL
+),
+newest AS (SELECT batch_id, max(window_start) AS window_start FROM t GROUP BY batch_id),
+per_zone AS (SELECT batch_id, store_id, zone_id, cast(sum(visitor_count) AS BIGINT) AS visitor_count FROM t GROUP BY ALL)
+""") + """
+SELECT batch_id, 'live' AS dashboard, window_start, cast(sum(visitor_count) AS BIGINT) AS visitor_count,
+       count(*) AS active_zones, NULL AS store_id, NULL AS zone_id, NULL AS total_dwell_time, NULL AS active_windows, NULL AS share
+FROM t JOIN newest USING (batch_id, window_start) GROUP BY batch_id, window_start
+UNION ALL BY NAME
+SELECT batch_id, 'stores' AS dashboard, store_id, cast(sum(visitor_count) AS BIGINT) AS visitor_count,
+       round(sum(dwell), 4) AS total_dwell_time, count(*) AS active_windows
+FROM t GROUP BY batch_id, store_id
+UNION ALL BY NAME
+SELECT batch_id, 'zones' AS dashboard, store_id, zone_id, visitor_count,
+       visitor_count / sum(visitor_count) OVER (PARTITION BY batch_id) AS share
+FROM per_zone"""
+
+
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL for every catalogue query, by name."""
     return {
@@ -393,4 +417,5 @@ def oracle_queries() -> dict[str, str]:
         "q40_asof_campaign": Q40,
         "q41_asof_stream": Q40,
         "q42_ordered_forwarder": Q42,
+        "q43_live_dashboards": Q43,
     }

@@ -50,6 +50,15 @@ from footfall.streaming.accounted import (
     read_accounted,
     read_intervals,
 )
+from footfall.streaming.dashboards import (
+    changelog_stream,
+    live_visitors_now,
+    place_totals,
+    places_writer,
+    read_places,
+    store_performance_now,
+    zone_share_now,
+)
 from footfall.streaming.forwarder import forwarder_writer, read_forwarded
 from footfall.streaming.traffic import (
     StreamResult,
@@ -449,9 +458,37 @@ def q42_ordered_forwarder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_forwarded(spark, table).select("topic", "seq", "offset", *fields)
 
 
+def q43_live_dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three dashboards after every batch of a change log whose keys are
+    corrected over four batches, kept by a stateful stream over that log."""
+    root = scratch_path(spark, "q43_live_dashboards")
+    source, log, places = (os.path.join(root, k) for k in ("input", "changelog", "places"))
+    env = bus_envelope(spark, sf_dir).withColumn("slice", F.pmod("offset", F.lit(SCATTERED)))
+    steps = 0
+    for _ in replay_steps(env, source, files_per_slice=_parallelism(spark)):
+        stream = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(source)
+        job = dict(state_partitions=_parallelism(spark))
+        traffic = traffic_stream(stream, watermark_delay="3650 days", window_duration="1 day")
+        run_query(spark, traffic, changelog_batch_writer(log), os.path.join(root, "checkpoint", "traffic"), **job)
+        totals = place_totals(changelog_stream(spark, log), "3651 days")
+        run_query(spark, totals, places_writer(places), os.path.join(root, "checkpoint", "dashboards"), **job)
+        steps += 1
+    shown = []
+    for n in range(steps):
+        held = read_places(spark, places, until=n)
+        for kind, rows in (("live", live_visitors_now(held)), ("stores", store_performance_now(held)), ("zones", zone_share_now(held))):
+            shown.append(rows.select(F.lit(n).cast("long").alias(BATCH_ID), F.lit(kind).alias("dashboard"), "*"))
+    out = shown[0].unionByName(shown[1], allowMissingColumns=True).unionByName(shown[2], allowMissingColumns=True)
+    for rows in shown[3:]:
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return present(out, TRAFFIC_ROUND)
+
+
 STREAMED = [
     q17_stream_traffic, q18_idempotent_sink, q19_bus_records, q20_late_data, q22_closed_windows, q23_table_append,
     q24_folded_table, q25_live_visitors_stored, q26_store_performance_stored, q27_zone_share_stored, q28_dead_letters,
     q29_stream_changelog, q30_intake_table, q31_intake_traffic, q32_once_table, q33_offset_audit, q34_late_records,
     q35_batch_accounts, q37_state_rows, q38_exact_traffic, q41_asof_stream, q42_ordered_forwarder,
+    q43_live_dashboards,
+    q43_live_dashboards,
 ]
