@@ -24,3 +24,12 @@ WINDOW_DURATION = "5 minutes"
 WATERMARK_DELAY = "10 minutes"
 TRIGGER_INTERVAL = "5 seconds"
 TRIGGER_MS = 5_000
+
+# Target shares of the demographics, as the events' producer draws them.
+TARGET_SHARES = {
+    "age_range": {"under_18": 0.10, "18-25": 0.20, "26-35": 0.25, "36-50": 0.30, "over_50": 0.15},
+    "gender": {"male": 0.48, "female": 0.48, "unknown": 0.04},
+}
+
+# 0.999 quantile of the chi-square distribution by degrees of freedom.
+CHI_SQUARE_999 = {1: 10.828, 2: 13.816, 3: 16.266, 4: 18.467, 5: 20.515, 6: 22.458, 7: 24.322, 8: 26.124, 9: 27.877}

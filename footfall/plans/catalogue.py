@@ -16,6 +16,7 @@ from footfall.functions.payload import is_utf8
 from footfall.operators.aggregate import aggregate_traffic
 from footfall.operators.asof import asof_left_join
 from footfall.operators.changelog import changelog_by_batch, latest_per_key
+from footfall.operators.distribution import dwell_sketches, exact_ranks, merged_quantiles, target_fit, within_rank_error
 from footfall.operators.enrich import (
     enrich_with_time_flags,
     join_dimensions,
@@ -194,6 +195,20 @@ def q40_asof_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(asof_left_join(events, store_campaigns(spark, sf_dir), ["store_id"]))
 
 
+def q44_dwell_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dwell-time quantiles per store, merged from one sketch per store and day,
+    and whether their exact ranks lie within the sketch's error bound."""
+    events = clean_timed_events(spark, sf_dir).select("store_id", "event_time", "dwell_time_seconds")
+    days = dwell_sketches(events.withColumn("day", F.to_date("event_time")), ["store_id", "day"])
+    ranked = exact_ranks(events, merged_quantiles(days, ["store_id"]), "store_id")
+    return ranked.select("store_id", "probability", "n_events", within_rank_error().alias("within_bound"))
+
+
+def q45_target_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chi-square of the demographics against the shares their producer draws them with."""
+    return target_fit(sensor_events(spark, sf_dir))
+
+
 def _with_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
@@ -214,6 +229,6 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q09_changelog, q10_latest_stats, q11_live_visitors, q12_store_performance,
         q13_zone_share, q14_dim_enriched, q15a_demographics, q15b_reference_check,
         q16_quality_profile, *streamed.STREAMED, q21_local_time_flags, q36_duplicate_ids, q39_odd_fields,
-        q40_asof_campaign,
+        q40_asof_campaign, q44_dwell_quantiles, q45_target_fit,
     ]
     return {f.__name__: _with_utc(f) for f in sorted(fns, key=lambda f: f.__name__)}

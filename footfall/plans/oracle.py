@@ -371,6 +371,38 @@ SELECT batch_id, 'zones' AS dashboard, store_id, zone_id, visitor_count,
 FROM per_zone"""
 
 
+# A sketch's quantiles differ from run to run; that they keep the bound does not (q44).
+Q44 = _with(S, C) + """
+SELECT store_id, probability, n_events, true AS within_bound
+FROM (SELECT store_id, count(*) AS n_events FROM c GROUP BY store_id),
+     (SELECT unnest([0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99])::DOUBLE AS probability)"""
+
+Q45 = _with(S, """
+target(dimension, value, share) AS (VALUES
+  ('age_range', 'under_18', 0.10::DOUBLE), ('age_range', '18-25', 0.20), ('age_range', '26-35', 0.25),
+  ('age_range', '36-50', 0.30), ('age_range', 'over_50', 0.15),
+  ('gender', 'male', 0.48), ('gender', 'female', 0.48), ('gender', 'unknown', 0.04)),
+seen AS (
+  SELECT 'age_range' AS dimension, age_range AS value FROM s UNION ALL SELECT 'gender', gender FROM s),
+per AS (
+  SELECT t.dimension, t.value, t.share, count(seen.value) AS o
+  FROM target t LEFT JOIN seen USING (dimension, value) GROUP BY ALL),
+n AS (SELECT dimension, sum(o) AS n FROM per GROUP BY dimension),
+x AS (
+  SELECT dimension, cast(n AS BIGINT) AS n_events, sum((o - n * share) * (o - n * share) / (n * share)) AS chi, cast(count(*) - 1 AS INTEGER) AS degrees
+  FROM per JOIN n USING (dimension) GROUP BY dimension, n)""") + """
+SELECT dimension, n_events, (SELECT count(*) FROM s) - n_events AS n_outside, round(chi, 4) AS chi_square, degrees,
+       chi <= CASE degrees WHEN 4 THEN 18.467 ELSE 13.816 END AS fits
+FROM x"""
+
+
+Q47 = _with(S, C, CURRENT) + """
+SELECT store_id, cast(sum(visitor_count) AS BIGINT) AS visitor_count,
+       round(sum(total_dwell_time), 4) AS total_dwell_time, count(*) AS active_windows
+FROM t WHERE store_id = 'STORE_01' AND window_start >= (SELECT max(window_start) FROM t) - INTERVAL 7 DAY
+GROUP BY store_id"""
+
+
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL for every catalogue query, by name."""
     return {
@@ -418,4 +450,8 @@ def oracle_queries() -> dict[str, str]:
         "q41_asof_stream": Q40,
         "q42_ordered_forwarder": Q42,
         "q43_live_dashboards": Q43,
+        "q44_dwell_quantiles": Q44,
+        "q45_target_fit": Q45,
+        "q46_live_visitors_clustered": Q11,
+        "q47_store_clustered": Q47,
     }

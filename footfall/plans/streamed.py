@@ -7,6 +7,7 @@ the shared checkpoint folder, then returns a DataFrame over what was written.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
@@ -22,6 +23,7 @@ from footfall.operators.serving import live_visitors, store_performance, zone_sh
 from footfall.plans.output import present
 from footfall.schemas import ENVELOPE, INTAKE, SENSOR_EVENT_FIELDS, TRAFFIC_STATS
 from footfall.session import scratch_path
+from footfall.sinks.clustered import ROWS_PER_FILE, newest_window, read_clustered, write_clustered
 from footfall.sinks.current import fold_changelog, read_current, read_newest_date
 from footfall.sinks.ledger import append_once, once_table_writer, read_once_table
 from footfall.sinks.tables import (
@@ -484,11 +486,41 @@ def q43_live_dashboards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(out, TRAFFIC_ROUND)
 
 
+CLUSTER_FILES = 64  # files of the clustered table at least, however small it is
+STORE, STORE_DAYS = "STORE_01", 7
+
+
+def clustered_table(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Path of the traffic rows clustered by store, zone and time."""
+    from footfall.plans.catalogue import traffic_current
+
+    path = os.path.join(scratch_path(spark, kind), "table")
+    rows = traffic_current(spark, sf_dir)
+    write_clustered(rows, path, rows_per_file=min(ROWS_PER_FILE, max(1, rows.count() // CLUSTER_FILES)))
+    return path
+
+
+def q46_live_visitors_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q11 from the clustered table: the index names the newest window and the
+    files that can hold it."""
+    path = clustered_table(spark, sf_dir, "q46_live")
+    return present(live_visitors(read_clustered(spark, path, since=newest_window(spark, path))))
+
+
+def q47_store_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume and dwell of one store over the last seven days, from the files
+    that can hold its rows."""
+    path = clustered_table(spark, sf_dir, "q47_store")
+    newest = newest_window(spark, path)
+    since = newest - dt.timedelta(days=STORE_DAYS) if newest else None
+    return present(store_performance(read_clustered(spark, path, {"store_id": STORE}, since)), TRAFFIC_ROUND)
+
+
 STREAMED = [
     q17_stream_traffic, q18_idempotent_sink, q19_bus_records, q20_late_data, q22_closed_windows, q23_table_append,
     q24_folded_table, q25_live_visitors_stored, q26_store_performance_stored, q27_zone_share_stored, q28_dead_letters,
     q29_stream_changelog, q30_intake_table, q31_intake_traffic, q32_once_table, q33_offset_audit, q34_late_records,
     q35_batch_accounts, q37_state_rows, q38_exact_traffic, q41_asof_stream, q42_ordered_forwarder,
     q43_live_dashboards,
-    q43_live_dashboards,
+    q43_live_dashboards, q46_live_visitors_clustered, q47_store_clustered,
 ]

@@ -80,8 +80,45 @@ def store_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jdbc_options(
+    url: str,
+    table: str,
+    columns: list[str] | None = None,
+    where: str | None = None,
+    split: tuple[str, int, int, int] | None = None,
+    properties: dict[str, str] | None = None,
+) -> dict[str, str]:
+    """Options of a JDBC read. ``columns`` and ``where`` (SQL of the database)
+    are put into the query it runs. ``split`` names a numeric column, its least
+    and greatest value and a number of tasks: each task reads a range of it,
+    rows beyond the bounds and nulls included, so the bounds decide how evenly
+    the work is spread and never which rows are read."""
+    source = table
+    if columns or where:
+        chosen = ", ".join(columns) if columns else "*"
+        source = f"(SELECT {chosen} FROM {table}{f' WHERE {where}' if where else ''}) chosen"
+    options = {**(properties or {}), "url": url, "dbtable": source}
+    if split:
+        column, least, greatest, tasks = split
+        if tasks < 1 or greatest < least:
+            raise ValueError("split needs a task and bounds in order")
+        if columns and column not in columns:
+            raise ValueError(f"the split column {column} is not read")
+        options |= {
+            "partitionColumn": column, "lowerBound": str(least), "upperBound": str(greatest + 1), "numPartitions": str(tasks),
+        }
+    return options
+
+
 def read_jdbc_dimension(
-    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: dict[str, str] | None = None,
+    columns: list[str] | None = None,
+    where: str | None = None,
+    split: tuple[str, int, int, int] | None = None,
 ) -> DataFrame:
-    """Read a dimension table from a relational database (needs its driver jar)."""
-    return spark.read.jdbc(url=url, table=table, properties=properties or {})
+    """Read a dimension table from a relational database (needs its driver jar);
+    see ``jdbc_options``."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, columns, where, split, properties)).load()

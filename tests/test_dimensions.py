@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import SF_SMALL, event
 from pyspark.sql import functions as F
 
@@ -113,3 +114,16 @@ def test_salt_spreads_a_hot_key(spark):
     assert out.filter("attr = 'v'").count() == 4000
     per_salt = facts.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(16))).count().collect()
     assert len(per_salt) == 16 and max(r["count"] for r in per_salt) < 4000 / 8
+
+
+def test_jdbc_read_is_split_and_pushed():
+    from footfall.sources.dimensions import jdbc_options
+
+    plain = jdbc_options("jdbc:x", "shops", properties={"user": "u"})
+    assert plain == {"user": "u", "url": "jdbc:x", "dbtable": "shops"}
+    split = jdbc_options("jdbc:x", "shops", ["id", "city"], "open = 1", ("id", 10, 99, 4))
+    assert split["dbtable"] == "(SELECT id, city FROM shops WHERE open = 1) chosen"
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "10", "100", "4")
+    for wrong in (("id", 9, 1, 4), ("id", 1, 9, 0), ("zip", 1, 9, 2)):
+        with pytest.raises(ValueError):
+            jdbc_options("jdbc:x", "shops", ["id", "city"], None, wrong)
