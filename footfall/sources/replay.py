@@ -65,8 +65,18 @@ def write_replay_files(
     slice_col: str = "slice",
     files_per_slice: int = 1,
 ) -> list[int]:
-    """Write all slices (see ``replay_steps``) and return their numbers."""
-    return list(replay_steps(envelope, root, slice_col, files_per_slice))
+    """Write all slices (see ``replay_steps``) and return their numbers. Every
+    slice has exactly ``files_per_slice`` files, empty ones if it has too few
+    rows, so a stream that takes that many files a trigger takes one slice."""
+    spark, numbers = envelope.sparkSession, []
+    for n in replay_steps(envelope, root, slice_col, files_per_slice):
+        folder = os.path.join(root, f"{slice_col}={n:012d}")
+        held = len(spark.read.schema(ENVELOPE).parquet(folder).inputFiles())
+        for _ in range(files_per_slice - held):
+            spark.createDataFrame([], ENVELOPE).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.01)
+        numbers.append(n)
+    return numbers
 
 
 def envelope_file_stream(

@@ -409,3 +409,19 @@ def test_command_line_compact(spark):
     assert main(["compact", "--changelog", cl, "--out", out]) == 0
     rows = spark.read.parquet(out).collect()
     assert [(r.visitor_count, str(r.window_date)) for r in rows] == [(2, "2024-01-01")]
+
+
+def test_a_slice_of_few_rows_is_a_batch_of_its_own(spark):
+    """Slices of one and two rows between longer ones still take a batch each."""
+    root = scratch_path(spark, "t_small_slices")
+    sizes = {0: 40, 1: 1, 2: 2, 3: 40}
+    slices = [n for n, size in sizes.items() for _ in range(size)]
+    rows = [("t", None, b"x", i, dt.datetime(2030, 1, 1), n) for i, n in enumerate(slices)]
+    env = spark.createDataFrame(rows, "topic string, key binary, value binary, offset long, timestamp timestamp, slice long")
+    write_replay_files(env, root, files_per_slice=4)
+    seen = []
+    run_query(
+        spark, envelope_file_stream(spark, root, max_files_per_trigger=4), lambda b, i: seen.append((i, b.count())),
+        scratch_path(spark, "t_small_slices_checkpoint"), output_mode="append",
+    )
+    assert [n for _, n in sorted(seen)] == list(sizes.values())
