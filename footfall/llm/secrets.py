@@ -117,18 +117,29 @@ def secret_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def masked(text: str, spans: str) -> F.Column:
-    """``text`` with every span (and spans that overlap it) replaced by one mask."""
-    cut = F.aggregate(
-        F.array_sort(spans, lambda a, b: F.when(a["start"] == b["start"], a["end"] - b["end"]).otherwise(a["start"] - b["start"]).cast("int")),
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.struct(
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(MASK)),
-            ).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        ),
-    )
-    whole = F.concat(cut["out"], F.substring(F.col(text), (cut["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, whole).otherwise(F.col(text))
+def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """``text`` with every span (and spans that overlap it) replaced by one mask,
+    in one pass."""
+    pieces, at = [], 0
+    for _, start, end in sorted(spans, key=lambda s: s[1:]):
+        if start >= at:
+            pieces += [text[at:start], MASK]
+        at = max(at, end)
+    return "".join([*pieces, text[at:]])
+
+
+def masked_texts(docs: DataFrame, text_col: str = "text", out_col: str = "masked") -> DataFrame:
+    """``docs`` with ``out_col``: the text with its secrets masked, null where it
+    has none (or is null or empty). All rows and columns stay; a column already
+    named so is replaced."""
+    docs = without(docs, out_col)
+    shared = docs.sparkSession.sparkContext.broadcast(_scanner())  # some hundred states
+    at = docs.columns.index(text_col)
+
+    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, text_col):
+            texts = strings(run.column(at))
+            new = [mask(t, s) if s else None for t, s in zip(texts, find(shared.value, texts))]
+            yield pa.RecordBatch.from_arrays([*run.columns, pa.array(new, pa.string())], [*run.schema.names, out_col])
+
+    return docs.mapInArrow(run_all, extended(docs, **{out_col: StringType()}))

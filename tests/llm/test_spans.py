@@ -198,9 +198,9 @@ def test_other_formats_and_masks(spark):
     key = "ghp_" + "aB3" * 12
     docs = spark.createDataFrame([(1, f"é {key}, token={key}!"), (2, "clean"), (3, None)], "doc_id long, text string")
     found = sec.secrets(docs)
-    out = {r.doc_id: r for r in found.withColumn("masked", sec.masked("text", "secrets")).collect()}
+    out = {r.doc_id: r for r in sec.masked_texts(found).collect()}
     assert [(s.kind, s.start) for s in out[1].secrets] == [("github", 2), ("assign", 44), ("github", 50)]
-    assert out[1].masked == f"é {sec.MASK}, {sec.MASK}!" and out[2].masked == "clean" and out[3].masked is None
+    assert out[1].masked == f"é {sec.MASK}, {sec.MASK}!" and out[2].masked is None and out[3].masked is None
 
 
 def test_license_notices_equal_plain_search(spark):
@@ -235,3 +235,11 @@ def test_places_in_texts_that_are_not_ascii():
     spans = sec.find(sec._scanner(), [text])[0]
     assert time.monotonic() - t0 < 60 and len(spans) == 30_000
     assert all(text[a:b] == "secret=abcdefgh1" for _, a, b in spans)
+
+
+def test_masks_of_many_and_overlapping_spans():
+    assert sec.mask("abcdef", [("a", 1, 3), ("b", 2, 4), ("c", 4, 5), ("d", 1, 2)]) == f"a{sec.MASK}{sec.MASK}f"
+    n = 100_000
+    began = time.monotonic()
+    out = sec.mask("é" * 10 * n, [("a", 10 * i, 10 * i + 9) for i in range(n)])
+    assert out == (sec.MASK + "é") * n and time.monotonic() - began < 5
