@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from footfall.llm.decontamination import without_benchmark
 from footfall.llm.mixing import mixture
 from footfall.llm.near_copies import near_copies
-from footfall.llm.secrets import masked, secrets
+from footfall.llm.secrets import masked_texts
 from footfall.llm.toxicity import REJECT, fit, toxicity
 from footfall.session import scratch_path
 from footfall.sources.tables import read_table
@@ -55,9 +55,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, their secrets replaced by a mask; ``n_chars`` counts the new
     text. Null and empty texts, and rows without a secret, stay as they are."""
-    found = secrets(docs, out_col="_secrets").withColumn("text", masked("text", "_secrets"))
-    changed = F.when(F.size("_secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", changed).select(*docs.columns)
+    found = masked_texts(docs, out_col="_masked")
+    new = {"text": F.coalesce("_masked", "text"), "n_chars": F.coalesce(F.length("_masked").cast("long"), "n_chars")}
+    return found.withColumns(new).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
